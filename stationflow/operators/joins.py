@@ -1,12 +1,17 @@
 """Fact-to-dimension joins (trips -> stations), start and end roles.
 
 The station dimension has one row per station, so it is small, but its size
-is checked rather than assumed: the optimizer's size estimate for the
-dimension plan (taken from the Parquet file sizes it scans, no job run) must
-be under ``stationflow.dimBroadcastMaxBytes`` (default 64 MiB) before the
-broadcast hint is given. Above it the join stays a shuffle join, which AQE may
-still turn into a broadcast from runtime sizes and whose skewed partitions
-(one station holding many trips) AQE splits.
+is checked rather than assumed before the broadcast hint is given:
+
+1. the optimizer's size estimate (from the Parquet file sizes it scans, no
+   job run) is within ``stationflow.dimBroadcastMaxBytes`` (64 MiB), or
+2. where the estimate is loose (without CBO an inner join is estimated as the
+   product of its inputs), a bounded count ``limit(max_rows + 1).count()``
+   shows at most ``stationflow.dimBroadcastMaxRows`` (500,000) rows.
+
+Otherwise the join stays a shuffle join, which AQE may still turn into a
+broadcast from runtime sizes and whose skewed partitions (one station holding
+many trips) AQE splits.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+DEFAULT_BROADCAST_MAX_ROWS = 500_000
 
 
 def estimated_size(df: DataFrame) -> int | None:
@@ -26,15 +32,26 @@ def estimated_size(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """Broadcast hint only when the estimated size is within the bound."""
-    if max_bytes is None:
-        conf = df.sparkSession.conf.get("stationflow.dimBroadcastMaxBytes", None)
-        max_bytes = int(conf) if conf else DEFAULT_BROADCAST_MAX_BYTES
+def _conf_int(df: DataFrame, key: str, default: int) -> int:
+    value = df.sparkSession.conf.get(key, None)
+    return int(value) if value else default
+
+
+def is_small(df: DataFrame, max_bytes: int | None = None, max_rows: int | None = None) -> bool:
+    """True when ``df`` is proven small enough to broadcast."""
+    max_bytes = max_bytes or _conf_int(df, "stationflow.dimBroadcastMaxBytes", DEFAULT_BROADCAST_MAX_BYTES)
+    max_rows = max_rows or _conf_int(df, "stationflow.dimBroadcastMaxRows", DEFAULT_BROADCAST_MAX_ROWS)
     size = estimated_size(df)
     if size is not None and size <= max_bytes:
-        return F.broadcast(df)
-    return df
+        return True
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, small: bool | None = None) -> DataFrame:
+    """Broadcast hint only when the side is proven small (see module doc)."""
+    if small is None:
+        small = is_small(df)
+    return F.broadcast(df) if small else df
 
 
 def station_role(dim: DataFrame, prefix: str, columns=None) -> DataFrame:
@@ -46,11 +63,11 @@ def station_role(dim: DataFrame, prefix: str, columns=None) -> DataFrame:
 
 
 def with_station(trips: DataFrame, dim: DataFrame, key: str, prefix: str,
-                 columns=None) -> DataFrame:
+                 columns=None, small: bool | None = None) -> DataFrame:
     """Left outer join of ``trips.key`` to the dimension under ``prefix``.
 
     Unknown and null keys keep their trip rows with null dimension columns."""
-    side = broadcast_if_small(station_role(dim, prefix, columns))
+    side = broadcast_if_small(station_role(dim, prefix, columns), small)
     return trips.join(side, trips[key] == side[f"{prefix}station_id"], "left")
 
 
@@ -62,5 +79,6 @@ def with_start_station(trips: DataFrame, dim: DataFrame, columns=None,
 def with_route_stations(trips: DataFrame, dim: DataFrame, columns=None,
                         start_prefix: str = "ss_", end_prefix: str = "es_") -> DataFrame:
     """Role-playing double left join: start and end station."""
-    joined = with_station(trips, dim, "start_station_id", start_prefix, columns)
-    return with_station(joined, dim, "end_station_id", end_prefix, columns)
+    small = is_small(dim)
+    joined = with_station(trips, dim, "start_station_id", start_prefix, columns, small)
+    return with_station(joined, dim, "end_station_id", end_prefix, columns, small)

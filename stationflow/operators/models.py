@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import expressions as X
 from .dedup import keep_first
-from .joins import broadcast_if_small, station_role
+from .joins import broadcast_if_small, is_small, station_role
 
 # Order used to pick the surviving row of a duplicated trip_id; completed with
 # every other raw column (see dedup.total_order) so the choice is total.
@@ -149,11 +149,14 @@ def build_station_activity(trips: DataFrame, dim: DataFrame) -> DataFrame:
     return station_activity(valid, dim, ["source_year", "source_quarter"])
 
 
-def route_names(agg: DataFrame, dim: DataFrame) -> DataFrame:
-    """Attach start/end names and regions to per-route aggregates."""
-    cols = ["station_id", "station_name", "region"]
-    start = broadcast_if_small(station_role(dim, "ss_", cols))
-    end = broadcast_if_small(station_role(dim, "es_", cols))
+def route_names(agg: DataFrame, dim: DataFrame,
+                cols=("station_id", "station_name", "region")) -> DataFrame:
+    """Attach start/end station attributes (``ss_*``, ``es_*``) to per-route
+    aggregates."""
+    cols = list(cols)
+    small = is_small(dim)
+    start = broadcast_if_small(station_role(dim, "ss_", cols), small)
+    end = broadcast_if_small(station_role(dim, "es_", cols), small)
     joined = agg.join(start, agg["start_station_id"] == start["ss_station_id"], "left")
     return joined.join(end, joined["end_station_id"] == end["es_station_id"], "left")
 
