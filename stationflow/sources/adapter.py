@@ -15,11 +15,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..functions import expressions as X
 
 # Fixed values of the adapter (shared with the DuckDB twin).
 INGESTED_AT = "2026-06-14 00:30:52"
 GO_LIVE_BASE = "2016-01-01"
+# Row order of the adapter's quarterly CSV files.
+FILE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+              "l_extendedprice", "l_shipdate", "l_linestatus"]
+CSV_TIME_FORMAT = "M/d/yyyy H:mm"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,9 +84,7 @@ def trip_source(spark: SparkSession, sf_dir: str, with_order_key: bool = False)
         F.to_timestamp(F.lit(INGESTED_AT)).alias("ingested_at"),
     ]
     if with_order_key:
-        cols.append(F.struct(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
-        ).alias("file_order"))
+        cols.append(F.struct(*FILE_ORDER).alias("file_order"))
     return j.select(*cols)
 
 
@@ -143,3 +146,37 @@ def raw_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "longitude",
     )
     return current.unionByName(older)
+
+
+def write_trip_csvs(spark: SparkSession, sf_dir: str, out_dir: str) -> list[str]:
+    """Write the uncleaned trip rows as one headed CSV per quarter named
+    'metro-trips-YYYY-qN.csv', rows in ``file_order``, times as 'M/d/yyyy H:mm'.
+
+    A quarter file is one file, so each is written by one task (rows are
+    streamed, not gathered); the quarters are written in parallel."""
+    from ..sinks import files
+    from . import csvfiles as C
+
+    src = trip_source(spark, sf_dir, with_order_key=True)
+    staged = files.staging_for(out_dir)
+    (
+        src.select("source_file", "file_order", *[F.col(c) for c in S.TRIP_CSV_COLUMNS])
+        .repartition("source_file")
+        .sortWithinPartitions("source_file", "file_order")
+        .drop("file_order")
+        .write.mode("overwrite")
+        .partitionBy("source_file")
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .option("timestampNTZFormat", CSV_TIME_FORMAT)
+        .csv(staged)
+    )
+    written = []
+    for part_dir in C.list_dirs(spark, f"{staged}/source_file=*"):
+        name = part_dir.rsplit("source_file=", 1)[-1]
+        target = f"{out_dir.rstrip('/')}/{name}"
+        files.single_part_to_file(spark, part_dir, target)
+        written.append(target)
+    files.delete(spark, staged)
+    return sorted(written)

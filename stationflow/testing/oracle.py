@@ -64,11 +64,13 @@ trip_source as (
         cast(year(l_shipdate) as bigint) as source_year,
         cast(quarter(l_shipdate) as bigint) as source_quarter,
         timestamp '{INGESTED_AT}' as ingested_at,
-        l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice
+        l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+        l_shipdate, l_linestatus
     from trip_base
 ),
 raw_trips as (
-    select * exclude (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice),
+    select * exclude (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+                      l_shipdate, l_linestatus),
         cast(source_year as integer) as year,
         cast(source_quarter as integer) as quarter
     from trip_source

@@ -756,3 +756,69 @@ from catalog
 def q_archive_counts(spark, sf_dir):
     """Found / new / skipped."""
     return MF.selection_counts(archive_catalog(spark, sf_dir), existing_csvs(spark, sf_dir))
+
+
+# ------------------------------------------------------- files round trip ---
+
+import datetime as _dt  # noqa: E402
+
+from ..plans.ingest import ingest_trips  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources.adapter import FILE_ORDER  # noqa: E402
+from ..sources.lake import read_trip_lake  # noqa: E402
+
+INGEST_STAMP = _dt.datetime(2026, 6, 14, 0, 30, 52, tzinfo=_dt.timezone.utc)
+_LAKE_COLUMNS = S.TRIP_CSV_COLUMNS + S.SOURCE_COLUMNS + S.LAKE_PARTITIONS
+
+F3_SQL = f"""
+select {', '.join(_LAKE_COLUMNS[:-2])},
+       cast(source_year as integer) as year, cast(source_quarter as integer) as quarter
+from trip_source
+qualify row_number() over (partition by source_file, trip_id order by {', '.join(FILE_ORDER)}) = 1
+"""
+
+
+def ingest_to_lake(spark, sf_dir):
+    """Adapter trips written as quarterly CSVs, then the full trip ingest."""
+    raw_dir = scratch_path(spark, "raw-trips")
+    lake = scratch_path(spark, "lake-trips")
+    manifest = scratch_path(spark, "manifest") + "/trip_ingestion_manifest.json"
+    A.write_trip_csvs(spark, sf_dir, raw_dir)
+    result = ingest_trips(spark, raw_dir, lake, manifest, INGEST_STAMP)
+    return lake, result
+
+
+@register("dedup_first_in_file", O.sql(F3_SQL))
+def q_dedup_first_in_file(spark, sf_dir):
+    """F3 (+A1, A2, A3, A5, C1) on CSVs written in a known row order: the
+    first row per trip_id in each file, before any filter."""
+    from ..sources import trips as TR
+    raw_dir = scratch_path(spark, "raw-trips")
+    files = A.write_trip_csvs(spark, sf_dir, raw_dir)
+    rows = TR.with_source_metadata(
+        TR.keep_first_in_file(TR.read_trip_csv(spark, files), "__file_path", ["trip_id"]), INGEST_STAMP)
+    return rows.select(*_LAKE_COLUMNS)
+
+
+@register("clean_trips_filter", O.sql(f"""
+select * from ({F3_SQL})
+where start_time is not null and end_time is not null and end_time >= start_time and duration > 0
+"""))
+def q_clean_trips_filter(spark, sf_dir):
+    """M1 through the lake: CSV -> F3 -> C2 -> C1 -> B1 (dynamic partition
+    overwrite) -> A7 read back."""
+    lake, _ = ingest_to_lake(spark, sf_dir)
+    return read_trip_lake(spark, lake).select(*_LAKE_COLUMNS)
+
+
+@register("ingest_manifest", O.sql(f"""
+select source_file, source_year, source_quarter, count(*) as cleaned_rows,
+       '2026-06-14T00:30:52+00:00' as ingested_at
+from ({F3_SQL})
+where start_time is not null and end_time is not null and end_time >= start_time and duration > 0
+group by source_file, source_year, source_quarter
+"""))
+def q_ingest_manifest(spark, sf_dir):
+    """The manifest written by the ingest, read back."""
+    _, result = ingest_to_lake(spark, sf_dir)
+    return result.records.select("source_file", "source_year", "source_quarter", "cleaned_rows", "ingested_at")
