@@ -34,7 +34,9 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 
-FILE_POSITION = "__file_position"
+FILE_BLOCK = "__file_block"
+FILE_ROW = "__file_row"
+FILE_POSITION = [FILE_BLOCK, FILE_ROW]
 
 
 def with_file_position(df: DataFrame) -> DataFrame:
@@ -42,22 +44,19 @@ def with_file_position(df: DataFrame) -> DataFrame:
 
     Files are split into blocks; ``_metadata.file_block_start`` orders the
     blocks of one file and ``monotonically_increasing_id`` the rows inside a
-    block (a block is read front to back by one task). Must be applied to the
-    scan output, before any shuffle or filter changes the row order."""
-    return df.withColumn(
-        FILE_POSITION,
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ),
+    block (a block is read front to back by one task, and a re-run task reads
+    it the same way). Two plain long columns, so sorts use prefix keys. Must
+    be applied to the scan output, before any shuffle or filter."""
+    return df.withColumn(FILE_BLOCK, F.col("_metadata.file_block_start")).withColumn(
+        FILE_ROW, F.monotonically_increasing_id()
     )
 
 
 def keep_first_in_file(df: DataFrame, file_col: str, keys: Sequence[str],
-                       position: str = FILE_POSITION) -> DataFrame:
+                       position: Sequence[str] = tuple(FILE_POSITION)) -> DataFrame:
     """One row per (file, keys): the first in file order (pandas
     ``drop_duplicates(keep='first')`` semantics, nulls equal)."""
-    w = Window.partitionBy(file_col, *keys).orderBy(F.col(position).asc())
+    w = Window.partitionBy(file_col, *keys).orderBy(*[F.col(c).asc() for c in position])
     return (
         df.withColumn(_RN, F.row_number().over(w))
         .filter(F.col(_RN) == 1)

@@ -42,6 +42,19 @@ def single_part_to_file(spark: SparkSession, out_dir: str, target: str) -> None:
     if not fs.rename(parts[0], htarget):
         raise RuntimeError(f"could not move {parts[0]} to {target}")
     fs.delete(hdir, True)
+    _drop_checksum(spark, htarget)
+
+
+def _drop_checksum(spark: SparkSession, hpath) -> None:
+    """The local file system keeps a hidden '.name.crc' beside each file and
+    moves it on rename; a published single file is left without it."""
+    if hpath.toUri().getScheme() not in (None, "file"):
+        return
+    jvm = spark.sparkContext._jvm
+    crc = jvm.org.apache.hadoop.fs.Path(hpath.getParent(), "." + hpath.getName() + ".crc")
+    fs = crc.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(crc):
+        fs.delete(crc, False)
 
 
 def replace_dir(spark: SparkSession, staged: str, target: str) -> None:

@@ -12,7 +12,7 @@ def write_trip_lake(df: DataFrame, trips_dir: str) -> None:
     the others (dynamic partition overwrite). Rows are sorted by partition
     within each task, so a task writes one file per partition it holds."""
     (
-        df.sortWithinPartitions(*S.LAKE_PARTITIONS, "start_time")
+        df.sortWithinPartitions(*S.LAKE_PARTITIONS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*S.LAKE_PARTITIONS)

@@ -26,15 +26,13 @@ NA_TOKENS = [
     "nan", "null",
 ]
 
-# The time formats accepted for trip and station times, tried in order.
+# The time formats accepted for trip and station times, tried in
+# order ([...] marks an optional part): 'M/d/yyyy H:mm', 'M/d/yyyy H:mm:ss',
+# 'M/d/yyyy', 'yyyy-MM-dd HH:mm:ss', 'yyyy-MM-dd HH:mm', 'yyyy-MM-dd',
+# 'yyyy-MM-ddTHH:mm:ss'.
 TIMESTAMP_FORMATS = [
-    "M/d/yyyy H:mm",
-    "M/d/yyyy H:mm:ss",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "M/d/yyyy",
-    "yyyy-MM-dd",
+    "M/d/yyyy[ H:mm[:ss]]",
+    "yyyy-MM-dd[ HH:mm[:ss]]['T'HH:mm[:ss]]",
 ]
 
 FILE_PATH = "__file_path"
@@ -103,7 +101,7 @@ def read_text_columns(spark: SparkSession, paths: Sequence[str],
             *[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)],
             F.col("_metadata.file_path").alias(FILE_PATH),
             F.col("_metadata.file_name").alias(FILE_NAME),
-            F.col(FILE_POSITION),
+            *FILE_POSITION,
         )
         frames.append(df)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -115,43 +113,58 @@ def require_columns(df: DataFrame, columns: Iterable[str], what: str) -> None:
         raise ValueError(f"{what}: missing column(s) {missing}")
 
 
+def _quote(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+_NA_SQL = ", ".join(_quote(t) for t in NA_TOKENS)
+
+# The parsers below are SQL expressions: one call to the JVM per column
+# keeps plan building cheap, and the generated code stays small.
+
+
+def _text(name: str) -> str:
+    return f"CASE WHEN `{name}` IN ({_NA_SQL}) THEN NULL ELSE `{name}` END"
+
+
 def na_to_null(c: Column) -> Column:
     return F.when(c.isin(*NA_TOKENS), F.lit(None)).otherwise(c)
 
 
 def parse_long(name: str, what: str) -> Column:
     """Integer text -> bigint; '8.0' is accepted, '8.5' or 'abc' raise."""
-    s = na_to_null(F.col(name))
-    as_long = F.expr(f"try_cast(`{name}` as bigint)")
-    as_dec = s.try_cast("decimal(38,9)")
-    bad = F.raise_error(F.concat(F.lit(f"{what}: cannot read '{name}' value as integer: "), s))
-    return (
-        F.when(s.isNull(), F.lit(None).cast("bigint"))
-        .when(as_long.isNotNull(), as_long)
-        .when(as_dec.isNotNull() & (as_dec == F.floor(as_dec)), as_dec.cast("bigint"))
-        .otherwise(bad.cast("bigint"))
+    s = f"`{name}`"
+    dec = f"try_cast({s} AS DECIMAL(38,9))"
+    msg = _quote(f"{what}: cannot read '{name}' value as integer: ")
+    return F.expr(
+        f"CASE WHEN {s} IS NULL OR {s} IN ({_NA_SQL}) THEN CAST(NULL AS BIGINT) "
+        f"WHEN try_cast({s} AS BIGINT) IS NOT NULL THEN try_cast({s} AS BIGINT) "
+        f"WHEN {dec} = floor({dec}) THEN CAST({dec} AS BIGINT) "
+        f"ELSE CAST(raise_error(concat({msg}, {s})) AS BIGINT) END"
     )
 
 
 def parse_double(name: str, what: str) -> Column:
-    s = na_to_null(F.col(name))
-    as_double = s.try_cast("double")
-    bad = F.raise_error(F.concat(F.lit(f"{what}: cannot read '{name}' value as number: "), s))
-    return (
-        F.when(s.isNull(), F.lit(None).cast("double"))
-        .when(as_double.isNotNull(), as_double)
-        .otherwise(bad.cast("double"))
+    s = f"`{name}`"
+    msg = _quote(f"{what}: cannot read '{name}' value as number: ")
+    return F.expr(
+        f"CASE WHEN {s} IS NULL OR {s} IN ({_NA_SQL}) THEN CAST(NULL AS DOUBLE) "
+        f"WHEN try_cast({s} AS DOUBLE) IS NOT NULL THEN try_cast({s} AS DOUBLE) "
+        f"ELSE CAST(raise_error(concat({msg}, {s})) AS DOUBLE) END"
     )
 
 
 def parse_string(name: str) -> Column:
-    return na_to_null(F.col(name))
+    return F.expr(_text(name))
 
 
 def parse_timestamp(name: str, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
     """Text -> timestamp_ntz trying each format; unreadable -> null (the
     ingest filter then drops the row). Session time zone is UTC, so the
     instant-to-local cast keeps the wall-clock value."""
-    s = na_to_null(F.col(name))
-    tries = [F.try_to_timestamp(s, F.lit(fmt)) for fmt in formats]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    s = f"`{name}`"
+    tries = ", ".join(f"try_to_timestamp({s}, {_quote(f)})" for f in formats)
+    return F.expr(
+        f"CASE WHEN {s} IS NULL OR {s} IN ({_NA_SQL}) THEN CAST(NULL AS TIMESTAMP_NTZ) "
+        f"ELSE CAST(coalesce({tries}) AS TIMESTAMP_NTZ) END"
+    )

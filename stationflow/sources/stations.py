@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..operators.dedup import keep_first_in_file
+from ..operators.dedup import FILE_POSITION, keep_first_in_file
 from . import csvfiles as C
 
 # Header renames of the station list.
@@ -38,6 +38,6 @@ def read_station_csv(spark: SparkSession, path: str) -> DataFrame:
         C.parse_double("longitude", what).alias("longitude"),
     ]
     extras = [c for c in text.columns if c not in S.STATION_COLUMNS and not c.startswith("__")]
-    rows = text.select(*typed, *extras, C.FILE_PATH, "__file_position")
+    rows = text.select(*typed, *extras, C.FILE_PATH, *FILE_POSITION)
     first = keep_first_in_file(rows, C.FILE_PATH, ["station_id"])
-    return first.drop(C.FILE_PATH, "__file_position")
+    return first.drop(C.FILE_PATH, *FILE_POSITION)

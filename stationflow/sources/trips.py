@@ -87,7 +87,7 @@ def read_trip_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         else:
             typed.append(C.parse_string(name).alias(name))
     extras = [c for c in text.columns if c not in S.TRIP_CSV_TYPES and not c.startswith("__")]
-    return text.select(*typed, *extras, C.FILE_PATH, C.FILE_NAME, FILE_POSITION)
+    return text.select(*typed, *extras, C.FILE_PATH, C.FILE_NAME, *FILE_POSITION)
 
 
 def ingest_filter(df: DataFrame) -> DataFrame:
@@ -108,15 +108,29 @@ def clean_trip_rows(df: DataFrame) -> DataFrame:
     return ingest_filter(first)
 
 
-def with_source_metadata(df: DataFrame, ingested_at: dt.datetime) -> DataFrame:
+def file_quarters(spark: SparkSession, names: Sequence[str]) -> DataFrame:
+    """(file name, source_year, source_quarter) of the listed files (A3 on the
+    driver, raising for a bad name before any job runs). One row per file."""
+    rows = [(n, *trip_file_quarter(n)) for n in sorted(set(names))]
+    return spark.createDataFrame(rows, f"{C.FILE_NAME} string, source_year bigint, source_quarter bigint")
+
+
+def with_source_metadata(df: DataFrame, ingested_at: dt.datetime,
+                         names: Sequence[str] | None = None) -> DataFrame:
     """source_file, source_year, source_quarter, ingested_at, and the
-    lake partition columns year/quarter."""
-    year, quarter = quarter_columns(F.col(C.FILE_NAME))
+    lake partition columns year/quarter.
+
+    With ``names`` (the listed files) the quarter comes from a broadcast
+    lookup of one row per file; otherwise from the name by expressions."""
     stamp = ingested_at.astimezone(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+    if names is not None:
+        lookup = F.broadcast(file_quarters(df.sparkSession, names))
+        df = df.join(lookup, C.FILE_NAME, "inner")
+    else:
+        year, quarter = quarter_columns(F.col(C.FILE_NAME))
+        df = df.withColumn("source_year", year).withColumn("source_quarter", quarter)
     return (
         df.withColumn("source_file", F.col(C.FILE_NAME))
-        .withColumn("source_year", year)
-        .withColumn("source_quarter", quarter)
         .withColumn("ingested_at", F.lit(stamp).cast("timestamp"))
         .withColumn("year", F.col("source_year").cast("int"))
         .withColumn("quarter", F.col("source_quarter").cast("int"))
@@ -126,10 +140,9 @@ def with_source_metadata(df: DataFrame, ingested_at: dt.datetime) -> DataFrame:
 def cleaned_trips(spark: SparkSession, paths: Sequence[str], ingested_at: dt.datetime) -> DataFrame:
     """The rows the lake receives from the given files, before choosing one
     file per quarter: A1, A5, F3, C2, C1."""
-    for p in paths:
-        trip_file_quarter(p.rsplit("/", 1)[-1])
+    names = [p.rsplit("/", 1)[-1] for p in paths]
     rows = clean_trip_rows(read_trip_csv(spark, paths))
-    out = with_source_metadata(rows, ingested_at)
+    out = with_source_metadata(rows, ingested_at, names)
     extras = [c for c in out.columns if c not in S.RAW_TRIP_COLUMNS + S.LAKE_PARTITIONS and not c.startswith("__")]
     return out.select(*S.TRIP_CSV_COLUMNS, *extras, *S.SOURCE_COLUMNS, *S.LAKE_PARTITIONS)
 
