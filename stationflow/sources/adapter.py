@@ -180,3 +180,32 @@ def write_trip_csvs(spark: SparkSession, sf_dir: str, out_dir: str) -> list[str]
         written.append(target)
     files.delete(spark, staged)
     return sorted(written)
+
+
+def pack_archives(spark: SparkSession, csv_paths: list[str], out_dir: str) -> list[str]:
+    """Zip each CSV as 'metro-trips-YYYY-qN.zip' holding 'data/<csv name>'
+    (one task per file, streamed), as the published archives are shaped."""
+    rows = [(p, f"{out_dir.rstrip('/')}/{p.rsplit('/', 1)[-1][:-4]}.zip") for p in csv_paths]
+
+    def pack(batches):
+        import shutil
+        import zipfile
+
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        for pdf in batches:
+            done = []
+            for src, dst in zip(pdf["src"], pdf["dst"]):
+                sfs, spath = pafs.FileSystem.from_uri(src)
+                dfs, dpath = pafs.FileSystem.from_uri(dst)
+                dfs.create_dir(dpath.rsplit("/", 1)[0], recursive=True)
+                with dfs.open_output_stream(dpath) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+                    zf.writestr("data/readme.txt", "trip data")
+                    with sfs.open_input_stream(spath) as f, zf.open("data/" + src.rsplit("/", 1)[-1], "w") as m:
+                        shutil.copyfileobj(f, m, 1 << 20)
+                done.append(dst)
+            yield pd.DataFrame({"path": done})
+
+    df = spark.createDataFrame(rows, "src string, dst string").repartition(max(1, len(rows)))
+    return sorted(r["path"] for r in df.mapInPandas(pack, "path string").collect())

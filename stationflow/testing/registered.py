@@ -822,3 +822,39 @@ def q_ingest_manifest(spark, sf_dir):
     """The manifest written by the ingest, read back."""
     _, result = ingest_to_lake(spark, sf_dir)
     return result.records.select("source_file", "source_year", "source_quarter", "cleaned_rows", "ingested_at")
+
+
+# -------------------------------------------------------- pages, archives ---
+
+from ..sources import archives as AR  # noqa: E402
+
+
+@register("page_links", O.sql("""
+select page_id, link_pos, href,
+       regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) || href as url,
+       regexp_extract(href, '([^/]*)$', 1) as file_name
+from (
+    select page_id, url, unnest(hrefs) as href, generate_subscripts(hrefs, 1) as link_pos
+    from (select page_id, url, regexp_extract_all(html, 'href="([^"]*)"', 1) as hrefs from pages)
+)
+"""))
+def q_page_links(spark, sf_dir):
+    """A13 link step (I15, I16): every <a href> of every page, resolved
+    against the page URL, with the file name of its path."""
+    return AR.page_links(A.table(spark, sf_dir, "pages"))
+
+
+@register("archive_round_trip", O.sql(f"""
+select {', '.join(S.TRIP_CSV_COLUMNS)}, source_file from trip_source
+"""))
+def q_archive_round_trip(spark, sf_dir):
+    """A15 (+A1): quarterly CSVs zipped as archives, unpacked in parallel
+    (one task per archive) and read back: every source row returns."""
+    from ..sources import trips as TR
+    csv_dir = scratch_path(spark, "archive-src")
+    zip_dir = scratch_path(spark, "archives")
+    out_dir = scratch_path(spark, "unpacked")
+    zips = A.pack_archives(spark, A.write_trip_csvs(spark, sf_dir, csv_dir), zip_dir)
+    unpacked = [r["csv_path"] for r in AR.expand_archives(spark, zips, out_dir).collect()]
+    rows = TR.read_trip_csv(spark, sorted(unpacked))
+    return rows.select(*S.TRIP_CSV_COLUMNS, F.col("__file_name").alias("source_file"))
