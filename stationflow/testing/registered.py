@@ -858,3 +858,23 @@ def q_archive_round_trip(spark, sf_dir):
     unpacked = [r["csv_path"] for r in AR.expand_archives(spark, zips, out_dir).collect()]
     rows = TR.read_trip_csv(spark, sorted(unpacked))
     return rows.select(*S.TRIP_CSV_COLUMNS, F.col("__file_name").alias("source_file"))
+
+
+# ------------------------------------------------------------- streaming ---
+
+@register("incremental_ingest", ORACLE["clean_trips_filter"])
+def q_incremental_ingest(spark, sf_dir):
+    """M1 run incrementally: the quarterly CSVs arrive through a file stream
+    (micro-batches of 8 files, availableNow) and each batch is ingested; the
+    lake ends up as the batch ingest leaves it."""
+    from ..streaming import ingest_new_trip_files
+    raw_dir = scratch_path(spark, "raw-trips")
+    lake = scratch_path(spark, "lake-trips")
+    manifest = scratch_path(spark, "manifest") + "/trip_ingestion_manifest.json"
+    A.write_trip_csvs(spark, sf_dir, raw_dir)
+    query = ingest_new_trip_files(spark, raw_dir, lake, manifest, scratch_path(spark, "stream-ckpt"),
+                                  max_files_per_trigger=8, clock=lambda: INGEST_STAMP)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return read_trip_lake(spark, lake).select(*_LAKE_COLUMNS)
