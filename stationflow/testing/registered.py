@@ -878,3 +878,17 @@ def q_incremental_ingest(spark, sf_dir):
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return read_trip_lake(spark, lake).select(*_LAKE_COLUMNS)
+
+
+@register("overview_display", O.sql(f"""
+select format('{{:,}}', total_trips) as trips,
+       format('{{:,}}', start_station_count) as start_stations,
+       format('{{:,}}', distinct_bikes) as distinct_bikes,
+       printf('%.2f min', avg_duration_minutes) as avg_duration,
+       strftime(first_trip_date, '%b %-d, %Y') as first_trip,
+       strftime(last_trip_date, '%b %-d, %Y') as latest_trip
+from ({_OVERVIEW_SQL.format(where='')})
+"""))
+def q_overview_display(spark, sf_dir):
+    """E4 shown as text (I18): '1,234' counts, 'x.xx min', 'Jan 5, 2026'."""
+    return D.overview_display(D.overview_metrics(staging(spark, sf_dir)))
