@@ -20,6 +20,7 @@ from ..operators import manifest as MF
 from ..sinks.lake import write_station_lake, write_trip_lake
 from ..sinks.manifest import write_manifest
 from ..sources import trips as TR
+from ..sources.local import rows_frame
 from ..sources.manifest import read_manifest
 from ..sources.stations import read_station_csv
 
@@ -50,19 +51,20 @@ def ingest_trip_files(spark: SparkSession, files: list[str], input_dir: str, lak
     quarters = {n: TR.trip_file_quarter(n) for n in names}
     stamp = ingested_at or dt.datetime.now(dt.timezone.utc)
 
-    rows = TR.cleaned_trips(spark, files, stamp)
+    rows = TR.cleaned_trips(spark, files, stamp, keep_file_index=True)
+    index = {n: i for i, n in enumerate(sorted(set(names)))}
     obs = Observation("stationflow_ingest_counts")
     counted = rows.observe(obs, *[
-        F.count_if(F.col("source_file") == F.lit(n)).alias(f"file_{i}") for i, n in enumerate(names)
+        F.count_if(F.col(TR.FILE_INDEX) == F.lit(i)).alias(f"file_{i}") for i in sorted(index.values())
     ])
-    winners = TR.last_file_per_quarter(files)
-    write_trip_lake(counted.filter(F.col("source_file").isin(winners)), lake_dir)
+    winners = [index[n] for n in TR.last_file_per_quarter(files)]
+    write_trip_lake(counted.filter(F.col(TR.FILE_INDEX).isin(winners)).drop(TR.FILE_INDEX), lake_dir)
 
     metrics = obs.get
-    counts = {n: int(metrics.get(f"file_{i}", 0) or 0) for i, n in enumerate(names)}
+    counts = {n: int(metrics.get(f"file_{index[n]}", 0) or 0) for n in names}
     count_rows = [(n, quarters[n][0], quarters[n][1], counts[n]) for n in names]
-    count_df = spark.createDataFrame(
-        count_rows, "source_file string, source_year bigint, source_quarter bigint, cleaned_rows bigint")
+    count_df = rows_frame(
+        spark, count_rows, "source_file string, source_year bigint, source_quarter bigint, cleaned_rows bigint")
     stamp_iso = stamp.astimezone(dt.timezone.utc).isoformat()
     new = MF.records_from_counts(count_df, input_dir, lake_dir, stamp_iso)
     records = MF.upsert(read_manifest(spark, manifest_path), new)

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..session import exists
@@ -71,10 +72,14 @@ class Warehouse:
             for schema in ("raw", "staging", "marts"):
                 self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{self.root}/{schema}'")
 
-    def save(self, df: DataFrame, name: str) -> None:
-        """Replace the table with ``df`` (never a table ``df`` reads)."""
+    def save(self, df: DataFrame, name: str) -> int:
+        """Replace the table with ``df`` (never a table ``df`` reads).
+        Returns the number of rows written, counted in the write's final
+        stage (a task's count is applied once, also when it is retried)."""
         parts = PARTITIONING.get(name, [])
         cluster = CLUSTERING.get(name, [])
+        obs = Observation(f"rows_{name}")
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         out = df.sortWithinPartitions(*parts, *cluster) if (parts or cluster) else df
         writer = out.write.mode("overwrite")
         if parts:
@@ -85,3 +90,4 @@ class Warehouse:
             self.spark.catalog.createTable(name, path=self.path(name), source="parquet")
             if parts:
                 self.spark.sql(f"MSCK REPAIR TABLE {name}")
+        return int(obs.get.get("rows", 0) or 0)

@@ -20,6 +20,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .local import rows_frame
 from .trips import TRIP_FILE_PREFIX, quarter_columns, trip_file_quarter
 
 # Archive naming and the link pattern.
@@ -123,7 +124,7 @@ def expand_archives(spark: SparkSession, archives: "Sequence[str] | DataFrame",
         for path in archives:
             y, q = trip_file_quarter(path.rsplit("/", 1)[-1], strict=False)
             rows.append((path, f"metro-trips-{y}-q{q}.csv"))
-        archives = spark.createDataFrame(rows, "archive string, csv_file_name string")
+        archives = rows_frame(spark, rows, "archive string, csv_file_name string")
         n = len(rows)
     else:
         n = archives.count()

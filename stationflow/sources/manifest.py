@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..session import glob_exists
+from .local import rows_frame
 
 
 def read_manifest_document(spark: SparkSession, path: str) -> DataFrame | None:
@@ -20,7 +21,7 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The file records; an empty typed frame when there is no manifest."""
     doc = read_manifest_document(spark, path)
     if doc is None:
-        return spark.createDataFrame([], S.MANIFEST_RECORD)
+        return rows_frame(spark, [], S.MANIFEST_RECORD)
     return doc.select(F.explode("files").alias("f")).select("f.*")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..operators.dedup import FILE_POSITION, keep_first_in_file
 from . import csvfiles as C
+from .local import rows_frame
 
 # The trip file naming of the published data.
 TRIP_FILE_PREFIX = "metro-trips-"
@@ -108,27 +109,27 @@ def clean_trip_rows(df: DataFrame) -> DataFrame:
     return ingest_filter(first)
 
 
+FILE_INDEX = "__file_index"
+
+
 def file_quarters(spark: SparkSession, names: Sequence[str]) -> DataFrame:
-    """(file name, source_year, source_quarter) of the listed files (A3 on the
-    driver, raising for a bad name before any job runs). One row per file."""
-    rows = [(n, *trip_file_quarter(n)) for n in sorted(set(names))]
-    return spark.createDataFrame(rows, f"{C.FILE_NAME} string, source_year bigint, source_quarter bigint")
+    """(file name, file index, source_year, source_quarter) of the listed
+    files (A3 on the driver, raising for a bad name before any job runs).
+    One row per file."""
+    rows = [(n, i, *trip_file_quarter(n)) for i, n in enumerate(sorted(set(names)))]
+    return rows_frame(
+        spark, rows, f"{C.FILE_NAME} string, {FILE_INDEX} int, source_year bigint, source_quarter bigint")
 
 
-def with_source_metadata(df: DataFrame, ingested_at: dt.datetime,
-                         names: Sequence[str] | None = None) -> DataFrame:
-    """source_file, source_year, source_quarter, ingested_at, and the
-    lake partition columns year/quarter.
+def with_source_metadata(df: DataFrame, ingested_at: dt.datetime) -> DataFrame:
+    """C1 from the file name by expressions: source_file, source_year,
+    source_quarter, ingested_at, and the lake partition columns."""
+    year, quarter = quarter_columns(F.col(C.FILE_NAME))
+    return _stamp(df.withColumn("source_year", year).withColumn("source_quarter", quarter), ingested_at)
 
-    With ``names`` (the listed files) the quarter comes from a broadcast
-    lookup of one row per file; otherwise from the name by expressions."""
+
+def _stamp(df: DataFrame, ingested_at: dt.datetime) -> DataFrame:
     stamp = ingested_at.astimezone(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
-    if names is not None:
-        lookup = F.broadcast(file_quarters(df.sparkSession, names))
-        df = df.join(lookup, C.FILE_NAME, "inner")
-    else:
-        year, quarter = quarter_columns(F.col(C.FILE_NAME))
-        df = df.withColumn("source_year", year).withColumn("source_quarter", quarter)
     return (
         df.withColumn("source_file", F.col(C.FILE_NAME))
         .withColumn("ingested_at", F.lit(stamp).cast("timestamp"))
@@ -137,14 +138,22 @@ def with_source_metadata(df: DataFrame, ingested_at: dt.datetime,
     )
 
 
-def cleaned_trips(spark: SparkSession, paths: Sequence[str], ingested_at: dt.datetime) -> DataFrame:
+def cleaned_trips(spark: SparkSession, paths: Sequence[str], ingested_at: dt.datetime,
+                  keep_file_index: bool = False) -> DataFrame:
     """The rows the lake receives from the given files, before choosing one
-    file per quarter: A1, A5, F3, C2, C1."""
+    file per quarter: A1, A5, F3, C2, C1.
+
+    Right after the scan each row gets its file's index, year and quarter
+    from a broadcast lookup (one row per listed file), so the dedup shuffle
+    is keyed on (file index, trip_id) and carries no path strings."""
     names = [p.rsplit("/", 1)[-1] for p in paths]
-    rows = clean_trip_rows(read_trip_csv(spark, paths))
-    out = with_source_metadata(rows, ingested_at, names)
+    lookup = F.broadcast(file_quarters(spark, names))
+    rows = read_trip_csv(spark, paths).drop(C.FILE_PATH).join(lookup, C.FILE_NAME, "inner")
+    first = ingest_filter(keep_first_in_file(rows, FILE_INDEX, ["trip_id"]))
+    out = _stamp(first, ingested_at)
     extras = [c for c in out.columns if c not in S.RAW_TRIP_COLUMNS + S.LAKE_PARTITIONS and not c.startswith("__")]
-    return out.select(*S.TRIP_CSV_COLUMNS, *extras, *S.SOURCE_COLUMNS, *S.LAKE_PARTITIONS)
+    index = [FILE_INDEX] if keep_file_index else []
+    return out.select(*S.TRIP_CSV_COLUMNS, *extras, *S.SOURCE_COLUMNS, *S.LAKE_PARTITIONS, *index)
 
 
 def last_file_per_quarter(paths: Sequence[str]) -> list[str]:
