@@ -9,10 +9,12 @@ from .. import schemas as S
 
 def write_trip_lake(df: DataFrame, trips_dir: str) -> None:
     """B1: replace the year/quarter partitions present in ``df`` and leave
-    the others (dynamic partition overwrite). Rows are sorted by partition
-    within each task, so a task writes one file per partition it holds."""
+    the others (dynamic partition overwrite). The rows are rebalanced by
+    partition value first: AQE gives each quarter files of the advisory size
+    and splits a quarter holding many rows over several tasks."""
     (
-        df.sortWithinPartitions(*S.LAKE_PARTITIONS)
+        df.hint("rebalance", *S.LAKE_PARTITIONS)
+        .sortWithinPartitions(*S.LAKE_PARTITIONS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*S.LAKE_PARTITIONS)

@@ -80,6 +80,10 @@ class Warehouse:
         cluster = CLUSTERING.get(name, [])
         obs = Observation(f"rows_{name}")
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        if parts:
+            # AQE sizes the output per partition value and splits a value that
+            # holds too many rows over several tasks (skew-safe).
+            df = df.hint("rebalance", *parts)
         out = df.sortWithinPartitions(*parts, *cluster) if (parts or cluster) else df
         writer = out.write.mode("overwrite")
         if parts:

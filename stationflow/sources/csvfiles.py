@@ -10,6 +10,7 @@ per distinct header, and combined by column name.
 from __future__ import annotations
 
 import csv
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import Callable, Iterable, Sequence
 
@@ -83,8 +84,12 @@ def read_text_columns(spark: SparkSession, paths: Sequence[str],
     """All rows of the CSV files as text columns named by the normalised
     header, plus the file path/name and the row's position in its file."""
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        groups.setdefault(tuple(parse_header(read_first_line(spark, path))), []).append(path)
+    # Header lines are read concurrently: on an object store each read is a
+    # round trip, and there may be thousands of files.
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        headers = list(pool.map(lambda p: parse_header(read_first_line(spark, p)), paths))
+    for path, header in zip(paths, headers):
+        groups.setdefault(tuple(header), []).append(path)
     frames = []
     for header, files in groups.items():
         schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))])
