@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..operators import manifest as MF
 from ..sinks.lake import write_station_lake, write_trip_lake
+from ..sinks.files import delete
 from ..sinks.manifest import write_manifest
 from ..sources import trips as TR
 from ..sources.local import rows_frame
@@ -53,15 +54,32 @@ def ingest_trip_files(spark: SparkSession, files: list[str], input_dir: str, lak
 
     rows = TR.cleaned_trips(spark, files, stamp, keep_file_index=True)
     index = {n: i for i, n in enumerate(sorted(set(names)))}
+    winners = TR.last_file_per_quarter(files)
+    replaced = [n for n in names if n not in set(winners)]
+    # Rows of a file that a later file of the same quarter replaces are
+    # counted while the lake is written (rare: one metric per such file).
     obs = Observation("stationflow_ingest_counts")
-    counted = rows.observe(obs, *[
-        F.count_if(F.col(TR.FILE_INDEX) == F.lit(i)).alias(f"file_{i}") for i in sorted(index.values())
+    counted = rows.observe(obs, F.count(F.lit(1)).alias("rows"), *[
+        F.count_if(F.col(TR.FILE_INDEX) == F.lit(index[n])).alias(f"file_{index[n]}") for n in replaced
     ])
-    winners = [index[n] for n in TR.last_file_per_quarter(files)]
-    write_trip_lake(counted.filter(F.col(TR.FILE_INDEX).isin(winners)).drop(TR.FILE_INDEX), lake_dir)
-
+    write_trip_lake(counted.filter(F.col(TR.FILE_INDEX).isin([index[n] for n in winners]))
+                    .drop(TR.FILE_INDEX), lake_dir)
     metrics = obs.get
-    counts = {n: int(metrics.get(f"file_{index[n]}", 0) or 0) for n in names}
+    counts = {n: int(metrics.get(f"file_{index[n]}", 0) or 0) for n in replaced}
+    # Each written quarter now holds exactly its winning file's rows, stamped
+    # with this run's ingested_at: count those per quarter (row groups of
+    # other runs are skipped by their statistics). A winning file without a
+    # valid row writes no partition, so its quarter's old folder is removed,
+    # as replacing it with an empty file would.
+    written = [quarters[n] for n in winners]
+    fresh = F.col("ingested_at") == TR.stamp_literal(stamp)
+    by_quarter = {(r["year"], r["quarter"]): r["rows"]
+                  for r in lake_partitions(spark, lake_dir, written, fresh).collect()}
+    for n in winners:
+        counts[n] = int(by_quarter.get(quarters[n], 0))
+        if counts[n] == 0:
+            y, q = quarters[n]
+            delete(spark, f"{lake_dir.rstrip('/')}/year={y}/quarter={q}")
     count_rows = [(n, quarters[n][0], quarters[n][1], counts[n]) for n in names]
     count_df = rows_frame(
         spark, count_rows, "source_file string, source_year bigint, source_quarter bigint, cleaned_rows bigint")
@@ -81,7 +99,16 @@ def ingest_stations(spark: SparkSession, input_file: str, output_file: str) -> i
     return int(obs.get.get("n", 0) or 0)
 
 
-def lake_partitions(spark: SparkSession, lake_dir: str) -> DataFrame:
-    """(year, quarter, rows) of the lake, answered from Parquet footers."""
+def lake_partitions(spark: SparkSession, lake_dir: str,
+                    only: list[tuple[int, int]] | None = None, where=None) -> DataFrame:
+    """(year, quarter, rows) of the lake, optionally of some quarters only
+    (pruned to their folders) and of rows matching ``where``."""
+    from functools import reduce
     from ..sources.lake import read_trip_lake
-    return read_trip_lake(spark, lake_dir).groupBy(*S.LAKE_PARTITIONS).agg(F.count(F.lit(1)).alias("rows"))
+    lake = read_trip_lake(spark, lake_dir)
+    if only:
+        conds = [(F.col("year") == y) & (F.col("quarter") == q) for y, q in sorted(set(only))]
+        lake = lake.filter(reduce(lambda a, b: a | b, conds))
+    if where is not None:
+        lake = lake.filter(where)
+    return lake.groupBy(*S.LAKE_PARTITIONS).agg(F.count(F.lit(1)).alias("rows"))

@@ -128,11 +128,15 @@ def with_source_metadata(df: DataFrame, ingested_at: dt.datetime) -> DataFrame:
     return _stamp(df.withColumn("source_year", year).withColumn("source_quarter", quarter), ingested_at)
 
 
+def stamp_literal(ingested_at: dt.datetime) -> Column:
+    """The run's ingestion instant as a timestamp literal (UTC session)."""
+    return F.lit(ingested_at.astimezone(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+
+
 def _stamp(df: DataFrame, ingested_at: dt.datetime) -> DataFrame:
-    stamp = ingested_at.astimezone(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
     return (
         df.withColumn("source_file", F.col(C.FILE_NAME))
-        .withColumn("ingested_at", F.lit(stamp).cast("timestamp"))
+        .withColumn("ingested_at", stamp_literal(ingested_at))
         .withColumn("year", F.col("source_year").cast("int"))
         .withColumn("quarter", F.col("source_quarter").cast("int"))
     )

@@ -148,3 +148,17 @@ def test_station_ingest(spark, folder):
     assert got[4285]["latitude"] is None and got[4285]["region"] is None
     with pytest.raises(FileNotFoundError):
         ingest_stations(spark, folder + "/missing.csv", out)
+
+
+def test_republished_quarter_without_valid_rows_empties_it(spark, folder):
+    import os
+    raw = folder + "/raw"
+    os.makedirs(raw.replace("file://", ""))
+    write_text(raw, "metro-trips-2026-q1.csv", TRIP_HEADER + "\n" + row("1") + "\n")
+    write_text(raw, "metro-trips-2025-q4.csv", TRIP_HEADER + "\n" + row("3", start="12/1/2025 10:00", end="12/1/2025 10:08") + "\n")
+    lake, manifest = folder + "/lake", folder + "/m.json"
+    ingest_trips(spark, raw, lake, manifest, STAMP)
+    write_text(raw, "metro-trips-2026-q1.csv", TRIP_HEADER + "\n" + row("2", "0") + "\n")
+    result = ingest_trips(spark, raw, lake, manifest, STAMP + dt.timedelta(days=1))
+    assert result.cleaned_rows == {"metro-trips-2025-q4.csv": 1, "metro-trips-2026-q1.csv": 0}
+    assert sorted(r["trip_id"] for r in read_trip_lake(spark, lake).collect()) == [3]

@@ -81,3 +81,15 @@ def test_open_prefers_serving_copy(spark, folder):
     assert Warehouse.open(spark, primary, fallback).root == fallback
     os.makedirs(primary.replace("file://", ""))
     assert Warehouse.open(spark, primary, fallback).root == primary
+
+
+def test_catalog_mode_registers_tables(spark, folder):
+    from stationflow.plans.warehouse import build_warehouse
+    from stationflow.plans.ingest import ingest_stations, ingest_trips
+    cfg = setup_inputs(folder)
+    ingest_trips(spark, cfg.raw_dir, cfg.lake_trips, cfg.manifest, STAMP)
+    ingest_stations(spark, cfg.stations_csv, cfg.lake_stations)
+    build_warehouse(spark, cfg.lake_trips, cfg.lake_stations, cfg.warehouse, catalog=True)
+    assert spark.table("staging.trips").count() == 4
+    assert spark.sql("select count(*) from marts.rpt_hourly_demand").first()[0] == 3
+    assert spark.table("staging.trips").filter("source_year = 2026").count() == 3
