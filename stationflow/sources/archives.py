@@ -85,7 +85,7 @@ def page_links(pages: DataFrame) -> DataFrame:
     href = F.regexp_replace("href", "&amp;", "&")
     resolved = links.withColumn("href", href).withColumn("url", resolve_url(F.col("page_url"), F.col("href")))
     return resolved.select(
-        "page_id", (F.col("link_pos") + 1).alias("link_pos"), "href", "url",
+        "page_id", (F.col("link_pos") + 1).cast("bigint").alias("link_pos"), "href", "url",
         url_file_name(F.col("url")).alias("file_name"),
     )
 
