@@ -51,8 +51,16 @@ def test_full_run_and_rerun(spark, folder):
     assert serving.table(S.RPT_ROUTE_POPULARITY).count() == 3
     assert os.path.exists(cfg.serving_manifest.replace("file://", ""))
 
-    second = run_pipeline(spark, cfg, STAMP)
+    wh_first = Warehouse(spark, cfg.warehouse)
+    before = sorted(tuple(r) for r in wh_first.table(S.STAGING_TRIPS).drop("ingested_at").collect())
+    marts_before = {n: sorted(tuple(r) for r in wh_first.table(n).collect())
+                    for n in (S.RPT_HOURLY_DEMAND, S.RPT_STATION_ACTIVITY, S.RPT_ROUTE_POPULARITY)}
+    second = run_pipeline(spark, cfg, STAMP + dt.timedelta(hours=1))
     assert second.counts == first.counts
+    wh_second = Warehouse(spark, cfg.warehouse)
+    assert sorted(tuple(r) for r in wh_second.table(S.STAGING_TRIPS).drop("ingested_at").collect()) == before
+    for n, rows in marts_before.items():
+        assert sorted(tuple(r) for r in wh_second.table(n).collect()) == rows
 
     wh = Warehouse(spark, cfg.warehouse, trips_lake=cfg.lake_trips, stations_file=cfg.lake_stations)
     counts_df, files_df, updated = data_health(spark, wh, cfg.manifest, "2026 Q1")
