@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Optional
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
@@ -104,7 +104,7 @@ def station_hourly(trips: DataFrame, quarter: str, station_id: str) -> DataFrame
     return agg.select("start_hour", X.hour_label("start_hour").alias("start_hour_label"), "trip_starts")
 
 
-def physical_destination(prefix: str = "es_") -> "F.Column":
+def physical_destination(prefix: str = "es_") -> Column:
     """Not a Virtual Station, in a known region, with real coordinates."""
     return (
         (X.with_default(f"{prefix}station_name", X.UNKNOWN_END_STATION) != F.lit(X.VIRTUAL_STATION))

@@ -78,15 +78,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/stationflow/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python code can open a local/shared mount."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     """Path existence through Hadoop's file system (works for any scheme)."""
     jvm = spark.sparkContext._jvm

@@ -132,10 +132,6 @@ def _text(name: str) -> str:
     return f"CASE WHEN `{name}` IN ({_NA_SQL}) THEN NULL ELSE `{name}` END"
 
 
-def na_to_null(c: Column) -> Column:
-    return F.when(c.isin(*NA_TOKENS), F.lit(None)).otherwise(c)
-
-
 def parse_long(name: str, what: str) -> Column:
     """Integer text -> bigint; '8.0' is accepted, '8.5' or 'abc' raise."""
     s = f"`{name}`"

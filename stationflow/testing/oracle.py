@@ -171,6 +171,3 @@ def sql(body: str, extra_ctes: str = "") -> str:
     ctes = BASE_CTES + ("," + extra_ctes if extra_ctes else "")
     return f"{ctes}\n{body}"
 
-
-def round2(expr: str) -> str:
-    return f"round({expr}, 2)"

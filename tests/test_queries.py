@@ -90,3 +90,11 @@ def test_all_option_first(spark):
     opts = OP.demand_filter_options(stg, dim).filter("filter_name = 'region'")
     got = [r["filter_value"] for r in OP.with_all_option(opts, "filter_value", X.ALL_REGIONS).collect()]
     assert got == ["All Regions", "DTLA", "Westside"]
+
+
+def test_station_choice_and_bar_order(spark):
+    assert ST.selected_station_id("All Stations") is None
+    assert ST.selected_station_id("O'Hara (Plaza) (1)") == "1"
+    stg, dim = fixture(spark)
+    top = ST.top_stations(ST.station_ranking(stg, dim), 3)
+    assert [r["trip_starts"] for r in ST.bar_order(top, "trip_starts").collect()] == [1, 2, 7]
