@@ -18,24 +18,30 @@ CSV_EXPORTS = {
 }
 
 
-def export_csv(spark: SparkSession, wh: Warehouse, out_dir: str) -> list[str]:
+def export_csv(spark: SparkSession, wh: Warehouse, out_dir: str, single_file: bool = True) -> list[str]:
     """One headed, comma-separated file per mart, rows in the mart's
-    order. The sort runs in parallel (range partitions); only the single
-    output file is written by one task, because one file is the product."""
+    order. The sort runs in parallel (range partitions); the single output
+    file is written by one task, because one file is the product. With
+    ``single_file=False`` each extract is a folder of headed part files
+    written in parallel, whose name order is the row order (for marts too
+    large for one writer)."""
     written = []
     for file_name, table in CSV_EXPORTS.items():
         df = mart_order(wh.table(table), table)
         target = f"{out_dir.rstrip('/')}/{file_name}.csv"
         staged = files.staging_for(target)
         (
-            df.coalesce(1).write.mode("overwrite")
+            (df.coalesce(1) if single_file else df).write.mode("overwrite")
             .option("header", True)
             .option("dateFormat", "yyyy-MM-dd")
             .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
             .csv(staged)
         )
-        files.single_part_to_file(spark, staged, target)
+        if single_file:
+            files.single_part_to_file(spark, staged, target)
+        else:
+            files.replace_dir(spark, staged, target)
         written.append(target)
     return written
 

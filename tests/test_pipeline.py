@@ -101,3 +101,13 @@ def test_catalog_mode_registers_tables(spark, folder):
     assert spark.table("staging.trips").count() == 4
     assert spark.sql("select count(*) from marts.rpt_hourly_demand").first()[0] == 3
     assert spark.table("staging.trips").filter("source_year = 2026").count() == 3
+
+
+def test_csv_export_as_ordered_parts(spark, folder):
+    from stationflow.sinks.exports import export_csv
+    cfg = setup_inputs(folder)
+    run_pipeline(spark, cfg, STAMP)
+    wh = Warehouse(spark, cfg.warehouse)
+    export_csv(spark, wh, folder + "/parts", single_file=False)
+    back = spark.read.option("header", True).csv(folder + "/parts/route_popularity.csv")
+    assert back.count() == 3
