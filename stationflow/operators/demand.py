@@ -16,6 +16,10 @@ from .joins import with_start_station
 from .models import trip_measures
 
 
+def _asc(*cols: str) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in cols]
+
+
 def overview_metrics(trips: DataFrame, quarter: str = X.ALL_QUARTERS) -> DataFrame:
     """One row of headline figures, optionally for one quarter."""
     return X.where(trips, [X.quarter_filter(quarter)]).agg(
@@ -54,6 +58,7 @@ def demand_by_quarter(trips: DataFrame) -> DataFrame:
     return (
         trips.groupBy("source_year", "source_quarter").agg(F.count(F.lit(1)).alias("trip_count"))
         .select("source_year", "source_quarter", X.quarter_label().alias("quarter_label"), "trip_count")
+        .orderBy(*_asc("source_year", "source_quarter"))
     )
 
 
@@ -62,6 +67,7 @@ def daily_demand(trips: DataFrame, quarter: str) -> DataFrame:
     return (
         X.where(trips, [X.quarter_filter(quarter)])
         .groupBy("trip_date").agg(F.count(F.lit(1)).alias("trip_count"))
+        .orderBy(*_asc("trip_date"))
     )
 
 
@@ -112,7 +118,7 @@ def historical_demand(trips: DataFrame, dim: DataFrame, filters: DemandFilters =
         X.hour_label("start_hour").alias("start_hour_label"),
         X.day_type(X.dow0("trip_date")).alias("day_type"),
         "trip_count", "active_station_count", "distinct_bikes_used", "avg_duration_minutes",
-    )
+    ).orderBy(*_asc("trip_date", "start_hour", "source_year", "source_quarter"))
 
 
 def has_rows(df: DataFrame) -> bool:
@@ -134,7 +140,7 @@ def demand_daily(hourly: DataFrame) -> DataFrame:
         F.sum("trip_count").alias("trip_count"),
         F.max("active_station_count").alias("active_station_count"),
         F.sum("distinct_bikes_used").alias("distinct_bikes_used"),
-    )
+    ).orderBy(*_asc("trip_date"))
 
 
 def demand_by_hour(hourly: DataFrame) -> DataFrame:
@@ -142,7 +148,7 @@ def demand_by_hour(hourly: DataFrame) -> DataFrame:
     return hourly.groupBy("start_hour", "start_hour_label").agg(
         F.sum("trip_count").alias("trip_count"),
         mean_of_rounded("avg_duration_minutes").alias("avg_duration_minutes"),
-    )
+    ).orderBy(*_asc("start_hour"))
 
 
 def demand_by_day_type(hourly: DataFrame) -> DataFrame:
@@ -150,11 +156,11 @@ def demand_by_day_type(hourly: DataFrame) -> DataFrame:
     return hourly.groupBy("day_type").agg(
         F.sum("trip_count").alias("trip_count"),
         mean_of_rounded("avg_duration_minutes").alias("avg_duration_minutes"),
-    )
+    ).orderBy(*_asc("day_type"))
 
 
 def demand_by_quarter_filtered(hourly: DataFrame) -> DataFrame:
     """Per-quarter rollup of E8 (shown for All Quarters)."""
     return hourly.groupBy("source_year", "source_quarter", "quarter_label").agg(
         F.sum("trip_count").alias("trip_count")
-    )
+    ).orderBy(*_asc("source_year", "source_quarter"))

@@ -13,8 +13,10 @@ from .models import route_names, station_activity
 
 def station_ranking(trips: DataFrame, dim: DataFrame, quarter: str = X.ALL_QUARTERS) -> DataFrame:
     """Per start station over the chosen quarter(s); trips without a
-    start station form their own 'Unknown Station' row (no null filter)."""
-    return station_activity(X.where(trips, [X.quarter_filter(quarter)]), dim, [])
+    start station form their own 'Unknown Station' row (no null filter).
+    Ordered by trip starts, descending (ties by station id)."""
+    return station_activity(X.where(trips, [X.quarter_filter(quarter)]), dim, []).orderBy(
+        F.col("trip_starts").desc_nulls_last(), F.col("station_id").asc_nulls_last())
 
 
 def in_region(ranking: DataFrame, region: str = X.ALL_REGIONS) -> DataFrame:
@@ -93,7 +95,7 @@ def station_daily(trips: DataFrame, quarter: str, station_id: str) -> DataFrame:
     """Trip starts per day at one station."""
     return _station_trips(trips, quarter, station_id).groupBy("trip_date").agg(
         F.count(F.lit(1)).alias("trip_starts")
-    )
+    ).orderBy(F.col("trip_date").asc_nulls_last())
 
 
 def station_hourly(trips: DataFrame, quarter: str, station_id: str) -> DataFrame:
@@ -101,7 +103,8 @@ def station_hourly(trips: DataFrame, quarter: str, station_id: str) -> DataFrame
     agg = _station_trips(trips, quarter, station_id).groupBy("start_hour").agg(
         F.count(F.lit(1)).alias("trip_starts")
     )
-    return agg.select("start_hour", X.hour_label("start_hour").alias("start_hour_label"), "trip_starts")
+    return agg.select("start_hour", X.hour_label("start_hour").alias("start_hour_label"), "trip_starts").orderBy(
+        F.col("start_hour").asc_nulls_last())
 
 
 def physical_destination(prefix: str = "es_") -> Column:
