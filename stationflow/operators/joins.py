@@ -4,7 +4,8 @@ The station dimension has one row per station, so it is small, but its size
 is checked rather than assumed before the broadcast hint is given:
 
 1. the optimizer's size estimate (from the Parquet file sizes it scans, no
-   job run) is within ``stationflow.dimBroadcastMaxBytes`` (64 MiB), or
+   job run) is within ``stationflow.dimBroadcastMaxBytes`` (16 MiB; Parquet
+   sizes are compressed, rows in memory are several times larger), or
 2. where the estimate is loose (without CBO an inner join is estimated as the
    product of its inputs), a bounded count ``limit(max_rows + 1).count()``
    shows at most ``stationflow.dimBroadcastMaxRows`` (500,000) rows.
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+DEFAULT_BROADCAST_MAX_BYTES = 16 * 1024 * 1024
 DEFAULT_BROADCAST_MAX_ROWS = 500_000
 
 

@@ -95,3 +95,20 @@ def test_mart_order_desc_nulls_last(spark):
     got = [tuple(r) for r in M.mart_order(df, "marts.rpt_station_activity").collect()]
     assert got == [(2025, 4, 1), (2026, 1, 9), (2026, 1, 5)]
     assert F is not None
+
+
+def test_no_broadcast_beyond_the_bounds(spark):
+    rows = [trip(1), trip(2, start_station=3)]
+    stg = M.build_staging_trips(raw_trips(spark, rows))
+    dim = M.build_dim_stations(raw_stations(spark, [station(1, "Main"), station(2, "Second")]))
+    spark.conf.set("stationflow.dimBroadcastMaxBytes", "1")
+    spark.conf.set("stationflow.dimBroadcastMaxRows", "1")
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = M.build_route_popularity(stg, dim)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    finally:
+        spark.conf.unset("stationflow.dimBroadcastMaxBytes")
+        spark.conf.unset("stationflow.dimBroadcastMaxRows")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
