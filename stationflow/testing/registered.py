@@ -7,13 +7,28 @@ library over them. ``ORACLE[name]`` is the same computation in DuckDB SQL.
 
 from __future__ import annotations
 
+import datetime as _dt
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .. import schemas as S
 from .. import session
+from ..functions import expressions as X
+from ..operators import demand as D
+from ..operators import manifest as MF
 from ..operators import models as M
+from ..operators import options as OP
+from ..operators import quality as Q
+from ..operators import routes as R
+from ..operators import stations as ST
+from ..plans.ingest import ingest_trips
+from ..session import scratch_path
 from ..sources import adapter as A
+from ..sources import archives as AR
+from ..sources.adapter import FILE_ORDER
+from ..sources.lake import read_trip_lake
 from . import oracle as O
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,11 +157,6 @@ def q_rpt_route_popularity(spark, sf_dir):
 
 # ------------------------------------------------------- dashboard queries ---
 
-from ..functions import expressions as X  # noqa: E402
-from ..operators import demand as D  # noqa: E402
-from ..operators import options as OP  # noqa: E402
-from ..operators import routes as R  # noqa: E402
-from ..operators import stations as ST  # noqa: E402
 
 # Fixed parameters of the registered dashboard queries (filter choices).
 QUARTER = "1998 Q2"
@@ -545,9 +555,6 @@ def q_region_choices(spark, sf_dir):
 
 # ------------------------------------------------ checks, counts, serving ---
 
-from .. import schemas as S  # noqa: E402
-from ..operators import manifest as MF  # noqa: E402
-from ..operators import quality as Q  # noqa: E402
 
 MART_CTES = ",".join([
     "hourly_mart as (" + HOURLY_MART_SQL + ")",
@@ -673,8 +680,6 @@ def manifest_records(spark, sf_dir, stamp=LATER_RUN, min_year=None, max_year=Non
     return MF.records_from_counts(counts, RAW_DIR, LAKE_DIR, stamp)
 
 
-from pyspark.sql import functions as F  # noqa: E402
-
 OLD_MANIFEST = "old_manifest as (" + _manifest_records_sql(
     f"where source_year <= {FIRST_YEAR_OF_LATER_RUN}", EARLIER_RUN) + ")"
 NEW_MANIFEST = "new_manifest as (" + _manifest_records_sql(
@@ -760,12 +765,6 @@ def q_archive_counts(spark, sf_dir):
 
 # ------------------------------------------------------- files round trip ---
 
-import datetime as _dt  # noqa: E402
-
-from ..plans.ingest import ingest_trips  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources.adapter import FILE_ORDER  # noqa: E402
-from ..sources.lake import read_trip_lake  # noqa: E402
 
 INGEST_STAMP = _dt.datetime(2026, 6, 14, 0, 30, 52, tzinfo=_dt.timezone.utc)
 _LAKE_COLUMNS = S.TRIP_CSV_COLUMNS + S.SOURCE_COLUMNS + S.LAKE_PARTITIONS
@@ -826,8 +825,6 @@ def q_ingest_manifest(spark, sf_dir):
 
 # -------------------------------------------------------- pages, archives ---
 
-from ..sources import archives as AR  # noqa: E402
-
 
 @register("page_links", O.sql("""
 select page_id, link_pos, href,
