@@ -111,3 +111,23 @@ def test_csv_export_as_ordered_parts(spark, folder):
     export_csv(spark, wh, folder + "/parts", single_file=False)
     back = spark.read.option("header", True).csv(folder + "/parts/route_popularity.csv")
     assert back.count() == 3
+
+
+def test_dashboard_views(spark, folder):
+    from stationflow.operators.demand import DemandFilters
+    from stationflow.plans.dashboard import Dashboard
+    cfg = setup_inputs(folder)
+    run_pipeline(spark, cfg, STAMP)
+    dash = Dashboard.open(spark, cfg.serving, cfg.warehouse, cfg.serving_manifest, cfg.manifest)
+    assert dash.wh.root == cfg.serving and dash.manifest_path == cfg.serving_manifest
+    assert [r[0] for r in dash.quarter_choices().collect()] == ["All Quarters", "2025 Q4", "2026 Q1"]
+    views = dash.historical_demand(DemandFilters(region="DTLA"))
+    assert set(views) == {"hourly", "daily", "by_hour", "by_day_type", "by_quarter"}
+    assert sum(r["trip_count"] for r in views["daily"].collect()) == 2
+    st = dash.station_activity(station_label="7th & Flower (3005)")
+    assert st.selected.first()["trip_starts"] == 2 and st.daily.count() == 2
+    assert [r["region"] for r in st.regions.collect()] == ["DTLA", "Westside"]
+    r = dash.routes(top_n=1)
+    assert r["top"].count() == 1 and r["categories"].count() == 1
+    counts, files, _ = dash.data_health("2025 Q4")
+    assert files.count() == 1 and counts.count() == 4
