@@ -209,3 +209,27 @@ def pack_archives(spark: SparkSession, csv_paths: list[str], out_dir: str) -> li
 
     df = spark.createDataFrame(rows, "src string, dst string").repartition(max(1, len(rows)))
     return sorted(r["path"] for r in df.mapInPandas(pack, "path string").collect())
+
+
+STATION_CSV_HEADER = ["Kiosk ID", "Kiosk Name", "Go Live Date", "Region ", "Status", "Latitude", "Longitude"]
+
+
+def write_station_csv(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Write ``raw_stations`` as a station-list CSV with the published header
+    ('Region ' with its blank), each station's current row before its older
+    snapshot, dates as 'M/d/yyyy'."""
+    from ..sinks import files
+
+    rows = raw_stations(spark, sf_dir).withColumn(
+        "_older", (F.col("station_name").endswith(" (old)")).cast("int"))
+    staged = files.staging_for(path)
+    (
+        rows.orderBy("station_id", "_older").drop("_older")
+        .select([F.col(c).alias(h) for c, h in zip(S.STATION_COLUMNS, STATION_CSV_HEADER)])
+        .coalesce(1).write.mode("overwrite")
+        .option("header", True)
+        .option("timestampNTZFormat", "M/d/yyyy")
+        .csv(staged)
+    )
+    files.single_part_to_file(spark, staged, path)
+    return path

@@ -889,3 +889,64 @@ from ({_OVERVIEW_SQL.format(where='')})
 def q_overview_display(spark, sf_dir):
     """E4 shown as text (I18): '1,234' counts, 'x.xx min', 'Jan 5, 2026'."""
     return D.overview_display(D.overview_metrics(staging(spark, sf_dir)))
+
+
+# ---------------------------------------------- warehouse and its outputs ---
+
+from ..plans.ingest import ingest_stations  # noqa: E402
+from ..plans.warehouse import build_warehouse  # noqa: E402
+from ..sinks.exports import export_csv, export_serving  # noqa: E402
+from ..sinks.lake import write_station_lake, write_trip_lake  # noqa: E402
+from ..sinks.tables import Warehouse  # noqa: E402
+
+
+def built_warehouse(spark, sf_dir) -> Warehouse:
+    """The adapter's raw tables written as the lake and station Parquet,
+    then the full warehouse build (M3) in the shared folder."""
+    lake = scratch_path(spark, "wh-lake")
+    stations = scratch_path(spark, "wh-stations")
+    write_trip_lake(A.raw_trips(spark, sf_dir), lake)
+    write_station_lake(A.raw_stations(spark, sf_dir), stations)
+    wh, _ = build_warehouse(spark, lake, stations, scratch_path(spark, "warehouse"))
+    return wh
+
+
+@register("station_ingest", O.sql("select * from station_current"))
+def q_station_ingest(spark, sf_dir):
+    """M2 (A4-A6, F4, B2): the station list as a CSV with the published
+    header, ingested; the first row per station in file order is kept."""
+    csv = A.write_station_csv(spark, sf_dir, scratch_path(spark, "stations-csv") + "/stations.csv")
+    out = scratch_path(spark, "stations-parquet")
+    ingest_stations(spark, csv, out)
+    return spark.read.parquet(out)
+
+
+@register("warehouse_staging", O.sql("select * from stg"))
+def q_warehouse_staging(spark, sf_dir):
+    """M3 (B3, B4, A7, A8): staging.trips as written by the warehouse build
+    (partitioned by quarter) and read back."""
+    return built_warehouse(spark, sf_dir).table(S.STAGING_TRIPS)
+
+
+@register("warehouse_route_mart", O.sql(ROUTE_MART_SQL))
+def q_warehouse_route_mart(spark, sf_dir):
+    """M3: the route mart as written by the build (from written staging)."""
+    return built_warehouse(spark, sf_dir).table(S.RPT_ROUTE_POPULARITY)
+
+
+@register("csv_export_hourly", O.sql(HOURLY_MART_SQL))
+def q_csv_export_hourly(spark, sf_dir):
+    """The hourly-demand extract (one headed CSV in mart order) read
+    back with the mart's schema."""
+    wh = built_warehouse(spark, sf_dir)
+    out = scratch_path(spark, "exports")
+    export_csv(spark, wh, out)
+    schema = wh.table(S.RPT_HOURLY_DEMAND).schema
+    return spark.read.schema(schema).option("header", True).csv(out + "/hourly_demand.csv")
+
+
+@register("serving_trips", O.sql(f"select {', '.join(S.SLIM_COLUMNS)} from stg"))
+def q_serving_trips(spark, sf_dir):
+    """Staging.trips of the serving copy (17 columns)."""
+    wh = built_warehouse(spark, sf_dir)
+    return export_serving(spark, wh, scratch_path(spark, "serving")).table(S.STAGING_TRIPS)
