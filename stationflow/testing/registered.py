@@ -23,8 +23,12 @@ from ..operators import options as OP
 from ..operators import quality as Q
 from ..operators import routes as R
 from ..operators import stations as ST
-from ..plans.ingest import ingest_trips
+from ..plans.ingest import ingest_stations, ingest_trips
+from ..plans.warehouse import build_warehouse
 from ..session import scratch_path
+from ..sinks.exports import export_csv, export_serving
+from ..sinks.lake import write_station_lake, write_trip_lake
+from ..sinks.tables import Warehouse
 from ..sources import adapter as A
 from ..sources import archives as AR
 from ..sources.adapter import FILE_ORDER
@@ -893,12 +897,6 @@ def q_overview_display(spark, sf_dir):
 
 # ---------------------------------------------- warehouse and its outputs ---
 
-from ..plans.ingest import ingest_stations  # noqa: E402
-from ..plans.warehouse import build_warehouse  # noqa: E402
-from ..sinks.exports import export_csv, export_serving  # noqa: E402
-from ..sinks.lake import write_station_lake, write_trip_lake  # noqa: E402
-from ..sinks.tables import Warehouse  # noqa: E402
-
 
 def built_warehouse(spark, sf_dir) -> Warehouse:
     """The adapter's raw tables written as the lake and station Parquet,
