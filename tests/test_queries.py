@@ -98,3 +98,12 @@ def test_station_choice_and_bar_order(spark):
     stg, dim = fixture(spark)
     top = ST.top_stations(ST.station_ranking(stg, dim), 3)
     assert [r["trip_starts"] for r in ST.bar_order(top, "trip_starts").collect()] == [1, 2, 7]
+
+
+def test_physical_destination_filter_makes_the_end_join_inner(spark):
+    stg, dim = fixture(spark)
+    physical = ST.top_destinations(stg, dim, X.ALL_QUARTERS, "1")._jdf.queryExecution().optimizedPlan().toString()
+    special = ST.top_destinations(stg, dim, X.ALL_QUARTERS, "1", include_special=True)
+    special_plan = special._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in physical
+    assert "Join Inner" not in special_plan and special_plan.count("Join LeftOuter") == 2
