@@ -112,3 +112,14 @@ def test_no_broadcast_beyond_the_bounds(spark):
         spark.conf.unset("stationflow.dimBroadcastMaxBytes")
         spark.conf.unset("stationflow.dimBroadcastMaxRows")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+
+
+def test_role_playing_join_keeps_every_trip(spark):
+    from stationflow.operators.joins import with_route_stations
+    rows = [trip(1, start_station=1, end_station=2), trip(2, start_station=9, end_station=None)]
+    stg = M.build_staging_trips(raw_trips(spark, rows))
+    dim = M.build_dim_stations(raw_stations(spark, [station(1, "Main"), station(2, "Second")]))
+    got = {r["trip_id"]: r for r in with_route_stations(stg, dim, ["station_id", "station_name"]).collect()}
+    assert set(got) == {"1", "2"}
+    assert (got["1"]["ss_station_name"], got["1"]["es_station_name"]) == ("Main", "Second")
+    assert got["2"]["ss_station_name"] is None and got["2"]["es_station_name"] is None
