@@ -42,3 +42,15 @@ def test_marker_size_and_formats(spark):
     df = spark.createDataFrame([(4, dt.date(2026, 1, 5), 1234567, 8.456)], "n long, d date, c long, m double")
     r = df.select(X.marker_size("n"), X.format_day("d"), X.format_count("c"), X.format_minutes("m")).first()
     assert tuple(r) == (6.0, "Jan 5, 2026", "1,234,567", "8.46 min")
+
+
+def test_rows_frame_quotes_values(spark):
+    from stationflow.sources.local import rows_frame
+    rows = [("O'Hara \\ (1)", 1, None, 2.5), ("plain", None, True, None)]
+    df = rows_frame(spark, rows, "name string, n bigint, flag boolean, x double")
+    assert [tuple(r) for r in df.collect()] == rows
+    assert df.schema.simpleString() == "struct<name:string,n:bigint,flag:boolean,x:double>"
+    empty = rows_frame(spark, [], "name string, n bigint")
+    assert empty.count() == 0 and empty.columns == ["name", "n"]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan
