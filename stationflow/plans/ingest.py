@@ -37,14 +37,16 @@ class IngestResult:
 
 
 def ingest_trips(spark: SparkSession, input_dir: str, lake_dir: str, manifest_path: str,
-                 ingested_at: dt.datetime | None = None) -> IngestResult:
-    """M1: A2 -> A3 -> A1/A5 -> F3 -> C2 -> C1 -> B1 -> B11 -> B9."""
+                 ingested_at: dt.datetime | None = None, multi_line: bool = False) -> IngestResult:
+    """M1: A2 -> A3 -> A1/A5 -> F3 -> C2 -> C1 -> B1 -> B11 -> B9.
+    ``multi_line``: quoted fields may span lines (files are then not split)."""
     files = TR.list_trip_files(spark, input_dir)
-    return ingest_trip_files(spark, files, input_dir, lake_dir, manifest_path, ingested_at)
+    return ingest_trip_files(spark, files, input_dir, lake_dir, manifest_path, ingested_at, multi_line)
 
 
 def ingest_trip_files(spark: SparkSession, files: list[str], input_dir: str, lake_dir: str,
-                      manifest_path: str, ingested_at: dt.datetime | None = None) -> IngestResult:
+                      manifest_path: str, ingested_at: dt.datetime | None = None,
+                      multi_line: bool = False) -> IngestResult:
     """M1 over an explicit list of trip CSVs (used by the batch run and by
     the incremental stream). Re-running it with the same files gives the
     same lake partitions and manifest records."""
@@ -52,7 +54,7 @@ def ingest_trip_files(spark: SparkSession, files: list[str], input_dir: str, lak
     quarters = {n: TR.trip_file_quarter(n) for n in names}
     stamp = ingested_at or dt.datetime.now(dt.timezone.utc)
 
-    rows = TR.cleaned_trips(spark, files, stamp, keep_file_index=True)
+    rows = TR.cleaned_trips(spark, files, stamp, keep_file_index=True, multi_line=multi_line)
     index = {n: i for i, n in enumerate(sorted(set(names)))}
     winners = TR.last_file_per_quarter(files)
     replaced = [n for n in names if n not in set(winners)]

@@ -80,9 +80,12 @@ def parse_header(line: str) -> list[str]:
 
 
 def read_text_columns(spark: SparkSession, paths: Sequence[str],
-                      normalize: Callable[[str], str]) -> DataFrame:
+                      normalize: Callable[[str], str], multi_line: bool = False) -> DataFrame:
     """All rows of the CSV files as text columns named by the normalised
-    header, plus the file path/name and the row's position in its file."""
+    header, plus the file path/name and the row's position in its file.
+
+    ``multi_line`` reads quoted fields that span lines; a file is then read
+    by one task (it cannot be split), so it is off by default."""
     groups: dict[tuple[str, ...], list[str]] = {}
     # Header lines are read concurrently: on an object store each read is a
     # round trip, and there may be thousands of files.
@@ -98,6 +101,7 @@ def read_text_columns(spark: SparkSession, paths: Sequence[str],
             .option("header", True)
             .option("enforceSchema", True)
             .option("mode", "PERMISSIVE")
+            .option("multiLine", multi_line)
             .csv(files)
         )
         df = with_file_position(df)

@@ -66,10 +66,10 @@ def normalize_trip_header(name: str) -> str:
     return name.strip().lower()
 
 
-def read_trip_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def read_trip_csv(spark: SparkSession, paths: Sequence[str], multi_line: bool = False) -> DataFrame:
     """A1 + A5: typed trip rows of the given CSV files with the file's path,
     name and each row's position in its file. Extra columns are kept as text."""
-    text = C.read_text_columns(spark, paths, normalize_trip_header)
+    text = C.read_text_columns(spark, paths, normalize_trip_header, multi_line)
     C.require_columns(text, S.TRIP_CSV_COLUMNS, "trip CSV")
     what = "trip CSV"
     typed = []
@@ -132,7 +132,7 @@ def _stamp(df: DataFrame, ingested_at: dt.datetime) -> DataFrame:
 
 
 def cleaned_trips(spark: SparkSession, paths: Sequence[str], ingested_at: dt.datetime,
-                  keep_file_index: bool = False) -> DataFrame:
+                  keep_file_index: bool = False, multi_line: bool = False) -> DataFrame:
     """The rows the lake receives from the given files, before choosing one
     file per quarter: A1, A5, F3, C2, C1.
 
@@ -141,7 +141,7 @@ def cleaned_trips(spark: SparkSession, paths: Sequence[str], ingested_at: dt.dat
     is keyed on (file index, trip_id) and carries no path strings."""
     names = [p.rsplit("/", 1)[-1] for p in paths]
     lookup = F.broadcast(file_quarters(spark, names))
-    rows = read_trip_csv(spark, paths).drop(C.FILE_PATH).join(lookup, C.FILE_NAME, "inner")
+    rows = read_trip_csv(spark, paths, multi_line).drop(C.FILE_PATH).join(lookup, C.FILE_NAME, "inner")
     first = ingest_filter(keep_first_in_file(rows, FILE_INDEX, ["trip_id"]))
     out = _stamp(first, ingested_at)
     extras = [c for c in out.columns if c not in S.RAW_TRIP_COLUMNS + S.LAKE_PARTITIONS and not c.startswith("__")]

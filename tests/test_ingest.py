@@ -162,3 +162,15 @@ def test_republished_quarter_without_valid_rows_empties_it(spark, folder):
     result = ingest_trips(spark, raw, lake, manifest, STAMP + dt.timedelta(days=1))
     assert result.cleaned_rows == {"metro-trips-2025-q4.csv": 1, "metro-trips-2026-q1.csv": 0}
     assert sorted(r["trip_id"] for r in read_trip_lake(spark, lake).collect()) == [3]
+
+
+def test_multi_line_quoted_fields(spark, folder):
+    import os
+    raw = folder + "/raw"
+    os.makedirs(raw.replace("file://", ""))
+    quoted = row("1", passholder_type='"Monthly\nPass"')
+    write_text(raw, "metro-trips-2026-q1.csv", TRIP_HEADER + "\n" + quoted + "\n" + row("2") + "\n")
+    lake = folder + "/lake"
+    ingest_trips(spark, raw, lake, folder + "/m.json", STAMP, multi_line=True)
+    got = {r["trip_id"]: r for r in read_trip_lake(spark, lake).collect()}
+    assert set(got) == {1, 2} and got[1]["passholder_type"] == "Monthly\nPass"
