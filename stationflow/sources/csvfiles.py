@@ -38,6 +38,7 @@ TIMESTAMP_FORMATS = [
 
 FILE_PATH = "__file_path"
 FILE_NAME = "__file_name"
+CORRUPT = "__corrupt_line"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -95,16 +96,19 @@ def read_text_columns(spark: SparkSession, paths: Sequence[str],
         groups.setdefault(tuple(header), []).append(path)
     frames = []
     for header, files in groups.items():
-        schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))])
+        width = len(header)
+        schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)]
+                              + [T.StructField(CORRUPT, T.StringType())])
         df = (
             spark.read.schema(schema)
             .option("header", True)
             .option("enforceSchema", True)
             .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT)
             .option("multiLine", multi_line)
             .csv(files)
         )
-        df = with_file_position(df)
+        df = with_file_position(df).filter(_not_too_wide(width))
         names = [normalize(h) for h in header]
         df = df.select(
             *[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)],
@@ -116,6 +120,18 @@ def read_text_columns(spark: SparkSession, paths: Sequence[str],
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _not_too_wide(width: int) -> Column:
+    """True for a line with at most ``width`` fields; raises for a wider one
+    (a line with fewer fields reads as nulls, as pandas does). Only lines the
+    CSV reader flags as malformed are looked at: their delimiters outside
+    quoted sections are counted."""
+    unquoted = F.regexp_replace(F.col(CORRUPT), r'"[^"]*"', "")
+    fields = F.size(F.split(unquoted, ",", -1))
+    too_wide = F.col(CORRUPT).isNotNull() & (fields > width)
+    err = F.raise_error(F.concat(F.lit(f"CSV line has more than {width} fields: "), F.col(CORRUPT)))
+    return F.when(too_wide, err.cast("boolean")).otherwise(F.lit(True))
+
+
 def require_columns(df: DataFrame, columns: Iterable[str], what: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:

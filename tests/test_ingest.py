@@ -174,3 +174,20 @@ def test_multi_line_quoted_fields(spark, folder):
     ingest_trips(spark, raw, lake, folder + "/m.json", STAMP, multi_line=True)
     got = {r["trip_id"]: r for r in read_trip_lake(spark, lake).collect()}
     assert set(got) == {1, 2} and got[1]["passholder_type"] == "Monthly\nPass"
+
+
+def test_too_many_fields_raise_too_few_read_as_null(spark, folder):
+    import os
+    raw = folder + "/raw"
+    os.makedirs(raw.replace("file://", ""))
+    short = ",".join(row("1").split(",")[:-1])
+    write_text(raw, "metro-trips-2026-q1.csv", TRIP_HEADER + "\n" + short + "\n")
+    lake = folder + "/lake"
+    ingest_trips(spark, raw, lake, folder + "/m.json", STAMP)
+    assert read_trip_lake(spark, lake).first()["bike_type"] is None
+    write_text(raw, "metro-trips-2026-q1.csv", TRIP_HEADER + "\n" + row("1") + ",extra\n")
+    with pytest.raises(Exception, match="more than 15 fields"):
+        ingest_trips(spark, raw, lake, folder + "/m.json", STAMP)
+    write_text(raw, "metro-trips-2026-q1.csv", TRIP_HEADER + "\n" + row("1") + ",\n")
+    with pytest.raises(Exception, match="more than 15 fields"):
+        ingest_trips(spark, raw, lake, folder + "/m.json", STAMP)
