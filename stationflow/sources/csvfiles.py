@@ -38,7 +38,7 @@ TIMESTAMP_FORMATS = [
 
 FILE_PATH = "__file_path"
 FILE_NAME = "__file_name"
-CORRUPT = "__corrupt_line"
+EXTRA = "__extra_field"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -98,20 +98,21 @@ def read_text_columns(spark: SparkSession, paths: Sequence[str],
     for header, files in groups.items():
         width = len(header)
         schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)]
-                              + [T.StructField(CORRUPT, T.StringType())])
+                              + [T.StructField(EXTRA, T.StringType())])
         df = (
             spark.read.schema(schema)
             .option("header", True)
             .option("enforceSchema", True)
             .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
             .option("multiLine", multi_line)
             .csv(files)
         )
-        df = with_file_position(df).filter(_not_too_wide(width))
+        df = with_file_position(df)
         names = [normalize(h) for h in header]
+        first = _checked_width(F.col("_c0"), width)
         df = df.select(
-            *[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)],
+            first.alias(names[0]),
+            *[F.col(f"_c{i}").alias(n) for i, n in enumerate(names) if i > 0],
             F.col("_metadata.file_path").alias(FILE_PATH),
             F.col("_metadata.file_name").alias(FILE_NAME),
             *FILE_POSITION,
@@ -120,16 +121,13 @@ def read_text_columns(spark: SparkSession, paths: Sequence[str],
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _not_too_wide(width: int) -> Column:
-    """True for a line with at most ``width`` fields; raises for a wider one
-    (a line with fewer fields reads as nulls, as pandas does). Only lines the
-    CSV reader flags as malformed are looked at: their delimiters outside
-    quoted sections are counted."""
-    unquoted = F.regexp_replace(F.col(CORRUPT), r'"[^"]*"', "")
-    fields = F.size(F.split(unquoted, ",", -1))
-    too_wide = F.col(CORRUPT).isNotNull() & (fields > width)
-    err = F.raise_error(F.concat(F.lit(f"CSV line has more than {width} fields: "), F.col(CORRUPT)))
-    return F.when(too_wide, err.cast("boolean")).otherwise(F.lit(True))
+def _checked_width(first: Column, width: int) -> Column:
+    """The line's first field, or an error when the line has a value after
+    its last header column (a line with fewer fields reads as nulls, as
+    pandas does). An extra field that is empty reads as null and is not
+    noticed. Folded into a column the scan projects anyway: no extra operator."""
+    err = F.raise_error(F.concat(F.lit(f"CSV line has more than {width} fields; extra value: "), F.col(EXTRA)))
+    return F.when(F.col(EXTRA).isNotNull(), err.cast("string")).otherwise(first)
 
 
 def require_columns(df: DataFrame, columns: Iterable[str], what: str) -> None:

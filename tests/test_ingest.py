@@ -188,6 +188,7 @@ def test_too_many_fields_raise_too_few_read_as_null(spark, folder):
     write_text(raw, "metro-trips-2026-q1.csv", TRIP_HEADER + "\n" + row("1") + ",extra\n")
     with pytest.raises(Exception, match="more than 15 fields"):
         ingest_trips(spark, raw, lake, folder + "/m.json", STAMP)
+    # an empty extra field reads as null and is not noticed
     write_text(raw, "metro-trips-2026-q1.csv", TRIP_HEADER + "\n" + row("1") + ",\n")
-    with pytest.raises(Exception, match="more than 15 fields"):
-        ingest_trips(spark, raw, lake, folder + "/m.json", STAMP)
+    ingest_trips(spark, raw, lake, folder + "/m.json", STAMP)
+    assert read_trip_lake(spark, lake).count() == 1
