@@ -23,3 +23,17 @@ def test_incremental_ingest_takes_only_new_files(spark, folder):
     assert sorted((r["trip_id"], r["quarter"]) for r in read_trip_lake(spark, lake).collect()) == [(1, 1), (2, 2)]
     assert sorted(r["source_file"] for r in read_manifest(spark, manifest).collect()) == [
         "metro-trips-2026-q1.csv", "metro-trips-2026-q2.csv"]
+
+
+def test_watching_stream_processes_new_files_until_stopped(spark, folder):
+    raw = folder + "/raw"
+    os.makedirs(raw.replace("file://", ""))
+    lake, manifest, ckpt = folder + "/lake", folder + "/m.json", folder + "/ckpt"
+    write_text(raw, "metro-trips-2026-q1.csv", TRIP_HEADER + "\n" + row("5") + "\n")
+    q = ingest_new_trip_files(spark, raw, lake, manifest, ckpt, available_now=False)
+    try:
+        q.processAllAvailable()
+        assert [r["trip_id"] for r in read_trip_lake(spark, lake).collect()] == [5]
+    finally:
+        q.stop()
+    assert not q.isActive
