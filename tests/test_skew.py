@@ -43,3 +43,19 @@ def test_hot_keys_are_cut_before_the_shuffle(spark):
     # the only exchange (by trip_id, after the partial limit) carries the
     # 1000 distinct ids plus at most one null and one '7' row per input task
     assert written and max(written) <= 1000 + 2 * tasks, (written, tasks)
+
+
+def test_file_dedup_is_limited_before_its_shuffle(spark, tmp_path):
+    import datetime as dt
+    from helpers import TRIP_HEADER
+    from test_ingest import row
+    from stationflow.sources import trips as TR
+    lines = [TRIP_HEADER] + [row("", str(5 + i % 40)) for i in range(300)] + [row(str(i)) for i in range(1, 50)]
+    path = tmp_path / "metro-trips-2026-q1.csv"
+    path.write_text("\n".join(lines) + "\n")
+    df = TR.cleaned_trips(spark, ["file://" + str(path)], dt.datetime(2026, 6, 14, tzinfo=dt.timezone.utc))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    rows = df.collect()
+    assert len(rows) == 50
+    assert [r["duration"] for r in rows if r["trip_id"] is None] == [5]
