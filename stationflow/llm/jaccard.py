@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm.tables import Scratch, components, empty
+from stationflow.llm.tables import IdFilter, Scratch, components, empty
 from stationflow.llm.words import blocks, mix, runs
 
 WORDS = 5
@@ -194,9 +194,11 @@ def _keys(shared, boundary: int, share: int, words: int):
     return keys
 
 
-def _sets(words: int):
+def _sets(wanted, words: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array(wanted.value.passes(ids)))
             out = [s for _, s in shingle_sets(batch.column(1), words)]
             ptr = np.concatenate(([0], np.cumsum([len(s) for s in out]))).astype(np.int32)
             flat = np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
@@ -206,9 +208,13 @@ def _sets(words: int):
 
 
 def verify(pairs: DataFrame, texts: DataFrame, share: int, words: int) -> DataFrame:
-    """The pairs (a, b) whose sets link, by exact intersection; only texts that occur in a pair are hashed again."""
+    """The pairs (a, b) whose sets link, by exact intersection; only texts that occur in a pair are hashed again.
+
+    A fixed-size filter keeps the other texts out of the shuffle; the joins that follow are exact.
+    """
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = texts.join(ids, "id", "left_semi").mapInArrow(_sets(words), "id bigint, s array<bigint>")
+    wanted = texts.sparkSession.sparkContext.broadcast(IdFilter(ids))
+    sets = texts.mapInArrow(_sets(wanted, words), "id bigint, s array<bigint>").join(ids, "id", "left_semi")
     both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b"))
     common = F.size(F.array_intersect("sa", "sb"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import gc
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,3 +103,30 @@ def components(edges: DataFrame, scratch: Scratch, label: str = "components", mo
 def uniform(seed: int, *columns: Column) -> Column:
     """A repeatable value in [0, 1) from a seed and some columns."""
     return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 30)) / F.lit(float(1 << 30))
+
+
+#: Bits of an id filter: 2 MB, whatever the number of ids.
+FILTER_BITS = 1 << 24
+
+
+class IdFilter:
+    """A fixed-size bitmap over hashed ids: lets through every id of a table, and few others while it is sparse.
+
+    It thins out what a task emits before a shuffle; an exact join always follows, so a full bitmap costs time only.
+    """
+
+    def __init__(self, ids: DataFrame):
+        slot = F.col("id").bitwiseXOR(F.shiftrightunsigned("id", 23)).bitwiseAND(F.lit(FILTER_BITS - 1)) + 1
+        parts = (ids.where("id is not null").select(slot.alias("s"))
+                 .groupBy(F.bitmap_bucket_number("s").alias("bucket"))
+                 .agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits")))
+        self.bits = np.zeros(FILTER_BITS // 8, np.uint8)
+        for bucket, bits in parts.collect():
+            at = (int(bucket) - 1) * len(bits)
+            self.bits[at: at + len(bits)] = np.frombuffer(bits, np.uint8)
+
+    def passes(self, ids: np.ndarray) -> np.ndarray:
+        """Which of the ids may be in the table."""
+        u = ids.view(np.uint64)
+        slot = ((u ^ (u >> np.uint64(23))) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+        return (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
