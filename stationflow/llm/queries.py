@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import decontaminate, jaccard, mixing, sharding, toolcalls
+from stationflow.llm import decontaminate, jaccard, langid, mixing, sharding, substrings, tokenstore, toolcalls
 from stationflow.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(read(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.parse(read(spark, sf_dir, "documents")).drop("factors")
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(read(spark, sf_dir, "documents"))
 
@@ -39,16 +43,28 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenstore.store(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_jaccard_join": op2_jaccard_join,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_sharding": op5_sharding,
     "op6_tool_calls": op6_tool_calls,
     "op7_decontamination": op7_decontamination,
     "op8_mixing": op8_mixing,
+    "op9_language_id": op9_language_id,
+    "op10_token_store": op10_token_store,
 }
 
 ORACLE: dict[str, str] = {
     "op2_jaccard_join": jaccard.ORACLE,
+    "op4_substring_dedup": substrings.ORACLE,
     "op6_tool_calls": toolcalls.ORACLE,
     "op7_decontamination": decontaminate.ORACLE,
     "op8_mixing": mixing.oracle(MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED),
