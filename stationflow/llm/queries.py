@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import decontaminate, jaccard, langid, mixing, sharding, substrings, tokenstore, toolcalls
+from stationflow.llm import (covertree, decontaminate, jaccard, langid, licenses, mixing, sharding, substrings,
+                             tokenstore, toolcalls)
 from stationflow.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,10 +19,22 @@ MIX_EPOCHS = 3
 MIX_SEED = 17
 
 
+#: Every so many ids is a query of the top-k search.
+QUERY_EVERY = 50
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(read(spark, sf_dir, "documents"))
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.top_k(read(spark, sf_dir, "embeddings"), lambda i: i % QUERY_EVERY == 0)
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.parse(read(spark, sf_dir, "documents")).drop("factors")
 
@@ -52,7 +65,9 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_top_k": op3_top_k,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_sharding": op5_sharding,
     "op6_tool_calls": op6_tool_calls,
@@ -64,6 +79,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLE: dict[str, str] = {
     "op2_jaccard_join": jaccard.ORACLE,
+    "op3_top_k": covertree.oracle(covertree.K, QUERY_EVERY, covertree.SCALE),
     "op4_substring_dedup": substrings.ORACLE,
     "op6_tool_calls": toolcalls.ORACLE,
     "op7_decontamination": decontaminate.ORACLE,
