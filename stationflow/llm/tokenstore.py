@@ -40,8 +40,8 @@ FRAME_IDS = 1 << 16
 #: Bytes of text per file.
 FILE_BYTES = 24_000_000
 #: Bytes of text that are encoded together, and distinct pieces that a worker remembers.
-UNIT_BYTES = 4_000_000
-MEMORY = 1_500_000
+UNIT_BYTES = 2_000_000
+MEMORY = 750_000
 
 # fixed values of the public format
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -117,9 +117,9 @@ class Encoder:
 
     def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
         ids: list[np.ndarray] = []
-        for a in range(0, len(texts), 20_000):
+        for a in range(0, len(texts), 5_000):
             ids += [np.array(e.ids, np.uint32) for e in
-                    self.tokenizer.encode_batch(texts[a: a + 20_000], add_special_tokens=False)]
+                    self.tokenizer.encode_batch(texts[a: a + 5_000], add_special_tokens=False)]
         size = np.array([len(i) for i in ids], np.int64)
         start = len(self.flat) + np.concatenate(([0], np.cumsum(size)[:-1]))
         slot = len(self.size) + np.arange(len(keys))
