@@ -1,14 +1,10 @@
 """Fact-to-dimension joins (trips -> stations), start and end roles.
 
 The station dimension has one row per station, so it is small, but its size
-is checked rather than assumed before the broadcast hint is given:
-
-1. the optimizer's size estimate (from the Parquet file sizes it scans, no
-   job run) is within ``stationflow.dimBroadcastMaxBytes`` (16 MiB; Parquet
-   sizes are compressed, rows in memory are several times larger), or
-2. where the estimate is loose (without CBO an inner join is estimated as the
-   product of its inputs), a bounded count ``limit(max_rows + 1).count()``
-   shows at most ``stationflow.dimBroadcastMaxRows`` (500,000) rows.
+is checked rather than assumed before the broadcast hint is given: the
+optimizer's size estimate (from the Parquet file sizes it scans; no job runs)
+must be within ``stationflow.dimBroadcastMaxBytes`` (16 MiB; Parquet sizes are
+compressed, rows in memory are several times larger).
 
 Otherwise the join stays a shuffle join, which AQE may still turn into a
 broadcast from runtime sizes and whose skewed partitions (one station holding
@@ -21,16 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_MAX_BYTES = 16 * 1024 * 1024
-DEFAULT_BROADCAST_MAX_ROWS = 500_000
 
 
-def estimated_size(df: DataFrame) -> int | None:
-    """Optimizer size estimate in bytes, or None if it cannot be read."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
-    except Exception:  # Spark Connect or a plan without statistics
-        return None
+def estimated_size(df: DataFrame) -> int:
+    """Optimizer size estimate in bytes; no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def _conf_int(df: DataFrame, key: str, default: int) -> int:
@@ -38,14 +29,11 @@ def _conf_int(df: DataFrame, key: str, default: int) -> int:
     return int(value) if value else default
 
 
-def is_small(df: DataFrame, max_bytes: int | None = None, max_rows: int | None = None) -> bool:
-    """True when ``df`` is proven small enough to broadcast."""
-    max_bytes = max_bytes or _conf_int(df, "stationflow.dimBroadcastMaxBytes", DEFAULT_BROADCAST_MAX_BYTES)
-    max_rows = max_rows or _conf_int(df, "stationflow.dimBroadcastMaxRows", DEFAULT_BROADCAST_MAX_ROWS)
-    size = estimated_size(df)
-    if size is not None and size <= max_bytes:
-        return True
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """True when the estimate of ``df`` is within the broadcast bound."""
+    limit = max_bytes if max_bytes is not None else _conf_int(
+        df, "stationflow.dimBroadcastMaxBytes", DEFAULT_BROADCAST_MAX_BYTES)
+    return estimated_size(df) <= limit
 
 
 def broadcast_if_small(df: DataFrame, small: bool | None = None) -> DataFrame:

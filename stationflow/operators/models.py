@@ -195,10 +195,12 @@ MART_ORDER = {
 }
 
 
-def mart_order(df: DataFrame, table: str) -> DataFrame:
+def mart_order(df: DataFrame, table: str, within: bool = False) -> DataFrame:
     """The ORDER BY of a mart's model (G1), nulls last, for exports and
-    display; Spark tables keep no row order, so it is applied at read time."""
+    display; Spark tables keep no row order, so it is applied at read time.
+    ``within`` sorts each partition only (for a single-partition frame)."""
     spec = MART_ORDER.get(table)
     if not spec:
         return df
-    return df.orderBy(*[F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_last() for c, d in spec])
+    keys = [F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_last() for c, d in spec]
+    return df.sortWithinPartitions(*keys) if within else df.orderBy(*keys)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..session import glob_exists
 from ..operators import manifest as MF
 from ..sinks.lake import write_station_lake, write_trip_lake
 from ..sinks.files import delete
@@ -75,8 +76,10 @@ def ingest_trip_files(spark: SparkSession, files: list[str], input_dir: str, lak
     # as replacing it with an empty file would.
     written = [quarters[n] for n in winners]
     fresh = F.col("ingested_at") == TR.stamp_literal(stamp)
+    # A first ingest without a valid row has written nothing yet.
+    any_rows = glob_exists(spark, f"{lake_dir.rstrip('/')}/year=*/quarter=*/*.parquet")
     by_quarter = {(r["year"], r["quarter"]): r["rows"]
-                  for r in lake_partitions(spark, lake_dir, written, fresh).collect()}
+                  for r in lake_partitions(spark, lake_dir, written, fresh).collect()} if any_rows else {}
     for n in winners:
         counts[n] = int(by_quarter.get(quarters[n], 0))
         if counts[n] == 0:

@@ -20,8 +20,8 @@ CSV_EXPORTS = {
 
 def export_csv(spark: SparkSession, wh: Warehouse, out_dir: str, single_file: bool = True) -> list[str]:
     """One headed, comma-separated file per mart, rows in the mart's
-    order. The sort runs in parallel (range partitions); the single output
-    file is written by one task, because one file is the product. With
+    order. The single output file is sorted and written by one task, because
+    one file is the product. With
     ``single_file=False`` each extract is a folder of headed part files
     written in parallel, whose name order is the row order (for marts too
     large for one writer)."""
@@ -31,8 +31,12 @@ def export_csv(spark: SparkSession, wh: Warehouse, out_dir: str, single_file: bo
         target = f"{out_dir.rstrip('/')}/{file_name}.csv"
         staged = files.staging_for(target)
         (
-            (df.coalesce(1) if single_file else df).write.mode("overwrite")
+            (mart_order(wh.table(table).repartition(1), table, within=True) if single_file else df).write
+            .mode("overwrite")
             .option("header", True)
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
             .option("dateFormat", "yyyy-MM-dd")
             .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")

@@ -28,12 +28,16 @@ NA_TOKENS = [
 ]
 
 # The time formats accepted for trip and station times, tried in
-# order ([...] marks an optional part): 'M/d/yyyy H:mm', 'M/d/yyyy H:mm:ss',
-# 'M/d/yyyy', 'yyyy-MM-dd HH:mm:ss', 'yyyy-MM-dd HH:mm', 'yyyy-MM-dd',
-# 'yyyy-MM-ddTHH:mm:ss'.
+# order ([...] marks an optional part): US and ISO dates with an optional time
+# and fraction, AM/PM, two-digit years, and ISO times with a UTC offset (read
+# as the UTC wall clock).
 TIMESTAMP_FORMATS = [
-    "M/d/yyyy[ H:mm[:ss]]",
-    "yyyy-MM-dd[ HH:mm[:ss]]['T'HH:mm[:ss]]",
+    "M/d/yyyy[ H:mm[:ss[.SSSSSSSSS]]]",
+    "yyyy-MM-dd[ HH:mm[:ss[.SSSSSSSSS]]]['T'HH:mm[:ss[.SSSSSSSSS]]]",
+    "M/d/yyyy h:mm[:ss[.SSSSSSSSS]] a",
+    "M/d/yy[ H:mm[:ss[.SSSSSSSSS]]]",
+    "M/d/yy h:mm[:ss[.SSSSSSSSS]] a",
+    "yyyy-MM-dd[ HH:mm[:ss[.SSSSSSSSS]]]['T'HH:mm[:ss[.SSSSSSSSS]]]XXX",
 ]
 
 FILE_PATH = "__file_path"
@@ -105,6 +109,7 @@ def read_text_columns(spark: SparkSession, paths: Sequence[str],
             .option("enforceSchema", True)
             .option("mode", "PERMISSIVE")
             .option("multiLine", multi_line)
+            .option("escape", '"')
             .csv(files)
         )
         df = with_file_position(df)
@@ -178,12 +183,14 @@ def parse_string(name: str) -> Column:
 
 
 def parse_timestamp(name: str, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
-    """Text -> timestamp_ntz trying each format; unreadable -> null (the
-    ingest filter then drops the row). Session time zone is UTC, so the
-    instant-to-local cast keeps the wall-clock value."""
+    """Text -> timestamp_ntz trying each format; missing values are null, and
+    other text that no format reads raises, so no row is lost in silence.
+    Session time zone is UTC, so the instant-to-local cast keeps the
+    wall-clock value."""
     s = f"`{name}`"
     tries = ", ".join(f"try_to_timestamp({s}, {_quote(f)})" for f in formats)
+    msg = _quote(f"cannot read '{name}' value as time: ")
     return F.expr(
         f"CASE WHEN {s} IS NULL OR {s} IN ({_NA_SQL}) THEN CAST(NULL AS TIMESTAMP_NTZ) "
-        f"ELSE CAST(coalesce({tries}) AS TIMESTAMP_NTZ) END"
+        f"ELSE CAST(coalesce({tries}, CAST(raise_error(concat({msg}, {s})) AS TIMESTAMP)) AS TIMESTAMP_NTZ) END"
     )

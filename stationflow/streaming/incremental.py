@@ -38,6 +38,7 @@ def new_trip_files(spark: SparkSession, input_dir: str, max_files_per_trigger: i
         .schema(BINARY_FILE_SCHEMA)
         .option("pathGlobFilter", TRIP_CSV_GLOB)
         .option("recursiveFileLookup", "false")
+        .option("maxFileAge", "36500d")  # a file's own date says nothing about whether it is new here
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

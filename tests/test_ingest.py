@@ -192,3 +192,49 @@ def test_too_many_fields_raise_too_few_read_as_null(spark, folder):
     write_text(raw, "metro-trips-2026-q1.csv", TRIP_HEADER + "\n" + row("1") + ",\n")
     ingest_trips(spark, raw, lake, folder + "/m.json", STAMP)
     assert read_trip_lake(spark, lake).count() == 1
+
+
+def test_times_in_every_accepted_form_are_read_and_others_raise(spark, folder):
+    import os
+    raw, lake = folder + "/raw", folder + "/lake"
+    os.makedirs(raw.replace("file://", ""))
+    forms = [("1/5/2026 8:00 AM", "2026-01-05 08:00:00"), ("1/5/2026 1:02:03 pm", "2026-01-05 13:02:03"),
+             ("2026-01-05 08:00:00.250", "2026-01-05 08:00:00.25"), ("2026-01-05T08:00:00.5", "2026-01-05 08:00:00.5"),
+             ("1/5/26 8:00", "2026-01-05 08:00:00"), ("2026-01-05 08:00:00+00:00", "2026-01-05 08:00:00"),
+             ("2026-01-05T10:00:00+02:00", "2026-01-05 08:00:00"), ("2026-01-05", "2026-01-05 00:00:00")]
+    write_text(raw, "metro-trips-2026-q1.csv", "\n".join(
+        [TRIP_HEADER] + [row(str(i), start=text, end="2/5/2026 10:00") for i, (text, _) in enumerate(forms)]) + "\n")
+    ingest_trips(spark, raw, lake, folder + "/m.json", STAMP)
+    got = {r["trip_id"]: r["start_time"] for r in read_trip_lake(spark, lake).collect()}
+    assert got == {i: dt.datetime.fromisoformat(want) for i, (_, want) in enumerate(forms)}
+    write_text(raw, "metro-trips-2026-q1.csv", TRIP_HEADER + "\n" + row("1", start="soon") + "\n")
+    with pytest.raises(Exception, match="as time: soon"):
+        ingest_trips(spark, raw, lake, folder + "/m.json", STAMP)
+    assert read_trip_lake(spark, lake).count() == len(forms)
+
+
+def test_first_ingest_without_a_valid_row_writes_its_manifest(spark, folder):
+    import os
+    raw = folder + "/raw"
+    os.makedirs(raw.replace("file://", ""))
+    write_text(raw, "metro-trips-2026-q1.csv", TRIP_HEADER + "\n" + row("1", duration="0") + "\n")
+    result = ingest_trips(spark, raw, folder + "/lake", folder + "/m.json", STAMP)
+    assert result.total_rows == 0
+    assert [r["cleaned_rows"] for r in read_manifest(spark, folder + "/m.json").collect()] == [0]
+
+
+def test_quoted_fields_read_as_other_csv_readers_do(spark, folder):
+    import os
+    raw, lake = folder + "/raw", folder + "/lake"
+    os.makedirs(raw.replace("file://", ""))
+    plain = row("1").split(",")
+    at = TRIP_HEADER.split(",").index("passholder_type")
+    lines = []
+    for i, field in enumerate(['"One ""Way"" pass"', '"x\\"', '"a, b"']):
+        fields = list(plain)
+        fields[0], fields[at] = str(i), field
+        lines.append(",".join(fields))
+    write_text(raw, "metro-trips-2026-q1.csv", "\n".join([TRIP_HEADER, *lines]) + "\n")
+    ingest_trips(spark, raw, lake, folder + "/m.json", STAMP)
+    got = {r["trip_id"]: (r["passholder_type"], r["bike_type"]) for r in read_trip_lake(spark, lake).collect()}
+    assert got == {0: ('One "Way" pass', "standard"), 1: ("x\\", "standard"), 2: ("a, b", "standard")}

@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from helpers import raw_stations, raw_trips, sorted_rows, station, trip
 from stationflow.operators import models as M
+from stationflow.operators.joins import estimated_size
 from stationflow.operators import quality as Q
 from stationflow.operators import stations as ST
 
@@ -72,15 +73,34 @@ def test_station_activity_unknown_station_and_null_start(spark):
     assert {r["start_station_id"] for r in routes.collect()} == {"999", "1"}
 
 
-def test_aggregate_then_join_plan_broadcasts_dimension(spark):
-    rows = [trip(1), trip(2, start_station=3)]
-    stg = M.build_staging_trips(raw_trips(spark, rows))
+def stored_dimension(spark, folder):
+    """A station dimension with statistics, as the marts read it."""
     dim = M.build_dim_stations(raw_stations(spark, [station(1, "Main"), station(2, "Second")]))
+    dim.write.parquet(folder + "/dim")
+    return spark.read.parquet(folder + "/dim")
+
+
+def test_aggregate_then_join_plan_broadcasts_dimension(spark, folder):
+    stg = M.build_staging_trips(raw_trips(spark, [trip(1), trip(2, start_station=3)]))
+    dim = stored_dimension(spark, folder)
+    size = estimated_size(dim)
+    assert isinstance(size, int) and 0 < size < 100_000
     plan = M.build_route_popularity(stg, dim)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert "SortMergeJoin" not in plan
 
 
+def test_no_job_runs_while_a_plan_is_built(spark, folder):
+    stg = M.build_staging_trips(raw_trips(spark, [trip(1), trip(2, start_station=3)]))
+    dim = stored_dimension(spark, folder)
+    spark.sparkContext.setJobGroup("plan-only", "plan")
+    try:
+        M.build_route_popularity(stg, dim)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_window_group_limit_before_shuffle(spark):
     stg = M.build_staging_trips(raw_trips(spark, [trip(1), trip(1, start="2026-01-05 09:00")]))
     plan = stg._jdf.queryExecution().executedPlan().toString()
@@ -97,12 +117,10 @@ def test_mart_order_desc_nulls_last(spark):
     assert F is not None
 
 
-def test_no_broadcast_beyond_the_bounds(spark):
-    rows = [trip(1), trip(2, start_station=3)]
-    stg = M.build_staging_trips(raw_trips(spark, rows))
-    dim = M.build_dim_stations(raw_stations(spark, [station(1, "Main"), station(2, "Second")]))
+def test_no_broadcast_beyond_the_bound(spark, folder):
+    stg = M.build_staging_trips(raw_trips(spark, [trip(1), trip(2, start_station=3)]))
+    dim = stored_dimension(spark, folder)
     spark.conf.set("stationflow.dimBroadcastMaxBytes", "1")
-    spark.conf.set("stationflow.dimBroadcastMaxRows", "1")
     auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -110,16 +128,4 @@ def test_no_broadcast_beyond_the_bounds(spark):
         assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
     finally:
         spark.conf.unset("stationflow.dimBroadcastMaxBytes")
-        spark.conf.unset("stationflow.dimBroadcastMaxRows")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
-
-
-def test_role_playing_join_keeps_every_trip(spark):
-    from stationflow.operators.joins import with_route_stations
-    rows = [trip(1, start_station=1, end_station=2), trip(2, start_station=9, end_station=None)]
-    stg = M.build_staging_trips(raw_trips(spark, rows))
-    dim = M.build_dim_stations(raw_stations(spark, [station(1, "Main"), station(2, "Second")]))
-    got = {r["trip_id"]: r for r in with_route_stations(stg, dim, ["station_id", "station_name"]).collect()}
-    assert set(got) == {"1", "2"}
-    assert (got["1"]["ss_station_name"], got["1"]["es_station_name"]) == ("Main", "Second")
-    assert got["2"]["ss_station_name"] is None and got["2"]["es_station_name"] is None

@@ -37,3 +37,17 @@ def test_watching_stream_processes_new_files_until_stopped(spark, folder):
     finally:
         q.stop()
     assert not q.isActive
+
+
+def test_a_late_file_with_an_old_date_is_ingested(spark, folder):
+    raw = folder + "/raw"
+    os.makedirs(raw.replace("file://", ""))
+    lake, manifest, ckpt = folder + "/lake", folder + "/m.json", folder + "/ckpt"
+    for n, name in ((1, "metro-trips-2026-q1.csv"), (2, "metro-trips-2025-q4.csv")):
+        write_text(raw, name, TRIP_HEADER + "\n" + row(str(n)) + "\n")
+        if n == 2:
+            path = raw.replace("file://", "") + "/" + name
+            month_ago = os.path.getmtime(path) - 30 * 86400
+            os.utime(path, (month_ago, month_ago))
+        ingest_new_trip_files(spark, raw, lake, manifest, ckpt).awaitTermination(120)
+    assert {r["trip_id"] for r in read_trip_lake(spark, lake).collect()} == {1, 2}
