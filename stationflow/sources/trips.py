@@ -48,21 +48,11 @@ def trip_file_quarter(file_name: str, strict: bool = True) -> tuple[int, int]:
 def quarter_columns(name: Column, strict: bool = True) -> tuple[Column, Column]:
     """A3 as Spark expressions over a file-name column; a name that does not
     fit raises an error in the job."""
+    pattern = f"^{_FILE_NAME if strict else _LOOSE_NAME}$"
     stem = F.regexp_replace(name, r"\.[^./]*$", "")
-    parts = F.split(stem, "-")
-    size_ok = (F.size(parts) == 4) if strict else (F.size(parts) >= 4)
-    year_text = F.trim(F.element_at(parts, 3))
-    quarter_text = F.trim(F.regexp_replace(F.element_at(parts, 4), "q", ""))
-    ok = (
-        size_ok
-        & (F.element_at(parts, 1) == "metro")
-        & (F.element_at(parts, 2) == "trips")
-        & year_text.rlike(r"^[+-]?[0-9]+$")
-        & quarter_text.rlike(r"^[+-]?[0-9]+$")
-    )
-    err = F.raise_error(F.concat(F.lit("Unexpected trip file name: "), name))
-    year = F.when(ok, year_text.cast("bigint")).otherwise(err.cast("bigint"))
-    quarter = F.when(ok, quarter_text.cast("bigint")).otherwise(err.cast("bigint"))
+    err = F.raise_error(F.concat(F.lit("not the name of a quarter's trip file: "), name)).cast("bigint")
+    year, quarter = (F.when(stem.rlike(pattern), F.regexp_extract(stem, pattern, i).cast("bigint")).otherwise(err)
+                     for i in (1, 2))
     return year, quarter
 
 
