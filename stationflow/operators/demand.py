@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
-from .joins import with_start_station
+from .joins import broadcast_if_small, is_small
 from .models import trip_measures
 
 
@@ -85,8 +85,6 @@ class DemandFilters:
 
     def conditions(self) -> list[Column | None]:
         conds: list[Column | None] = [X.quarter_filter(self.quarter)]
-        if self.region != X.ALL_REGIONS:
-            conds.append(X.equals_with_default("s_region", X.UNKNOWN_REGION, self.region))
         if self.passholder_type != X.ALL_PASSHOLDER_TYPES:
             conds.append(X.equals_with_default("passholder_type", X.UNKNOWN, self.passholder_type))
         if self.bike_type != X.ALL_BIKE_TYPES:
@@ -96,18 +94,27 @@ class DemandFilters:
         return conds
 
 
+def in_start_region(trips: DataFrame, dim: DataFrame, region: str) -> DataFrame:
+    """Trips whose start station lies in ``region``: a semi join to the ids of
+    that region alone. 'Unknown Region' also holds trips without a known
+    station, so it is an anti join to the ids of all other regions."""
+    if region == X.ALL_REGIONS:
+        return trips
+    unknown = region == X.UNKNOWN_REGION
+    here = X.with_default("region", X.UNKNOWN_REGION) == F.lit(region)
+    ids = broadcast_if_small(dim.filter(~here if unknown else here).select(F.col("station_id").alias("__region_id")),
+                             is_small(dim))
+    return trips.join(ids, trips["start_station_id"] == ids["__region_id"], "left_anti" if unknown else "left_semi")
+
+
 def historical_demand(trips: DataFrame, dim: DataFrame, filters: DemandFilters = DemandFilters()) -> DataFrame:
     """Filtered demand per (quarter, date, hour) with labels and day type.
 
-    The station dimension is joined only when a region is chosen (it is
-    unique per station, so the join never changes the trip rows otherwise).
+    A chosen region keeps the trips that start in it (``in_start_region``).
     The labels and the day type are functions of the group keys and are
     added after the aggregation, keeping the shuffle keys narrow."""
-    base = trips
-    if filters.region != X.ALL_REGIONS:
-        base = with_start_station(trips, dim, ["station_id", "region"])
     agg = (
-        X.where(base, filters.conditions())
+        in_start_region(X.where(trips, filters.conditions()), dim, filters.region)
         .groupBy("source_year", "source_quarter", "trip_date", "start_hour")
         .agg(*trip_measures())
     )

@@ -58,16 +58,3 @@ def with_station(trips: DataFrame, dim: DataFrame, key: str, prefix: str,
     Unknown and null keys keep their trip rows with null dimension columns."""
     side = broadcast_if_small(station_role(dim, prefix, columns), small)
     return trips.join(side, trips[key] == side[f"{prefix}station_id"], "left")
-
-
-def with_start_station(trips: DataFrame, dim: DataFrame, columns=None,
-                       prefix: str = "s_") -> DataFrame:
-    return with_station(trips, dim, "start_station_id", prefix, columns)
-
-
-def with_route_stations(trips: DataFrame, dim: DataFrame, columns=None,
-                        start_prefix: str = "ss_", end_prefix: str = "es_") -> DataFrame:
-    """Role-playing double left join: start and end station."""
-    small = is_small(dim)
-    joined = with_station(trips, dim, "start_station_id", start_prefix, columns, small)
-    return with_station(joined, dim, "end_station_id", end_prefix, columns, small)

@@ -149,16 +149,26 @@ def build_station_activity(trips: DataFrame, dim: DataFrame) -> DataFrame:
     return station_activity(valid, dim, ["source_year", "source_quarter"])
 
 
-def route_names(agg: DataFrame, dim: DataFrame,
-                cols=("station_id", "station_name", "region")) -> DataFrame:
-    """Attach start/end station attributes (``ss_*``, ``es_*``) to per-route
-    aggregates."""
-    cols = list(cols)
-    small = is_small(dim)
-    start = broadcast_if_small(station_role(dim, "ss_", cols), small)
-    end = broadcast_if_small(station_role(dim, "es_", cols), small)
-    joined = agg.join(start, agg["start_station_id"] == start["ss_station_id"], "left")
-    return joined.join(end, joined["end_station_id"] == end["es_station_id"], "left")
+def route_end(agg: DataFrame, dim: DataFrame, key: str, prefix: str,
+              cols=("station_id", "station_name", "region")) -> DataFrame:
+    """Attach one end's station attributes (``prefix`` + name) to per-route aggregates."""
+    side = broadcast_if_small(station_role(dim, prefix, list(cols)), is_small(dim))
+    return agg.join(side, agg[key] == side[f"{prefix}station_id"], "left")
+
+
+def route_names(agg: DataFrame, dim: DataFrame) -> DataFrame:
+    """Attach start/end station attributes (``ss_*``, ``es_*``) to per-route aggregates."""
+    return route_end(route_end(agg, dim, "start_station_id", "ss_"), dim, "end_station_id", "es_")
+
+
+def most_trips(routes: DataFrame, limit: int) -> DataFrame:
+    """The first ``limit`` routes by trip count, ties by the ids (TakeOrderedAndProject)."""
+    return routes.orderBy(*route_order()).limit(limit)
+
+
+def route_order() -> list:
+    return [F.col("trip_count").desc_nulls_last(),
+            F.col("start_station_id").asc_nulls_last(), F.col("end_station_id").asc_nulls_last()]
 
 
 def build_route_popularity(trips: DataFrame, dim: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
-from .models import route_names
+from .models import most_trips, route_names, route_order
 from .stations import route_columns
 
 
@@ -25,8 +25,8 @@ def top_routes(trips: DataFrame, dim: DataFrame, quarter: str = X.ALL_QUARTERS,
     """The most frequent station-to-station routes.
 
     Aggregated per (start, end) id pair first (map-side partial aggregation),
-    names attached to the aggregates, then the top ``limit`` by trip count
-    with the ids as tie-break (a TakeOrderedAndProject, no global sort)."""
+    then the top ``limit`` by trip count with the ids as tie-break (a
+    TakeOrderedAndProject), and only those rows get their names."""
     conds = [
         X.quarter_filter(quarter),
         F.col("start_station_id").isNotNull(),
@@ -39,14 +39,9 @@ def top_routes(trips: DataFrame, dim: DataFrame, quarter: str = X.ALL_QUARTERS,
         F.count_distinct("bike_id").alias("distinct_bikes_used"),
         X.round_binary(F.avg("duration_minutes"), 2).alias("avg_duration_minutes"),
     )
-    named = route_names(agg, dim)
+    named = route_names(most_trips(agg, limit), dim)
     ids = ["start_station_id", "end_station_id"] if keep_ids else []
-    return (
-        named.orderBy(F.col("trip_count").desc_nulls_last(),
-                      F.col("start_station_id").asc_nulls_last(), F.col("end_station_id").asc_nulls_last())
-        .limit(limit)
-        .select(*ids, *route_columns(("distinct_bikes_used",)))
-    )
+    return named.orderBy(*route_order()).select(*ids, *route_columns(("distinct_bikes_used",)))
 
 
 def top_route_labels(trips: DataFrame, dim: DataFrame, quarter: str = X.ALL_QUARTERS,

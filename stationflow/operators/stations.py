@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
-from .models import route_names, station_activity
+from .models import most_trips, route_end, route_order, station_activity
 
 
 def station_ranking(trips: DataFrame, dim: DataFrame, quarter: str = X.ALL_QUARTERS) -> DataFrame:
@@ -134,24 +134,22 @@ def top_destinations(trips: DataFrame, dim: DataFrame, quarter: str, station_id:
                      keep_ids: bool = False) -> DataFrame:
     """The most frequent destinations from one station.
 
-    Trips are aggregated per (start, end) id first; names, regions and the
-    C15 test are functions of the ids and are applied to the aggregates. Ties
-    on the count are broken by the ids, which are grouped but not shown."""
+    Trips are aggregated per (start, end) id first; the end's attributes and
+    the C15 test are functions of its id and are applied to the aggregates, the
+    start's are attached to the rows that remain. Ties on the count are broken
+    by the ids, which are grouped but not shown."""
     base = _station_trips(trips, quarter, station_id).filter(F.col("end_station_id").isNotNull())
     agg = base.groupBy("start_station_id", "end_station_id").agg(
         F.count(F.lit(1)).alias("trip_count"),
         X.round_binary(F.avg("duration_minutes"), 2).alias("avg_duration_minutes"),
     )
-    named = route_names(agg, dim, ("station_id", "station_name", "region", "latitude", "longitude"))
+    named = route_end(agg, dim, "end_station_id", "es_",
+                      ("station_id", "station_name", "region", "latitude", "longitude"))
     if not include_special:
         named = named.filter(physical_destination("es_"))
+    named = route_end(most_trips(named, limit), dim, "start_station_id", "ss_")
     ids = ["start_station_id", "end_station_id"] if keep_ids else []
-    return (
-        named.orderBy(F.col("trip_count").desc_nulls_last(),
-                      F.col("start_station_id").asc_nulls_last(), F.col("end_station_id").asc_nulls_last())
-        .limit(limit)
-        .select(*ids, *route_columns())
-    )
+    return named.orderBy(*route_order()).select(*ids, *route_columns())
 
 
 def selected_station_id(label: Optional[str]) -> Optional[str]:

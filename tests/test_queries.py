@@ -75,6 +75,18 @@ def test_demand_filters_and_rollups(spark):
     assert [(r["start_hour"], r["trip_count"]) for r in by_hour] == [(8, 1), (10, 9)]
 
 
+def test_region_filter_is_a_semi_join_and_keeps_unknown_stations(spark):
+    stg, dim = fixture(spark)
+    in_dtla = D.historical_demand(stg, dim, D.DemandFilters(region="DTLA"))
+    assert "Join LeftSemi" in in_dtla._jdf.queryExecution().optimizedPlan().toString()
+    total = stg.count()
+    per_region = [D.historical_demand(stg, dim, D.DemandFilters(region=r)).agg({"trip_count": "sum"}).first()[0] or 0
+                  for r in ["DTLA", "Westside", "Free Bikes", X.UNKNOWN_REGION]]
+    known = stg.join(dim, stg["start_station_id"] == dim["station_id"], "left").fillna({"region": X.UNKNOWN_REGION}) \
+        .where("region in ('DTLA', 'Westside', 'Free Bikes', 'Unknown Region')").count()
+    assert sum(per_region) == known <= total
+
+
 def test_top_routes_and_labels(spark):
     stg, dim = fixture(spark)
     routes = R.top_routes(stg, dim).collect()
@@ -83,6 +95,8 @@ def test_top_routes_and_labels(spark):
     assert labels[0]["route"] == "O'Hara (Plaza) to Second"
     plan = R.top_routes(stg, dim)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+    tree = R.top_routes(stg, dim)._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.rindex("Limit") > tree.rindex("Join LeftOuter")  # names are joined above the limit
 
 
 def test_all_option_first(spark):
