@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrameWriter, SparkSession
 
 
 def staging_for(target: str) -> str:
@@ -58,13 +58,35 @@ def _drop_checksum(spark: SparkSession, hpath) -> None:
 
 
 def replace_dir(spark: SparkSession, staged: str, target: str) -> None:
-    """Swap a finished folder into place (delete old, rename new)."""
+    """Swap a finished folder into place: the old one is renamed away, the new
+    one comes in, then the old one is deleted. If the new one cannot be moved
+    the old one is moved back."""
     hstaged, fs = _fs(spark, staged)
     htarget, _ = _fs(spark, target)
+    old = None
     if fs.exists(htarget):
-        fs.delete(htarget, True)
+        old, _ = _fs(spark, staging_for(target))
+        if not fs.rename(htarget, old):
+            raise RuntimeError(f"could not move {target} aside")
     parent = htarget.getParent()
     if parent is not None and not fs.exists(parent):
         fs.mkdirs(parent)
     if not fs.rename(hstaged, htarget):
+        if old is not None:
+            fs.rename(old, htarget)
         raise RuntimeError(f"could not move {staged} to {target}")
+    if old is not None:
+        fs.delete(old, True)
+    spark.catalog.refreshByPath(target)
+
+
+def write_then_replace(spark: SparkSession, writer: DataFrameWriter, target: str) -> None:
+    """Write Parquet beside ``target`` and swap it in; a failed write leaves
+    ``target`` as it was."""
+    staged = staging_for(target)
+    try:
+        writer.parquet(staged)
+    except BaseException:
+        delete(spark, staged)
+        raise
+    replace_dir(spark, staged, target)

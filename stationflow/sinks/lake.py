@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from .. import schemas as S
+from .files import write_then_replace
 
 
 def write_trip_lake(df: DataFrame, trips_dir: str) -> None:
@@ -23,5 +24,5 @@ def write_trip_lake(df: DataFrame, trips_dir: str) -> None:
 
 
 def write_station_lake(df: DataFrame, stations_path: str) -> None:
-    """B2: replace the station Parquet."""
-    df.write.mode("overwrite").parquet(stations_path)
+    """B2: replace the station Parquet (written beside it, then swapped in)."""
+    write_then_replace(df.sparkSession, df.write, stations_path)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..session import exists
+from .files import write_then_replace
 from ..sources.lake import read_station_lake, read_trip_lake
 
 PARTITIONING = {S.STAGING_TRIPS: S.STAGING_PARTITIONS}
@@ -73,7 +74,8 @@ class Warehouse:
                 self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{self.root}/{schema}'")
 
     def save(self, df: DataFrame, name: str) -> int:
-        """Replace the table with ``df`` (never a table ``df`` reads).
+        """Replace the table with ``df``: written beside the old one and
+        swapped in, so a failed save leaves the old table.
         Returns the number of rows written, counted in the write's final
         stage (a task's count is applied once, also when it is retried)."""
         parts = PARTITIONING.get(name, [])
@@ -85,10 +87,10 @@ class Warehouse:
             # holds too many rows over several tasks (skew-safe).
             df = df.hint("rebalance", *parts)
         out = df.sortWithinPartitions(*parts, *cluster) if (parts or cluster) else df
-        writer = out.write.mode("overwrite")
+        writer = out.write
         if parts:
             writer = writer.partitionBy(*parts)
-        writer.parquet(self.path(name))
+        write_then_replace(self.spark, writer, self.path(name))
         if self.catalog:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             self.spark.catalog.createTable(name, path=self.path(name), source="parquet")

@@ -1,6 +1,9 @@
 import datetime as dt
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from helpers import TRIP_HEADER, write_text
 from test_ingest import row
 from stationflow import schemas as S
@@ -131,3 +134,14 @@ def test_dashboard_views(spark, folder):
     assert r["top"].count() == 1 and r["categories"].count() == 1
     counts, files, _ = dash.data_health("2025 Q4")
     assert files.count() == 1 and counts.count() == 4
+
+
+def test_failed_save_keeps_the_old_table(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.save(spark.range(5), "marts.numbers")
+    wh.save(spark.range(7), "marts.numbers")
+    broken = spark.range(9).withColumn("id", F.expr("if(id = 8, cast(raise_error('broken') as bigint), id)"))
+    with pytest.raises(Exception, match="broken"):
+        wh.save(broken, "marts.numbers")
+    assert wh.table("marts.numbers").count() == 7
+    assert [p.name for p in (tmp_path / "wh" / "marts").iterdir()] == ["numbers"]
