@@ -1,10 +1,11 @@
 """Ingestion plans: trip CSVs -> partitioned lake + manifest (M1), station
 CSV -> station Parquet (M2).
 
-All files are read as one DataFrame; the per-file dedup is the only shuffle.
-Per-file cleaned row counts are gathered while the lake is written (one
-``observe`` metric per file, in the write's final stage), so the data is
-read once.
+All files are read as one DataFrame; the rows are shuffled twice, for the
+per-file dedup and for the rebalance by quarter before the write. The cleaned
+row counts come from the written quarters' Parquet footers; only a file that a
+later one of its quarter replaces is counted by ``observe``, below the
+rebalance, so a recomputed task may count it again.
 """
 
 from __future__ import annotations

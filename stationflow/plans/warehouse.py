@@ -20,9 +20,8 @@ def build_warehouse(spark: SparkSession, trips_dir: str, stations_file: str, roo
     so the dedup shuffle runs once; independent writes run concurrently. A
     failure midway leaves earlier tables
     replaced and later ones as they were, as in the reference. The written
-    tables' row counts (B12) are observed in the final stage of their writes
-    (counted once per task even when tasks are retried); the two raw tables
-    are counted from Parquet footers."""
+    tables' row counts (B12) are observed in the final stage of their writes;
+    the two raw tables are counted from Parquet footers."""
     wh = Warehouse(spark, root, trips_lake=trips_dir, stations_file=stations_file, catalog=catalog)
     raw_trips = wh.table(S.RAW_TRIPS)
     raw_stations = wh.table(S.RAW_STATIONS)
