@@ -48,7 +48,7 @@ def test_discover_archives_first_link_per_quarter(spark):
 def test_bad_archive_name_raises(spark):
     pages = spark.createDataFrame([(1, "http://h/", '<a href="/metro-trips-20x4-q1.zip">x</a>')],
                                   "page_id long, url string, html string")
-    with pytest.raises(Exception, match="Unexpected trip file name"):
+    with pytest.raises(Exception, match="not the name of a quarter.s trip file"):
         AR.discover_archives(pages).collect()
 
 

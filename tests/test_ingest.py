@@ -81,7 +81,7 @@ def test_file_names(spark):
     df = spark.createDataFrame([("metro-trips-2026-q3.csv",)], "n string")
     y, q = TR.quarter_columns(F.col("n"))
     assert tuple(df.select(y, q).first()) == (2026, 3)
-    with pytest.raises(Exception, match="Unexpected trip file name"):
+    with pytest.raises(Exception, match="not the name of a quarter.s trip file"):
         bad = spark.createDataFrame([("metro-trips-2026.csv",)], "n string")
         bad.select(TR.quarter_columns(F.col("n"))[0]).collect()
 
