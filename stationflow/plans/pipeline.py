@@ -29,6 +29,7 @@ class PipelineConfig:
     manifest: str
     warehouse: str
     csv_exports: str | None = None
+    csv_single_file: bool = False
     serving: str | None = None
     serving_manifest: str | None = None
     archives: list[str] = field(default_factory=list)
@@ -58,7 +59,7 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig,
     wh, counts = build_warehouse(spark, cfg.lake_trips, cfg.lake_stations, cfg.warehouse, cfg.catalog)
     count_rows = [(r["table_name"], r["row_count"]) for r in counts.collect()]
     checks = assert_checks(run_checks(wh.tables()))
-    csv_files = export_csv(spark, wh, cfg.csv_exports) if cfg.csv_exports else []
+    csv_files = export_csv(spark, wh, cfg.csv_exports, cfg.csv_single_file) if cfg.csv_exports else []
     if cfg.serving:
         export_serving(spark, wh, cfg.serving)
         if cfg.serving_manifest:
@@ -79,10 +80,13 @@ def data_health(spark: SparkSession, wh: Warehouse, manifest_path: str,
 
 def overview(spark: SparkSession, wh: Warehouse, manifest_path: str,
              quarter: str = X.ALL_QUARTERS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """M7: headline metrics, manifest summary, and demand by quarter (All
-    Quarters) or by day (one quarter)."""
+    """M7: headline metrics, manifest summary with its ``updated_at``, and
+    demand by quarter (All Quarters) or by day (one quarter). Without a
+    manifest the latest quarter's label is 'Unknown' and no file is counted."""
     trips = wh.table(S.STAGING_TRIPS)
     metrics = D.overview_metrics(trips, quarter)
-    summary = MF.summary(read_manifest(spark, manifest_path))
+    updated = manifest_updated_at(spark, manifest_path).first()["updated_at"]
+    summary = MF.summary(read_manifest(spark, manifest_path), updated).withColumn(
+        "latest_quarter_label", X.with_default("latest_quarter_label", X.UNKNOWN))
     demand = D.demand_by_quarter(trips) if quarter == X.ALL_QUARTERS else D.daily_demand(trips, quarter)
     return metrics, summary, demand

@@ -18,13 +18,11 @@ CSV_EXPORTS = {
 }
 
 
-def export_csv(spark: SparkSession, wh: Warehouse, out_dir: str, single_file: bool = True) -> list[str]:
-    """One headed, comma-separated file per mart, rows in the mart's
-    order. The single output file is sorted and written by one task, because
-    one file is the product. With
-    ``single_file=False`` each extract is a folder of headed part files
-    written in parallel, whose name order is the row order (for marts too
-    large for one writer)."""
+def export_csv(spark: SparkSession, wh: Warehouse, out_dir: str, single_file: bool = False) -> list[str]:
+    """One headed, comma-separated extract per mart, rows in the mart's
+    order. Each extract is a folder of headed part files written in parallel,
+    whose name order is the row order. With ``single_file=True`` it is one
+    file, sorted and written by one task."""
     written = []
     for file_name, table in CSV_EXPORTS.items():
         df = mart_order(wh.table(table), table)

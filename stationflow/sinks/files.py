@@ -80,6 +80,23 @@ def replace_dir(spark: SparkSession, staged: str, target: str) -> None:
     spark.catalog.refreshByPath(target)
 
 
+def copy_file(spark: SparkSession, source: str, target: str) -> None:
+    """Copy one file unchanged: beside ``target`` first, then renamed."""
+    hsource, sfs = _fs(spark, source)
+    hstaged, tfs = _fs(spark, staging_for(target))
+    htarget, _ = _fs(spark, target)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    jvm = spark.sparkContext._jvm
+    if htarget.getParent() is not None and not tfs.exists(htarget.getParent()):
+        tfs.mkdirs(htarget.getParent())
+    jvm.org.apache.hadoop.fs.FileUtil.copy(sfs, hsource, tfs, hstaged, False, conf)
+    if tfs.exists(htarget):
+        tfs.delete(htarget, False)
+    if not tfs.rename(hstaged, htarget):
+        raise RuntimeError(f"could not move {hstaged} to {target}")
+    _drop_checksum(spark, htarget)
+
+
 def write_then_replace(spark: SparkSession, writer: DataFrameWriter, target: str) -> None:
     """Write Parquet beside ``target`` and swap it in; a failed write leaves
     ``target`` as it was."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..sources.manifest import read_manifest_document
+from ..session import glob_exists
 from . import files
 
 
@@ -40,11 +40,9 @@ def write_manifest(spark: SparkSession, records: DataFrame, path: str,
 
 
 def copy_manifest(spark: SparkSession, source: str, target: str) -> bool:
-    """Copy the manifest beside the serving copy; no-op when absent."""
-    doc = read_manifest_document(spark, source)
-    if doc is None:
+    """Copy the manifest, byte for byte, beside the serving copy; no-op
+    when absent."""
+    if not glob_exists(spark, source):
         return False
-    staged = files.staging_for(target)
-    doc.select(F.to_json(F.struct("files", "updated_at")).alias("value")).coalesce(1).write.text(staged)
-    files.single_part_to_file(spark, staged, target)
+    files.copy_file(spark, source, target)
     return True

@@ -148,9 +148,11 @@ def raw_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current.unionByName(older)
 
 
-def write_trip_csvs(spark: SparkSession, sf_dir: str, out_dir: str) -> list[str]:
+def write_trip_csvs(spark: SparkSession, sf_dir: str, out_dir: str,
+                    time_forms: dict[int, str] | None = None) -> list[str]:
     """Write the uncleaned trip rows as one headed CSV per quarter named
-    'metro-trips-YYYY-qN.csv', rows in ``file_order``, times as 'M/d/yyyy H:mm'.
+    'metro-trips-YYYY-qN.csv', rows in ``file_order``, times as 'M/d/yyyy H:mm'
+    or in the form that ``time_forms`` gives for the quarter's number.
 
     A quarter file is one file, so each is written by one task (rows are
     streamed, not gathered); the quarters are written in parallel."""
@@ -158,6 +160,12 @@ def write_trip_csvs(spark: SparkSession, sf_dir: str, out_dir: str) -> list[str]
     from . import csvfiles as C
 
     src = trip_source(spark, sf_dir, with_order_key=True)
+    if time_forms:
+        for name in ("start_time", "end_time"):
+            text = F.date_format(name, CSV_TIME_FORMAT)
+            for quarter, form in time_forms.items():
+                text = F.when(F.col("source_quarter") == quarter, F.date_format(name, form)).otherwise(text)
+            src = src.withColumn(name, text)
     staged = files.staging_for(out_dir)
     (
         src.select("source_file", "file_order", *[F.col(c) for c in S.TRIP_CSV_COLUMNS])

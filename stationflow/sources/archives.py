@@ -25,7 +25,13 @@ from .trips import TRIP_FILE_PREFIX, quarter_columns, trip_file_quarter
 
 # Archive naming and the link pattern.
 ARCHIVE_SUFFIX = ".zip"
-HREF_PATTERN = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]*)"""
+COMMENT_PATTERN = r"(?s)<!--.*?-->"
+# An <a> tag, its attributes before href, then the value with its quotes.
+HREF_PATTERN = (
+    r"""(?i)<a(?:\s+(?!href\s*=)[^\s=>]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*))?)*+"""
+    r"""\s+href\s*=\s*("[^"]*"|'[^']*'|[^\s>"'][^\s>]*)"""
+)
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&#x27;": "'", "&amp;": "&"}
 _SCHEME = r"^([a-zA-Z][a-zA-Z0-9+.\-]*):"
 _URL_PARTS = r"^(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
 
@@ -76,13 +82,23 @@ def url_file_name(url: Column) -> Column:
     return F.coalesce(F.element_at(segs, -1), F.lit(""))
 
 
+def attribute_value(raw: Column) -> Column:
+    """An attribute's text: without its quotes, character references decoded."""
+    value = F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1$""", "$2")
+    for entity, char in ENTITIES.items():
+        value = F.replace(value, F.lit(entity), F.lit(char))
+    return value
+
+
 def page_links(pages: DataFrame) -> DataFrame:
-    """(page_id, link_pos, href, url, file_name) for every link of every page."""
+    """(page_id, link_pos, href, url, file_name) for every link of every page;
+    links inside comments do not count."""
+    html = F.regexp_replace("html", COMMENT_PATTERN, "")
     links = pages.select(
         "page_id", F.col("url").alias("page_url"),
-        F.posexplode(F.regexp_extract_all(F.col("html"), F.lit(HREF_PATTERN), 1)).alias("link_pos", "href"),
+        F.posexplode(F.regexp_extract_all(html, F.lit(HREF_PATTERN), 1)).alias("link_pos", "href"),
     )
-    href = F.regexp_replace("href", "&amp;", "&")
+    href = attribute_value(F.col("href"))
     resolved = links.withColumn("href", href).withColumn("url", resolve_url(F.col("page_url"), F.col("href")))
     return resolved.select(
         "page_id", (F.col("link_pos") + 1).cast("bigint").alias("link_pos"), "href", "url",
@@ -110,6 +126,13 @@ def discover_archives(pages: DataFrame, prefix: str = TRIP_FILE_PREFIX,
     )
 
 
+def require_archives(links: DataFrame) -> DataFrame:
+    """``links`` itself; an error when no archive link was found."""
+    if links.isEmpty():
+        raise ValueError("the pages hold no link to a trip archive")
+    return links
+
+
 def expand_archives(spark: SparkSession, archives: "Sequence[str] | DataFrame", out_dir: str,
                     prefix: str = TRIP_FILE_PREFIX) -> DataFrame:
     """Unpack the first '<prefix>*.csv' member of each archive to

@@ -68,3 +68,19 @@ def test_expand_archives(spark, tmp_path):
         zf.writestr("readme.txt", "x")
     with pytest.raises(Exception, match="Could not find a trip CSV"):
         AR.expand_archives(spark, ["file://" + str(empty)], "file://" + str(out)).collect()
+
+
+def test_link_values_follow_html_quoting(spark):
+    html = ('<!-- <a href="/commented.zip">x</a> -->'
+            '<a data-href="/x.zip" href="/y.zip">1</a><a href="my file.zip">2</a><a href="o\'hara.zip">3</a>'
+            "<a title='a > b' HREF = '/q.zip?a=1&amp;b=&quot;2'>4</a><a-b href=\"/no.zip\">5</a><a\nhref=bare.zip>6</a>"
+            '<a href="">7</a><a href>8</a>')
+    pages = spark.createDataFrame([(1, "http://h/d/", html), (2, "http://h/", None)], "page_id long, url string, html string")
+    got = [r["href"] for r in AR.page_links(pages).orderBy("link_pos").collect()]
+    assert got == ["/y.zip", "my file.zip", "o'hara.zip", '/q.zip?a=1&b="2', "bare.zip", ""]
+
+
+def test_no_archive_link_raises(spark):
+    pages = spark.createDataFrame([(1, "http://h/", '<a href="/x.csv">x</a>')], "page_id long, url string, html string")
+    with pytest.raises(ValueError, match="no link to a trip archive"):
+        AR.require_archives(AR.discover_archives(pages))

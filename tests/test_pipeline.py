@@ -32,7 +32,7 @@ def setup_inputs(folder):
     return PipelineConfig(
         raw_dir=raw, stations_csv=stations, lake_trips=folder + "/lake/trips",
         lake_stations=folder + "/lake/stations.parquet", manifest=folder + "/manifest/m.json",
-        warehouse=folder + "/warehouse", csv_exports=folder + "/exports",
+        warehouse=folder + "/warehouse", csv_exports=folder + "/exports", csv_single_file=True,
         serving=folder + "/serving", serving_manifest=folder + "/serving/m.json",
     )
 
