@@ -8,8 +8,8 @@ are whole tokens: cumulative rounding in key order makes the children add up to
 
 A leaf with budget b over t tokens takes b div t full epochs, then the token-prefix of the next one: its documents in
 the order of md5(seed:epoch:doc_id), as long as their cumulative tokens stay within the rest. Cumulative tokens come
-from totals per md5 prefix; only the prefix group that holds the cut is summed row by row, so a leaf with a third of
-all rows is not handled in one task.
+from totals per md5 prefix; only the prefix group that holds the cut is summed row by row. Rows meet their leaf's plan
+under a salt and their group's totals under the prefix, so a leaf with a third of all rows is not handled in one task.
 
 Defined results: a null level value is the value ``(none)``; a null or empty text has no tokens and is never taken;
 repeated rows are documents of their own with the same place in the order, told apart by tokens; an empty table gives
@@ -27,6 +27,8 @@ LEVELS = ("domain", "lang", "source")
 NONE = "(none)"
 #: md5 hex digits that group a leaf's documents; 16**3 groups per leaf.
 PREFIX = 3
+#: Copies of each leaf's plan, one per salt of the rows.
+SALTS = 64
 
 
 def word_count(text: Column) -> Column:
@@ -96,7 +98,7 @@ def mix(docs: DataFrame, weights: dict[str, dict[str, int]], budget_share: tuple
         domain = source_domain(source_col)
     scratch = Scratch(docs.sparkSession, "mixing")
     rows = scratch.keep(docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), domain.alias("domain"),
+        F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(domain, F.lit(NONE)).alias("domain"),
         F.coalesce(F.col(lang_col), F.lit(NONE)).alias("lang"),
         F.coalesce(F.col(source_col), F.lit(NONE)).alias("source"),
         word_count(F.col(text_col)).alias("n_tokens")), "documents")
@@ -110,21 +112,21 @@ def mix(docs: DataFrame, weights: dict[str, dict[str, int]], budget_share: tuple
         F.when(F.col("tokens") > 0, F.expr("budget % tokens")).otherwise(0).cast("bigint").alias("rest")), "plan")
     order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("full_epochs").cast("string"),
                               F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    placed = scratch.keep(rows.join(plan, list(LEVELS)).withColumn("h", order)
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(SALTS)).cast("int"))
+    plans = plan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    placed = scratch.keep(salted.join(plans, [*LEVELS, "salt"]).drop("salt").withColumn("h", order)
                           .withColumn("g", F.substring("h", 1, PREFIX)), "placed")
-    groups = placed.groupBy(*LEVELS, "g").agg(F.sum("n_tokens").alias("t"), F.first("rest").alias("rest"))
+    groups = placed.groupBy(*LEVELS, "g").agg(F.sum("n_tokens").alias("t"), F.first("rest").alias("upper"))
+    # tokens up to a group's end decide it: whole groups within the rest are taken, one may hold the cut
     upto = F.sum("t").over(Window.partitionBy(*LEVELS).orderBy("g"))
-    # the group that holds the cut; a leaf whose rest covers it all has none, and none has rest == whole leaf
-    cut = (groups.withColumn("upto", upto).where((F.col("upto") > F.col("rest"))
-                                                 & (F.col("upto") - F.col("t") <= F.col("rest")))
-           .groupBy(*LEVELS).agg(F.min("g").alias("cut"), F.min(F.col("upto") - F.col("t")).alias("base")))
-    marked = placed.join(cut, list(LEVELS), "left")
-    inside = F.col("g") == F.col("cut")
+    groups = (groups.withColumn("upto", upto).withColumn("base", F.col("upto") - F.col("t"))
+              .select(*LEVELS, "g", "base", (F.col("upto") <= F.col("upper")).alias("taken"),
+                      ((F.col("base") <= F.col("upper")) & (F.col("upto") > F.col("upper"))).alias("inside")))
+    marked = placed.join(groups, [*LEVELS, "g"])
     running = F.sum("n_tokens").over(Window.partitionBy(*LEVELS).orderBy("h", "doc_id", "n_tokens")
                                      .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    at_cut = (marked.where(inside).withColumn("extra", (F.col("base") + running <= F.col("rest")).cast("bigint")))
-    others = (marked.where(~F.coalesce(inside, F.lit(False)))
-              .withColumn("extra", F.coalesce(F.col("g") < F.col("cut"), F.lit(False)).cast("bigint")))
+    at_cut = (marked.where("inside").withColumn("extra", (F.col("base") + running <= F.col("rest")).cast("bigint")))
+    others = marked.where("not inside").withColumn("extra", F.col("taken").cast("bigint"))
     copies = F.when(F.col("n_tokens") > 0, F.col("full_epochs") + F.col("extra")).otherwise(0).cast("bigint")
     return (at_cut.unionByName(others)
             .select("doc_id", *LEVELS, "n_tokens", "leaf_budget", "full_epochs", copies.alias("copies")))
