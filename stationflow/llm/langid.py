@@ -29,6 +29,8 @@ from stationflow.llm.words import text_buffers
 SEGMENT = 64
 HIDDEN = 8
 DOCS_PER_LANG = 250
+#: Parts of a language that are ranked on their own first.
+SALTS = 64
 STEPS = 260
 BATCH = 192
 RATE = 0.02
@@ -214,9 +216,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Fits on at most ``docs_per_lang`` documents per language outside the held-out quarter."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("i"), F.col(lang_col).alias("l"), F.col(text_col).alias("t"))
     known = rows.where("i is not null and l is not null and t is not null").where(~_held_out(F.col("i")))
-    order = Window.partitionBy("l").orderBy(F.xxhash64(F.lit(SEED), "i"), "i")
-    chosen = (known.select("i", "l").distinct().withColumn("k", F.row_number().over(order))
-              .where(F.col("k") <= docs_per_lang).select("i", "l"))
+    # the first by hash of each salt, then of the language: the last step sees at most SALTS * docs_per_lang rows
+    chosen = known.select("i", "l").distinct().withColumn("h", F.xxhash64(F.lit(SEED), "i"))
+    chosen = chosen.withColumn("s", F.pmod("h", F.lit(SALTS)))
+    for group in (["l", "s"], ["l"]):
+        order = Window.partitionBy(*group).orderBy("h", "i")
+        chosen = chosen.withColumn("k", F.row_number().over(order)).where(F.col("k") <= docs_per_lang).drop("k")
+    chosen = chosen.select("i", "l")
     # at most docs_per_lang rows per language on either side of the join and on the driver
     found = (known.join(F.broadcast(chosen), ["i", "l"]).groupBy("i", "l").agg(F.min("t").alias("t")).collect())
     return train([(r["l"], r["t"]) for r in sorted(found, key=lambda r: (r["l"], r["i"]))])
