@@ -41,7 +41,7 @@ FRAME_IDS = 1 << 16
 FILE_BYTES = 24_000_000
 #: Bytes of text that are encoded together, and distinct pieces that a worker remembers.
 UNIT_BYTES = 2_000_000
-MEMORY = 750_000
+MEMORY = 1_500_000
 
 # fixed values of the public format
 SKIPPABLE_MAGIC = 0x184D2A5E
