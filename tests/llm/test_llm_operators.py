@@ -392,6 +392,52 @@ def test_license_scan(spark, empty_docs):
     assert licenses.scan(empty_docs).count() == 0
 
 
+def licenses_in(text, templates=None):
+    import re
+
+    scanner = licenses.Scanner(templates or licenses.TEMPLATES, licenses.TOLERANCE, licenses.CONFIRMED)
+    return [r[:3] + r[4:7] for r in scanner.blocks(text, re.compile(licenses.VOCABULARY, re.IGNORECASE))]
+
+
+def test_licenses_reach_over_lines_and_within_them(spark):
+    import textwrap
+
+    mit, apache = licenses.TEMPLATES["MIT"][2], licenses.TEMPLATES["Apache-2.0"][1]
+    wrapped, lines = textwrap.fill(mit, 60), len(textwrap.wrap(mit, 60))
+    assert licenses_in(f"Some words.\n\n{wrapped}\nmore") == [(2, lines, "MIT", 0, 0, True)]
+    # a blank line inside, comment marks, and a copyright line of its own before it
+    header = "\n".join(f"# {x}" for x in textwrap.wrap(apache, 70)).replace("Unless", "\n#\n# Unless")
+    assert licenses_in(f"# Copyright 2020 Jane Doe\n#\n{header}\nimport os") == [
+        (0, 1, None, None, None, False), (2, header.count("\n") + 1, "Apache-2.0", 0, 0, True)]
+    # two notices on adjacent lines, the first one after a sentence of its line
+    two = "Copyright (c) 2020 Jane Doe. All rights reserved.\nReleased under the MIT License."
+    assert licenses_in(two) == [(0, 1, None, None, None, False), (0, 1, "Proprietary", 0, 0, True), (1, 1, "MIT", 0, 0, True)]
+    # two copies, one with a word changed in its first line and one added at its end
+    other = textwrap.fill(mit.replace("free of charge", "free of cost").replace("substantial", "substantial big"), 70)
+    got = licenses_in(f"{wrapped}\n{other}")
+    assert [r[2:] for r in got] == [("MIT", 0, 0, True), ("MIT", 1, 2, False)]
+    docs = spark.createDataFrame([(1, two), (2, f"x\n\n{wrapped}")], "doc_id bigint, text string")
+    found = sorted((r["doc_id"], r["first_line"], r["license"] or "", r["block"]) for r in licenses.scan(docs).collect())
+    assert found == [(1, 0, "", "Copyright (c) 2020 Jane Doe."), (1, 0, "Proprietary", "All rights reserved."),
+                     (1, 1, "MIT", "Released under the MIT License."), (2, 2, "MIT", wrapped)]
+
+
+def test_license_parts_match_brute_force():
+    rng = random.Random(4)
+    words = [f"v{i}" for i in range(60)]
+    templates = {f"L{n}": [" ".join(rng.choice(words) for _ in range(n)) + " license"] for n in (3, 5, 9, 20, 40)}
+    for trial in range(60):
+        name = rng.choice(sorted(templates))
+        copy = templates[name][0].split()
+        for _ in range(int(rng.random() * len(copy) * 0.2)):
+            at = rng.randrange(len(copy) - 1)
+            copy[at: at + 1] = rng.choice([[], [copy[at], "added"]])
+        differ = abs(len(copy) - len(templates[name][0].split()))
+        text = " ".join(["other"] * rng.randint(0, 30) + copy + ["words"] * rng.randint(0, 30))
+        got = [r for r in licenses_in(text, templates) if r[2] == name]
+        assert len(got) == 1 and got[0][3] + got[0][4] >= differ, (trial, name, text)
+
+
 def test_pipeline_stages(spark, rows, tmp_path):
     import corpus_pipeline as P
 
