@@ -14,7 +14,8 @@ larger reduction breaks ties, then the name. What is left of the lines with voca
 goes the same way as a block of its own.
 
 Texts are preselected with the JVM's regular expressions; only texts with such a line reach Python, whole. Templates are
-a parameter; the default holds the usual one-line grants and standard notices, a fixed list.
+a parameter; the default holds the usual one-line grants, the standard header notices and the complete license texts of
+the folder ``license_texts``, a fixed list.
 
 Defined results: null and empty texts, and texts without license vocabulary, give no row; a block that no template
 explains gives a row with license null; repeated rows each give their rows; a null id stays null; empty tables give an
@@ -28,6 +29,7 @@ from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from importlib.resources import files
 
 import pyarrow as pa
 import zstandard
@@ -44,7 +46,17 @@ RUN = 4
 VOCABULARY = (r"licen[sc]|copyright|©|spdx|warrant|permission is|redistribut|public domain|all rights reserved"
               r"|creative commons|\bcc by\b|\bcc0\b")
 
-# Standard grants and notices, by SPDX name.
+def _notice(license: str, first: str, last: str) -> str:
+    """The notice at the start of a program's files under a license of the GNU family."""
+    return (f"{first} is free software{':' if '3' in last else ';'} you can redistribute it and/or modify it under the "
+            f"terms of the {license} as published by the Free Software Foundation; either {last}, or (at your option) "
+            f"any later version. {first} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; "
+            f"without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
+            f"{license} for more details. You should have received a copy of the {license} along with this program. "
+            f"If not, see <https://www.gnu.org/licenses/>.")
+
+
+# Standard grants and notices, by SPDX name; the complete texts are added below.
 TEMPLATES: dict[str, list[str]] = {
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
@@ -67,14 +79,24 @@ TEMPLATES: dict[str, list[str]] = {
         "Released under the 3-Clause BSD License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met:"],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2."],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        _notice("GNU General Public License", "This program", "version 2 of the License")],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-        "option) any later version."],
-    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
-    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
+        "option) any later version.",
+        _notice("GNU General Public License", "This program", "version 3 of the License")],
+    "LGPL-2.1": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        _notice("GNU Lesser General Public License", "This library", "version 2.1 of the License")],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        _notice("GNU Lesser General Public License", "This library", "version 3 of the License")],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        _notice("GNU Affero General Public License", "This program", "version 3 of the License")],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
         "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."],
@@ -92,6 +114,8 @@ TEMPLATES: dict[str, list[str]] = {
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
     "Proprietary": ["All rights reserved."],
 }
+for _file in sorted((files(__package__) / "license_texts").iterdir(), key=lambda f: f.name):
+    TEMPLATES.setdefault(_file.name.removesuffix(".txt"), []).append(" ".join(_file.read_text("utf-8").split()))
 
 _SCHEMA = ("doc_id bigint, first_line int, n_lines int, license string, reduction int, n_missing int, n_extra int, "
            "exact boolean, runner_up string, block string")

@@ -412,7 +412,7 @@ def test_licenses_reach_over_lines_and_within_them(spark):
     # two notices on adjacent lines, the first one after a sentence of its line
     two = "Copyright (c) 2020 Jane Doe. All rights reserved.\nReleased under the MIT License."
     assert licenses_in(two) == [(0, 1, None, None, None, False), (0, 1, "Proprietary", 0, 0, True), (1, 1, "MIT", 0, 0, True)]
-    # two copies, one with a word changed in its first line and one added at its end
+    # two copies, one with a word changed in its first line and one added
     other = textwrap.fill(mit.replace("free of charge", "free of cost").replace("substantial", "substantial big"), 70)
     got = licenses_in(f"{wrapped}\n{other}")
     assert [r[2:] for r in got] == [("MIT", 0, 0, True), ("MIT", 1, 2, False)]
@@ -422,6 +422,21 @@ def test_licenses_reach_over_lines_and_within_them(spark):
                      (1, 1, "MIT", "Released under the MIT License."), (2, 2, "MIT", wrapped)]
 
 
+@pytest.mark.parametrize("name,words", [("MIT", 160), ("MIT-0", 130), ("BSD-2-Clause", 180), ("BSD-3-Clause", 210), ("ISC", 105),
+                                        ("0BSD", 90), ("Unlicense", 190), ("Apache-2.0", 1500), ("GPL-2.0", 2900), ("GPL-3.0", 5600)])
+def test_full_license_texts(name, words):
+    import textwrap
+
+    full = max(licenses.TEMPLATES[name], key=len)
+    assert len(full.split()) >= words
+    text = full.replace("free software", "open software", 1)
+    changed = int(text != full)
+    lines = textwrap.wrap(text, 70, break_on_hyphens=False)
+    for body in (text, "\n".join(lines), "\n".join(f" * {x}" for x in lines)):
+        got = licenses_in(f"Copyright (c) 2020 Jane Doe\n\n{body}\n\nSome other words.")
+        assert got == [(0, 1, None, None, None, False), (2, body.count("\n") + 1, name, changed, changed, not changed)]
+
+
 def test_license_parts_match_brute_force():
     rng = random.Random(4)
     words = [f"v{i}" for i in range(60)]
