@@ -1,12 +1,14 @@
 """Tool-call linking: calls and results are joined by identifier, ordered, validated and written as canonical JSON.
 
 * Link: a hash join of calls and results by call id. The earliest result (by sequence number, then text) is the
-  call's result; ``n_results`` counts all. Results without a call keep a row of their own, status ``orphan``.
+  call's result; ``n_results`` counts all. Every result without a call (no id, an unknown one, or the id of a repeated
+  call) keeps a row of its own, status ``orphan``, with its own text and conversation.
 * Order: a call may name the call whose result it uses (``after``). Depth is the number of calls before it on that
   chain, found by pointer doubling: each round doubles the known part, so a chain of n calls takes log2(n) rounds of
-  joins on the rows still open. Within a conversation, records are ordered by (depth, sequence number, id), which puts
-  every call after the one it uses. A call on a cycle has depth null, status ``cycle``, and sorts last. A parent that
-  does not exist, or that belongs to another conversation, counts as none and is marked ``dangling``.
+  joins on the rows still open. Within a conversation, records are ordered by (depth, sequence number, id, a hash of
+  the record), which puts every call after the one it uses. A call on a cycle has depth null, status ``cycle``, and
+  sorts last. A parent that does not exist, or that belongs to another conversation, counts as none and is marked
+  ``dangling``.
 * Validate: arguments must be a JSON object with the required fields, the declared types and nothing else.
 * Serialise: the variant type keeps object keys sorted, so ``to_json(parse_json(x))`` is canonical at every depth.
 
@@ -29,6 +31,8 @@ from stationflow.llm.tables import Scratch, empty
 Schemas = dict[str, dict[str, tuple[str, bool]]]
 
 LAST = (1 << 62)
+#: Copies of each repeated id of results without a call, one per salt of the rows.
+SALTS = 64
 
 
 def canonical(text: Column) -> Column:
@@ -95,16 +99,27 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     c = calls.select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("seq").cast("bigint").alias("seq"),
                      "call_id", "after", "tool", "arguments")
     seen = c.where("call_id is not null").groupBy("call_id").agg(F.count(F.lit(1)).alias("uses"))
-    c = scratch.keep(c.join(seen, "call_id", "left")
-                     .withColumn("bad", F.when(F.col("call_id").isNull(), "no_id")
-                                 .when(F.col("uses") > 1, "repeated_id")).drop("uses"), "calls")
-    r = (results.select("call_id", F.col("conv_id").cast("bigint").alias("r_conv"),
-                        F.col("seq").cast("bigint").alias("r_seq"), F.col("text").alias("r_text"))
-         .groupBy("call_id").agg(F.min(F.struct("r_seq", "r_text", "r_conv")).alias("first"),
-                                 F.count(F.lit(1)).alias("n_results")))
+    c = scratch.keep(c.join(seen, "call_id").withColumn("bad", F.when(F.col("uses") > 1, "repeated_id")).drop("uses")
+                     .unionByName(c.where("call_id is null").withColumn("bad", F.lit("no_id")))
+                     .withColumn("is_call", F.lit(True)), "calls")
+    r = results.select("call_id", F.col("conv_id").cast("bigint").alias("r_conv"),
+                       F.col("seq").cast("bigint").alias("r_seq"), F.col("text").alias("r_text"))
+    one = F.struct("r_seq", "r_text", "r_conv")
+    known = (r.where("call_id is not null").groupBy("call_id")
+             .agg(F.min(one).alias("first"), F.count(F.lit(1)).alias("n_results")))
     good = c.where("bad is null")
-    linked = good.hint("shuffle_hash").join(r, "call_id", "full_outer")
-    odd = c.where("bad is not null").withColumn("first", F.lit(None).cast(r.schema["first"].dataType)) \
+    linked = scratch.keep(good.hint("shuffle_hash").join(known, "call_id", "full_outer"), "linked")
+    # the rows of an id that no good call has come one by one; salted, as one id may have a third of all results
+    lost = linked.where("is_call is null")
+    salt = F.pmod(F.xxhash64("r_conv", "r_seq", "r_text"), F.lit(SALTS)).cast("int")
+    several = (lost.where("n_results > 1").select("call_id")
+               .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    orphans = (lost.where("n_results = 1").select("call_id", "first")
+               .unionByName(r.withColumn("salt", salt).join(several, ["call_id", "salt"])
+                            .select("call_id", one.alias("first")))
+               .unionByName(r.where("call_id is null").select("call_id", one.alias("first")))
+               .withColumn("n_results", F.lit(1).cast("bigint")))
+    odd = c.where("bad is not null").withColumn("first", F.lit(None).cast(known.schema["first"].dataType)) \
         .withColumn("n_results", F.lit(0).cast("bigint"))
     parents = good.select(F.col("call_id").alias("after"), F.col("conv_id").alias("p_conv"))
     nodes = scratch.keep(good.select("call_id", "conv_id", "after").join(parents, "after", "left").select(
@@ -113,8 +128,9 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     deep = depths(nodes.select("call_id", "parent"), scratch)
     facts = deep.join(nodes, "call_id").select(
         "call_id", "depth", (F.col("named") & F.col("parent").isNull()).alias("dangling"))
-    rows = linked.unionByName(odd).join(facts, "call_id", "left")
-    is_call = F.col("seq").isNotNull() | F.col("conv_id").isNotNull() | F.col("tool").isNotNull()
+    rows = (linked.where("is_call").join(facts, "call_id", "left").unionByName(odd, allowMissingColumns=True)
+            .unionByName(orphans, allowMissingColumns=True))
+    is_call = F.col("is_call").isNotNull()
     errors = argument_errors(F.col("arguments"), F.col("tool"), schemas)
     no_errors = F.expr("cast(array() as array<string>)")
     rows = rows.withColumn("errors", F.when(is_call, errors).otherwise(no_errors))
@@ -132,7 +148,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
                     F.col("call_id").alias("id"), F.col("tool").alias("name"), F.col("result"))
     rows = rows.withColumn("record", F.to_json(body, {"ignoreNullFields": "false"}))
     key = F.struct(F.col("conv_id"), F.coalesce(F.col("depth"), F.lit(LAST)).alias("depth"), F.col("seq"),
-                   F.col("call_id"))
+                   F.col("call_id"), F.xxhash64("record").alias("same"))
     rows = scratch.keep(rows.select(key.alias("k"), F.lit(1).cast("bigint").alias("size"), "conv_id", "depth",
                                     "call_id", "status", "n_results", "errors", "record"), "records")
     ordered = scratch.keep(global_order(rows, scratch), "ordered")
@@ -154,11 +170,12 @@ def from_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     A user turn is a call: ``search`` on even conversations, ``lookup`` on odd ones, the whole text its argument; it
     uses the call two turns earlier. Every seventh turn's limit is a string and every fifth lookup has no key, which
-    the validation must find. An assistant turn is the result of the turn before it.
+    the validation must find. An assistant turn is the result of the turn before it. Without a conversation or turn number
+    there is no id.
     """
     conv, turn, text = F.col("conv_id"), F.col("turn"), F.col("text")
-    name = F.concat_ws(":", F.lit("call"), conv.cast("string"), turn.cast("string"))
-    back = F.concat_ws(":", F.lit("call"), conv.cast("string"), (turn - 2).cast("string"))
+    name = F.concat(F.lit("call:"), conv.cast("string"), F.lit(":"), turn.cast("string"))
+    back = F.concat(F.lit("call:"), conv.cast("string"), F.lit(":"), (turn - 2).cast("string"))
     value = F.expr("substring(to_json(named_struct('k', coalesce(text, ''))), 6)")  # "..."} of {"k":"..."}
     limit = (F.length(F.coalesce(text, F.lit(""))) % 10 + 1).cast("string")
     search = F.concat(F.lit('{"query" : '), F.expr("left({0}, length({0}) - 1)".format(
@@ -172,7 +189,7 @@ def from_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.when(turn >= 2, back).alias("after"),
         F.when(odd, "lookup").otherwise("search").alias("tool"),
         F.when(odd, lookup).otherwise(search).alias("arguments"))
-    prior = F.concat_ws(":", F.lit("call"), conv.cast("string"), (turn - 1).cast("string"))
+    prior = F.concat(F.lit("call:"), conv.cast("string"), F.lit(":"), (turn - 1).cast("string"))
     results = turns.where("role = 'assistant'").select(conv.alias("conv_id"), turn.alias("seq"),
                                                        prior.alias("call_id"), text.alias("text"))
     return calls, results

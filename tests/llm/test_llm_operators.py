@@ -236,6 +236,33 @@ def test_tool_calls(spark):
     assert nothing.count() == 0
 
 
+def test_every_result_without_a_call_keeps_its_row(spark):
+    calls = [(1, 0, "a", None, "search", "{}"), (3, 1, "r", None, "search", "{}"), (3, 2, "r", None, "search", "{}"),
+             (None, None, "n", None, None, None)]
+    lost = [(c, s, i, f"{i}{c}{s}{k}") for i in (None, "zz", "r") for c in (1, 2, None) for s in (4, 5) for k in range(20)]
+    lost += [(7, 1, "once", "x"), (7, 2, None, None), (7, 2, None, None), (8, 1, "same", "s"), (8, 1, "same", "s")]
+    frame = spark.createDataFrame(lost + [(1, 6, "a", "late"), (1, 5, "a", "early")], "conv_id bigint, seq bigint, call_id string, text string")
+    got = toolcalls.link(spark.createDataFrame(
+        calls, "conv_id bigint, seq bigint, call_id string, after string, tool string, arguments string"),
+        frame, toolcalls.TURN_TOOLS).collect()
+    found = [(r["conv_id"], r["call_id"], json.loads(r["record"])["result"], r["n_results"]) for r in got if r["status"] == "orphan"]
+    assert sorted(found, key=str) == sorted(((c, i, t, 1) for c, _, i, t in lost), key=str)
+    assert {(r["call_id"], r["status"], r["n_results"]) for r in got if r["status"] != "orphan"} == {
+        ("a", "invalid", 2), ("r", "repeated_id", 0), ("n", "invalid", 0)}
+    for conv in (1, 2, 3, 7, 8, None):
+        places = [r["position"] for r in got if r["conv_id"] == conv]
+        assert sorted(places) == list(range(len(places)))
+
+
+def test_turns_without_a_number_have_no_id(spark):
+    turns = spark.createDataFrame([(None, 1, "user", "a"), (None, 2, "assistant", "b"), (3, None, "user", "c"), (1, 0, "user", "d"),
+                                   (4, 2, "user", "e"), (None, 2, "user", "f")], "conv_id bigint, turn bigint, role string, text string")
+    calls, results = toolcalls.from_turns(turns)
+    assert sorted((r["call_id"] or "", r["after"] or "") for r in calls.collect()) == [("", ""), ("", ""), ("", ""), ("call:1:0", ""),
+                                                                                       ("call:4:2", "call:4:0")]
+    assert [r["call_id"] for r in results.collect()] == [None]
+
+
 def test_long_chains_settle(spark):
     n = 300
     nodes = spark.createDataFrame([(str(i), str(i - 1) if i else None) for i in range(n)], "call_id string, parent string")
