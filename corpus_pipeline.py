@@ -6,7 +6,7 @@ sharding. All stages but the last return the columns of ``documents``; each work
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationflow.llm import decontaminate, jaccard, langid, mixing, sharding
@@ -38,10 +38,26 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps each leaf's token-prefix of one seeded epoch under the target weights."""
-    chosen = mixing.mix(docs, MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
-    kept = chosen.where("copies > 0").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["__kept"], "left_semi")
+    """Keeps each leaf's token-prefix of one seeded epoch under the target weights, row by row: with or without an id."""
+    chosen = Scratch(spark, "mixture").keep(
+        mixing.mix(docs, MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
+        .select("doc_id", *mixing.LEVELS, "n_tokens", (F.col("copies") > 0).cast("bigint").alias("taken")), "chosen")
+    ids = (chosen.where("doc_id is not null").groupBy("doc_id")
+           .agg(F.count(F.lit(1)).alias("rows"), F.sum("taken").alias("taken")).where("taken > 0"))
+    whole = ids.where("taken = rows").select(F.col("doc_id").alias("__kept"))
+    out = docs.join(whole, docs["doc_id"] == whole["__kept"], "left_semi")
+    # rows without an id, and those that share one but were not all taken: so many of each place in the order
+    part = ids.where("taken < rows").select(F.col("doc_id").alias("__part"))
+    rest = docs.where("doc_id is null").unionByName(docs.join(part, docs["doc_id"] == part["__part"], "left_semi"))
+    levels = [mixing.source_domain("source"), F.coalesce("lang", F.lit(mixing.NONE)), F.coalesce("source", F.lit(mixing.NONE))]
+    place = F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), *[c.alias(n) for n, c in zip(mixing.LEVELS, levels)],
+                     mixing.word_count(F.col("text")).alias("n_tokens"))
+    places = (chosen.where("taken > 0").groupBy(F.struct("doc_id", *mixing.LEVELS, "n_tokens").alias("__at"))
+              .agg(F.count(F.lit(1)).alias("__taken")))
+    same = Window.partitionBy("__place").orderBy(F.xxhash64(*docs.columns), "text")
+    rest = rest.withColumn("__place", place).withColumn("__nth", F.row_number().over(same))
+    rest = rest.join(places, F.col("__place").eqNullSafe(F.col("__at"))).where("__nth <= __taken")
+    return out.unionByName(rest.select(*docs.columns))
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

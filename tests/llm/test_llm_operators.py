@@ -518,6 +518,27 @@ def test_pipeline_stages(spark, rows, tmp_path):
     assert final == kept
 
 
+def test_mixture_keeps_the_rows_that_were_chosen(spark):
+    import corpus_pipeline as P
+
+    rng = random.Random(8)
+    data = [(rng.choice([*[None] * 40, 1, 2, 3, *range(10, 40)]), " ".join(["w"] * rng.randint(0, 6) + [f"t{n}"] * rng.randint(0, 1)) or None,
+             rng.choice(["en", None]), rng.choice(["src0", "src1", None]), n) for n in range(300)]
+    data += [(5, "one two three", "en", "src0", 7)] * 20
+    frame = spark.createDataFrame(data, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    chosen = mixing.mix(frame, P.MIX_WEIGHTS, P.MIX_SHARE, P.MIX_EPOCHS, P.MIX_SEED).where("copies > 0").collect()
+    kept = P.mixture(spark, frame, "").collect()
+    assert any(r["doc_id"] is None for r in chosen) and len(chosen) < sum(1 for d in data if d[1])
+
+    def place(doc_id, lang, source, n_tokens):
+        return str((doc_id, lang or mixing.NONE, source or mixing.NONE, n_tokens))
+
+    assert sorted(place(r["doc_id"], r["lang"], r["source"], len(words_of(r["text"]))) for r in kept) == sorted(
+        place(r["doc_id"], r["lang"], r["source"], r["n_tokens"]) for r in chosen)
+    rows = [tuple(r) for r in kept]
+    assert all(rows.count(r) <= data.count(r) for r in set(rows))
+
+
 def test_canonical_json_is_stable(spark):
     got = spark.range(1).select(toolcalls.canonical(F.lit('{"b": [1, {"z": null, "a": "é"}], "a": 1.50}'))).first()[0]
     assert got == '{"a":1.5,"b":[1,{"a":"é","z":null}]}' and json.loads(got)["a"] == 1.5
