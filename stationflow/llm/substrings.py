@@ -1,11 +1,10 @@
-"""Substring dedup by relative Lempel-Ziv parsing against everything that comes before.
+"""Substring dedup by a join of word windows against everything that comes before.
 
-A document is parsed greedily, left to right, into factors that copy words from a reference document with a smaller id
-and into literal words. The reference blocks are the documents' own texts, indexed by windows of ``WINDOW`` words: the
-index maps a window to the smallest document that holds it. A factor starts at the first word whose window has an
-earlier reference and goes on while the following windows refer to the same document; its last window adds the words
-up to its end. At a factor's boundary the next window is looked up on its own, so a window that straddles two factors
-is never lost. A factor is at least ``WINDOW`` words long and its words are the duplicate span.
+The documents' own texts are indexed by windows of ``WINDOW`` words: the index maps a window to the smallest document
+that holds it. A word is removed if a window over it is in a document with a smaller id. The column ``factors`` groups
+consecutive windows that refer to the same document; it is no relative Lempel-Ziv parse: no place in the reference is
+kept and no longest match sought, so factors of different references may overlap, and a factor may join windows from
+different places of its reference. A factor is at least ``WINDOW`` words long and its words are the duplicate span.
 
 Only windows that can match are indexed. The smallest hash of the 20-word runs in a window is the window's anchor;
 equal windows have equal anchors, so a window whose anchor occurs in one document only has no match anywhere. Anchors
@@ -106,7 +105,7 @@ def _windows(window: int, anchor: int):
 
 
 def factors(starts: np.ndarray, refs: np.ndarray, window: int = WINDOW) -> list[dict]:
-    """Greedy factors from the matching windows of one document, sorted by start, and their reference documents."""
+    """Factors from the matching windows of one document, sorted by start, and their reference documents."""
     cut = np.flatnonzero((np.diff(starts) != 1) | (np.diff(refs) != 0)) + 1
     first = np.concatenate(([0], cut))
     last = np.concatenate((cut, [len(starts)])) - 1
