@@ -16,12 +16,13 @@ from stationflow.llm.tables import Scratch, read
 #: The mixture takes three quarters of the tokens, each document at most once: a second epoch would bring back copies.
 MIX_SHARE = (3, 4)
 MIX_EPOCHS = 1
-#: Documents are rejected as ``und``, or below this mean probability: no better than a guess among four languages.
+#: Documents are rejected as ``und``, or below this mean probability: no better than a guess among four languages. With
+#: four languages or fewer the largest probability is never below it, so only texts without a letter are rejected.
 LEAST_SCORE = 0.25
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a recognisable language."""
+    """Rejects documents as ``langid.accepted`` does; with up to four languages, those without a letter only."""
     return langid.accepted(docs, LEAST_SCORE)
 
 
