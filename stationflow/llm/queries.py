@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import (covertree, decontaminate, jaccard, langid, licenses, mixing, sharding, substrings,
-                             tokenstore, toolcalls)
+from stationflow.llm import (alignment, capfilters, covertree, decontaminate, jaccard, langid, licenses, mixing, repair,
+                             sharding, substrings, tokenstore, toolcalls)
 from stationflow.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,18 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.store(read(spark, sf_dir, "documents"))
 
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capfilters.near_copies(read(spark, sf_dir, "embeddings"))
+
+
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.report(read(spark, sf_dir, "conversations"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_jaccard_join": op2_jaccard_join,
@@ -75,6 +87,9 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_token_store": op10_token_store,
+    "op11_embedding_near_dedup": op11_embedding_near_dedup,
+    "op12_structure_repair": op12_structure_repair,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 ORACLE: dict[str, str] = {

@@ -101,6 +101,8 @@ def cuts(raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
 class Encoder:
     """The tokenizers library behind a memory of pieces it has already encoded."""
 
+    memory = MEMORY
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -115,11 +117,17 @@ class Encoder:
         self.size = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
+    def borders(self, raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        """Starts of the pieces that are encoded on their own."""
+        return cuts(raw, offs)
+
+    def ids_of(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
     def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
         ids: list[np.ndarray] = []
         for a in range(0, len(texts), 5_000):
-            ids += [np.array(e.ids, np.uint32) for e in
-                    self.tokenizer.encode_batch(texts[a: a + 5_000], add_special_tokens=False)]
+            ids += self.ids_of(texts[a: a + 5_000])
         size = np.array([len(i) for i in ids], np.int64)
         start = len(self.flat) + np.concatenate(([0], np.cumsum(size)[:-1]))
         slot = len(self.size) + np.arange(len(keys))
@@ -130,11 +138,11 @@ class Encoder:
 
     def encode(self, offs: np.ndarray, raw: np.ndarray) -> list[np.ndarray]:
         """Ids of every text of a unit, without the end id."""
-        starts = cuts(raw, offs)
+        starts = self.borders(raw, offs)
         ends = np.append(starts[1:], len(raw)).astype(np.int64) if len(starts) else starts
         hashes = pieces(raw, starts, ends)
         unique, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) + len(unique) > MEMORY:
+        if len(self.keys) + len(unique) > self.memory:
             self.forget()
         at = np.minimum(np.searchsorted(self.keys, unique), max(len(self.keys) - 1, 0))
         new = np.flatnonzero(self.keys[at] != unique) if len(self.keys) else np.arange(len(unique))
