@@ -49,12 +49,3 @@ def station_role(dim: DataFrame, prefix: str, columns=None) -> DataFrame:
     if "station_id" not in cols:
         cols = ["station_id"] + list(cols)
     return dim.select([F.col(c).alias(f"{prefix}{c}") for c in cols])
-
-
-def with_station(trips: DataFrame, dim: DataFrame, key: str, prefix: str,
-                 columns=None, small: bool | None = None) -> DataFrame:
-    """Left outer join of ``trips.key`` to the dimension under ``prefix``.
-
-    Unknown and null keys keep their trip rows with null dimension columns."""
-    side = broadcast_if_small(station_role(dim, prefix, columns), small)
-    return trips.join(side, trips[key] == side[f"{prefix}station_id"], "left")

@@ -40,13 +40,18 @@ SOURCE_COLUMNS = ["source_file", "source_year", "source_quarter", "ingested_at"]
 RAW_TRIP_COLUMNS = TRIP_CSV_COLUMNS + SOURCE_COLUMNS
 LAKE_PARTITIONS = ["year", "quarter"]
 
-STAGING_COLUMNS = [
-    "trip_id", "duration_minutes", "start_time", "end_time", "trip_date",
-    "start_hour", "day_of_week", "start_station_id", "start_lat", "start_lon",
-    "end_station_id", "end_lat", "end_lon", "bike_id", "plan_duration_days",
-    "trip_route_category", "passholder_type", "bike_type", "source_file",
-    "source_year", "source_quarter", "ingested_at",
-]
+STAGING_TYPES = {
+    "trip_id": T.StringType(), "duration_minutes": T.IntegerType(),
+    "start_time": T.TimestampNTZType(), "end_time": T.TimestampNTZType(),
+    "trip_date": T.DateType(), "start_hour": T.LongType(), "day_of_week": T.LongType(),
+    "start_station_id": T.StringType(), "start_lat": T.DoubleType(), "start_lon": T.DoubleType(),
+    "end_station_id": T.StringType(), "end_lat": T.DoubleType(), "end_lon": T.DoubleType(),
+    "bike_id": T.StringType(), "plan_duration_days": T.IntegerType(),
+    "trip_route_category": T.StringType(), "passholder_type": T.StringType(), "bike_type": T.StringType(),
+    "source_file": T.StringType(), "source_year": T.IntegerType(), "source_quarter": T.IntegerType(),
+    "ingested_at": T.TimestampType(),
+}
+STAGING_COLUMNS = list(STAGING_TYPES)
 STAGING_PARTITIONS = ["source_year", "source_quarter"]
 
 # The serving copy keeps 17 of the 22 staging columns.
@@ -57,10 +62,8 @@ SLIM_COLUMNS = [
     "source_year", "source_quarter", "ingested_at",
 ]
 
-DIM_STATION_COLUMNS = [
-    "station_id", "station_name", "go_live_date", "region", "status",
-    "latitude", "longitude",
-]
+DIM_STATION_TYPES = STATION_TYPES | {"station_id": T.StringType(), "go_live_date": T.DateType()}
+DIM_STATION_COLUMNS = list(DIM_STATION_TYPES)
 
 HOURLY_DEMAND_COLUMNS = [
     "source_year", "source_quarter", "trip_date", "start_hour",

@@ -27,18 +27,17 @@ NA_TOKENS = [
     "nan", "null",
 ]
 
-# The time formats accepted for trip and station times, tried in
-# order ([...] marks an optional part): US and ISO dates with an optional time
-# and fraction, AM/PM, two-digit years, and ISO times with a UTC offset (read
-# as the UTC wall clock).
-TIMESTAMP_FORMATS = [
-    "M/d/yyyy[ H:mm[:ss[.SSSSSSSSS]]]",
-    "yyyy-MM-dd[ HH:mm[:ss[.SSSSSSSSS]]]['T'HH:mm[:ss[.SSSSSSSSS]]]",
-    "M/d/yyyy h:mm[:ss[.SSSSSSSSS]] a",
-    "M/d/yy[ H:mm[:ss[.SSSSSSSSS]]]",
-    "M/d/yy h:mm[:ss[.SSSSSSSSS]] a",
-    "yyyy-MM-dd[ HH:mm[:ss[.SSSSSSSSS]]]['T'HH:mm[:ss[.SSSSSSSSS]]]XXX",
-]
+# The accepted forms of trip and station times: a US date (two- or four-digit
+# year) or an ISO date, alone or with a time of day (one- or two-digit hour,
+# seconds and fraction optional); US times also with AM/PM, ISO times also
+# with a UTC offset, which reads as the UTC wall clock.
+_TIME = r"\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?"
+_US_TIME = rf"^(\d{{1,2}})/(\d{{1,2}})/(\d{{4}})((?: {_TIME})?)$"
+_ISO_TIME = rf"^\d{{4}}-\d{{1,2}}-\d{{1,2}}(?:[ T]{_TIME})?$"
+_SHORT_YEAR = r"^(\d{1,2}/\d{1,2})/(\d{2})( .*)?$"
+_HALF_DAY = r"^(\d{1,2})/(\d{1,2})/(\d{4}) (0?[1-9]|1[0-2])(:\d{2}(?::\d{2}(?:\.\d{1,9})?)?) ([AaPp])[Mm]$"
+_ISO_OFFSET = rf"^\d{{4}}-\d{{1,2}}-\d{{1,2}}[ T]{_TIME}(?:Z|[+-]\d{{2}}:\d{{2}})$"
+_NO_SECONDS = r"([ T]\d{1,2}:\d{2})(Z|[+-]\d{2}:\d{2})$"
 
 FILE_PATH = "__file_path"
 FILE_NAME = "__file_name"
@@ -155,42 +154,84 @@ def _text(name: str) -> str:
     return f"CASE WHEN `{name}` IN ({_NA_SQL}) THEN NULL ELSE `{name}` END"
 
 
+def _missing(s: str) -> str:
+    return f"({s} IS NULL OR {s} IN ({_NA_SQL}))"
+
+
+def _typed(name: str, kind: str, fast: Callable[[str], str], rare: Callable[[str], str]) -> Column:
+    """The column's text read by ``fast``, which is null for text it cannot
+    read, or else by ``rare``. The rare reading is a lambda: Spark evaluates it
+    outside the generated code, which stays below the size (8,000 bytes a
+    method) up to which the JVM compiles it."""
+    s = f"`{name}`"
+    return F.expr(f"CASE WHEN {s} IS NULL THEN CAST(NULL AS {kind}) "
+                  f"ELSE coalesce({fast(s)}, element_at(transform(array({s}), x -> {rare('x')}), 1)) END")
+
+
 def parse_long(name: str, what: str) -> Column:
     """Integer text -> bigint; '8.0' is accepted, '8.5' or 'abc' raise."""
-    s = f"`{name}`"
-    dec = f"try_cast({s} AS DECIMAL(38,9))"
     msg = _quote(f"{what}: cannot read '{name}' value as integer: ")
-    return F.expr(
-        f"CASE WHEN {s} IS NULL OR {s} IN ({_NA_SQL}) THEN CAST(NULL AS BIGINT) "
-        f"WHEN try_cast({s} AS BIGINT) IS NOT NULL THEN try_cast({s} AS BIGINT) "
-        f"WHEN {dec} = floor({dec}) THEN CAST({dec} AS BIGINT) "
-        f"ELSE CAST(raise_error(concat({msg}, {s})) AS BIGINT) END"
-    )
+
+    def rare(x: str) -> str:
+        number = f"try_cast({x} AS DECIMAL(38,9))"
+        return (f"CASE WHEN {_missing(x)} THEN CAST(NULL AS BIGINT) "
+                f"WHEN {number} = floor({number}) THEN CAST({number} AS BIGINT) "
+                f"ELSE CAST(raise_error(concat({msg}, {x})) AS BIGINT) END")
+
+    return _typed(name, "BIGINT", lambda s: f"try_cast({s} AS BIGINT)", rare)
 
 
 def parse_double(name: str, what: str) -> Column:
-    s = f"`{name}`"
+    """Number text -> double; 'nan' in any case is missing, as the other tokens are."""
     msg = _quote(f"{what}: cannot read '{name}' value as number: ")
-    return F.expr(
-        f"CASE WHEN {s} IS NULL OR {s} IN ({_NA_SQL}) THEN CAST(NULL AS DOUBLE) "
-        f"WHEN try_cast({s} AS DOUBLE) IS NOT NULL THEN try_cast({s} AS DOUBLE) "
-        f"ELSE CAST(raise_error(concat({msg}, {s})) AS DOUBLE) END"
-    )
+
+    def rare(x: str) -> str:
+        return (f"CASE WHEN {_missing(x)} THEN CAST(NULL AS DOUBLE) "
+                f"ELSE coalesce(try_cast({x} AS DOUBLE), CAST(raise_error(concat({msg}, {x})) AS DOUBLE)) END")
+
+    return _typed(name, "DOUBLE", lambda s: f"nullif(try_cast({s} AS DOUBLE), double('NaN'))", rare)
 
 
 def parse_string(name: str) -> Column:
     return F.expr(_text(name))
 
 
-def parse_timestamp(name: str, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
-    """Text -> timestamp_ntz trying each format; missing values are null, and
-    other text that no format reads raises, so no row is lost in silence.
-    Session time zone is UTC, so the instant-to-local cast keeps the
-    wall-clock value."""
-    s = f"`{name}`"
-    tries = ", ".join(f"try_to_timestamp({s}, {_quote(f)})" for f in formats)
+def _regex(pattern: str) -> str:
+    return f"r'{pattern}'"
+
+
+def _us(text: str) -> str:
+    return f"try_cast(regexp_replace({text}, {_regex(_US_TIME)}, '$3-$1-$2$4') AS TIMESTAMP_NTZ)"
+
+
+def _rare_time(x: str, name: str) -> str:
+    """Two-digit years, AM/PM, UTC offsets, missing values, or an error."""
     msg = _quote(f"cannot read '{name}' value as time: ")
-    return F.expr(
-        f"CASE WHEN {s} IS NULL OR {s} IN ({_NA_SQL}) THEN CAST(NULL AS TIMESTAMP_NTZ) "
-        f"ELSE CAST(coalesce({tries}, CAST(raise_error(concat({msg}, {s})) AS TIMESTAMP)) AS TIMESTAMP_NTZ) END"
-    )
+    year, month_day, rest = (f"regexp_extract({x}, {_regex(_SHORT_YEAR)}, {k})" for k in (2, 1, 3))
+    long_year = f"concat({month_day}, '/20', {year}, {rest})"  # '5/3/26 8:00' -> '5/3/2026 8:00'
+    us_year = f"CASE WHEN {x} RLIKE {_regex(_SHORT_YEAR)} THEN {long_year} ELSE {x} END"
+    month, day, whole_year, hour, later, half = (
+        f"regexp_extract({us_year}, {_regex(_HALF_DAY)}, {k})" for k in range(1, 7))
+    hour24 = f"CAST(CAST({hour} AS INT) % 12 + IF(lower({half}) = 'p', 12, 0) AS STRING)"
+    twelve = f"try_cast(concat({whole_year}, '-', {month}, '-', {day}, ' ', {hour24}, {later}) AS TIMESTAMP_NTZ)"
+    # an instant, since the text names its offset; seconds are added where they are left out
+    instant = f"try_cast(regexp_replace({x}, {_regex(_NO_SECONDS)}, '$1:00$2') AS TIMESTAMP)"
+    seconds = f"CAST(unix_micros({instant}) / CAST(1000000 AS DECIMAL(20,0)) AS DECIMAL(18,6))"
+    return (f"CASE WHEN {_missing(x)} THEN CAST(NULL AS TIMESTAMP_NTZ) ELSE coalesce("
+            f"CASE WHEN {x} RLIKE {_regex(_ISO_OFFSET)} "
+            f"THEN TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds}) END, "
+            f"CASE WHEN {us_year} RLIKE {_regex(_HALF_DAY)} THEN {twelve} END, "
+            f"CASE WHEN {x} RLIKE {_regex(_SHORT_YEAR)} THEN {_us(long_year)} END, "
+            f"CAST(raise_error(concat({msg}, {x})) AS TIMESTAMP_NTZ)) END")
+
+
+def parse_timestamp(name: str) -> Column:
+    """Text -> timestamp_ntz: the wall clock as written, whatever the session
+    time zone (an hour that a zone skips or repeats in spring or autumn too).
+    Missing values are null, and other text that is no time raises, so no row
+    is lost in silence."""
+    def fast(s: str) -> str:
+        return (f"CASE WHEN contains({s}, '/') THEN {_us(s)} "
+                f"WHEN {s} RLIKE {_regex(_ISO_TIME)} THEN try_cast({s} AS TIMESTAMP_NTZ) END")
+
+    return _typed(name, "TIMESTAMP_NTZ", fast, lambda x: _rare_time(x, name))

@@ -113,8 +113,9 @@ def with_source_metadata(df: DataFrame, ingested_at: dt.datetime) -> DataFrame:
 
 
 def stamp_literal(ingested_at: dt.datetime) -> Column:
-    """The run's ingestion instant as a timestamp literal (UTC session)."""
-    return F.lit(ingested_at.astimezone(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+    """The run's ingestion instant as a timestamp literal, in any session time zone."""
+    micros = (ingested_at.astimezone(dt.timezone.utc) - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
+    return F.timestamp_micros(F.lit(micros).cast("bigint"))
 
 
 def _stamp(df: DataFrame, ingested_at: dt.datetime) -> DataFrame:

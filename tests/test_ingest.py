@@ -1,4 +1,6 @@
 import datetime as dt
+import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,7 +31,6 @@ def lake_rows(spark, lake):
 
 def test_ingest_dedup_filter_and_na_tokens(spark, folder):
     raw = folder + "/raw"
-    import os
     os.makedirs(raw.replace("file://", ""))
     lines = [
         TRIP_HEADER,
@@ -64,7 +65,6 @@ def test_ingest_dedup_filter_and_na_tokens(spark, folder):
 @pytest.mark.parametrize("bad", ["8.5", "abc"])
 def test_ingest_rejects_non_integer_duration(spark, folder, bad):
     raw = folder + "/raw"
-    import os
     os.makedirs(raw.replace("file://", ""))
     write_text(raw, "metro-trips-2026-q1.csv", TRIP_HEADER + "\n" + row("1", bad) + "\n")
     with pytest.raises(Exception, match="cannot read 'duration'"):
@@ -93,7 +93,6 @@ def test_no_input_and_no_manifest(spark, folder):
 
 
 def test_reingest_replaces_only_its_quarter(spark, folder):
-    import os
     raw = folder + "/raw"
     os.makedirs(raw.replace("file://", ""))
     write_text(raw, "metro-trips-2026-q1.csv", TRIP_HEADER + "\n" + row("1") + "\n" + row("2") + "\n")
@@ -118,7 +117,6 @@ def test_reingest_replaces_only_its_quarter(spark, folder):
 
 
 def test_header_normalisation_and_column_order(spark, folder):
-    import os
     raw = folder + "/raw"
     os.makedirs(raw.replace("file://", ""))
     cols = TRIP_HEADER.split(",")
@@ -151,7 +149,6 @@ def test_station_ingest(spark, folder):
 
 
 def test_republished_quarter_without_valid_rows_empties_it(spark, folder):
-    import os
     raw = folder + "/raw"
     os.makedirs(raw.replace("file://", ""))
     write_text(raw, "metro-trips-2026-q1.csv", TRIP_HEADER + "\n" + row("1") + "\n")
@@ -165,7 +162,6 @@ def test_republished_quarter_without_valid_rows_empties_it(spark, folder):
 
 
 def test_multi_line_quoted_fields(spark, folder):
-    import os
     raw = folder + "/raw"
     os.makedirs(raw.replace("file://", ""))
     quoted = row("1", passholder_type='"Monthly\nPass"')
@@ -177,7 +173,6 @@ def test_multi_line_quoted_fields(spark, folder):
 
 
 def test_too_many_fields_raise_too_few_read_as_null(spark, folder):
-    import os
     raw = folder + "/raw"
     os.makedirs(raw.replace("file://", ""))
     short = ",".join(row("1").split(",")[:-1])
@@ -195,7 +190,6 @@ def test_too_many_fields_raise_too_few_read_as_null(spark, folder):
 
 
 def test_times_in_every_accepted_form_are_read_and_others_raise(spark, folder):
-    import os
     raw, lake = folder + "/raw", folder + "/lake"
     os.makedirs(raw.replace("file://", ""))
     forms = [("1/5/2026 8:00 AM", "2026-01-05 08:00:00"), ("1/5/2026 1:02:03 pm", "2026-01-05 13:02:03"),
@@ -214,7 +208,6 @@ def test_times_in_every_accepted_form_are_read_and_others_raise(spark, folder):
 
 
 def test_first_ingest_without_a_valid_row_writes_its_manifest(spark, folder):
-    import os
     raw = folder + "/raw"
     os.makedirs(raw.replace("file://", ""))
     write_text(raw, "metro-trips-2026-q1.csv", TRIP_HEADER + "\n" + row("1", duration="0") + "\n")
@@ -224,7 +217,6 @@ def test_first_ingest_without_a_valid_row_writes_its_manifest(spark, folder):
 
 
 def test_quoted_fields_read_as_other_csv_readers_do(spark, folder):
-    import os
     raw, lake = folder + "/raw", folder + "/lake"
     os.makedirs(raw.replace("file://", ""))
     plain = row("1").split(",")
@@ -238,3 +230,36 @@ def test_quoted_fields_read_as_other_csv_readers_do(spark, folder):
     ingest_trips(spark, raw, lake, folder + "/m.json", STAMP)
     got = {r["trip_id"]: (r["passholder_type"], r["bike_type"]) for r in read_trip_lake(spark, lake).collect()}
     assert got == {0: ('One "Way" pass', "standard"), 1: ("x\\", "standard"), 2: ("a, b", "standard")}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
+def test_times_keep_their_wall_clock_in_any_session_zone(spark, folder, zone):
+    """3/8/2026 2:30 does not exist in Los Angeles and 11/1/2026 1:30 occurs twice."""
+    written = {"1": ("3/8/2026 2:30", "3/8/2026 2:45"), "2": ("2026-11-01 1:30", "2026-11-01T01:59:59.25"),
+               "3": ("3/8/26 2:05 AM", "2026-03-08 02:06:00+00:00"), "4": ("1/5/2026 12:00 AM", "1/5/2026 12:30 PM")}
+    os.makedirs((folder + "/raw").replace("file://", ""))
+    write_text(folder + "/raw", "metro-trips-2026-q1.csv",
+               "\n".join([TRIP_HEADER, *(row(i, start=a, end=b) for i, (a, b) in written.items())]) + "\n")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        ingest_trips(spark, folder + "/raw", folder + "/lake", folder + "/m.json", STAMP)
+        found = {r["trip_id"]: r for r in read_trip_lake(spark, folder + "/lake").select(
+            "trip_id", "start_time", "end_time", F.unix_micros("ingested_at").alias("stamp")).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert found[1]["start_time"] == dt.datetime(2026, 3, 8, 2, 30) and found[1]["end_time"] == dt.datetime(2026, 3, 8, 2, 45)
+    assert found[2]["start_time"] == dt.datetime(2026, 11, 1, 1, 30)
+    assert found[2]["end_time"] == dt.datetime(2026, 11, 1, 1, 59, 59, 250000)
+    assert found[3]["start_time"] == dt.datetime(2026, 3, 8, 2, 5) and found[3]["end_time"] == dt.datetime(2026, 3, 8, 2, 6)
+    assert found[4]["start_time"] == dt.datetime(2026, 1, 5) and found[4]["end_time"] == dt.datetime(2026, 1, 5, 12, 30)
+    assert {r["stamp"] for r in found.values()} == {int(STAMP.timestamp()) * 1_000_000}
+
+
+def test_typed_scan_stays_below_the_size_the_jvm_compiles(spark, folder):
+    os.makedirs((folder + "/raw").replace("file://", ""))
+    write_text(folder + "/raw", "metro-trips-2026-q1.csv", "\n".join([TRIP_HEADER, row("1")]) + "\n")
+    plan = TR.read_trip_csv(spark, [folder + "/raw/metro-trips-2026-q1.csv"])._jdf.queryExecution().executedPlan()
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$").__getattr__("MODULE$")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(plan))]
+    assert sizes and max(sizes) < 8000
