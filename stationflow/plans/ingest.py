@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..session import glob_exists
 from ..operators import manifest as MF
+from ..sinks import journal
 from ..sinks.lake import write_station_lake, write_trip_lake
-from ..sinks.files import delete
 from ..sinks.manifest import write_manifest
 from ..sources import trips as TR
 from ..sources.local import rows_frame
@@ -51,7 +51,10 @@ def ingest_trip_files(spark: SparkSession, files: list[str], input_dir: str, lak
                       multi_line: bool = False) -> IngestResult:
     """M1 over an explicit list of trip CSVs (used by the batch run and by
     the incremental stream). Re-running it with the same files gives the
-    same lake partitions and manifest records."""
+    same lake partitions and manifest records. Quarters and manifest are
+    staged and committed together (``sinks.journal``); a run that stopped
+    before is completed or undone first."""
+    journal.recover(spark, lake_dir)
     names = [p.rsplit("/", 1)[-1] for p in files]
     quarters = {n: TR.trip_file_quarter(n) for n in names}
     stamp = ingested_at or dt.datetime.now(dt.timezone.utc)
@@ -66,33 +69,30 @@ def ingest_trip_files(spark: SparkSession, files: list[str], input_dir: str, lak
     counted = rows.observe(obs, F.count(F.lit(1)).alias("rows"), *[
         F.count_if(F.col(TR.FILE_INDEX) == F.lit(index[n])).alias(f"file_{index[n]}") for n in replaced
     ])
+    run = journal.staging(lake_dir)
+    staged = journal.rows_dir(run)
     write_trip_lake(counted.filter(F.col(TR.FILE_INDEX).isin([index[n] for n in winners]))
-                    .drop(TR.FILE_INDEX), lake_dir)
+                    .drop(TR.FILE_INDEX), staged)
     metrics = obs.get
     counts = {n: int(metrics.get(f"file_{index[n]}", 0) or 0) for n in replaced}
-    # Each written quarter now holds exactly its winning file's rows, stamped
-    # with this run's ingested_at: count those per quarter (row groups of
-    # other runs are skipped by their statistics). A winning file without a
-    # valid row writes no partition, so its quarter's old folder is removed,
-    # as replacing it with an empty file would.
-    written = [quarters[n] for n in winners]
-    fresh = F.col("ingested_at") == TR.stamp_literal(stamp)
-    # A first ingest without a valid row has written nothing yet.
-    any_rows = glob_exists(spark, f"{lake_dir.rstrip('/')}/year=*/quarter=*/*.parquet")
+    # Each staged quarter holds exactly its winning file's rows. A winning
+    # file without a valid row stages no partition, so its quarter's old
+    # folder is removed, as replacing it with an empty file would.
+    any_rows = glob_exists(spark, f"{staged}/year=*/quarter=*/*.parquet")
     by_quarter = {(r["year"], r["quarter"]): r["rows"]
-                  for r in lake_partitions(spark, lake_dir, written, fresh).collect()} if any_rows else {}
+                  for r in lake_partitions(spark, staged).collect()} if any_rows else {}
     for n in winners:
         counts[n] = int(by_quarter.get(quarters[n], 0))
-        if counts[n] == 0:
-            y, q = quarters[n]
-            delete(spark, f"{lake_dir.rstrip('/')}/year={y}/quarter={q}")
+    written = [quarters[n] for n in winners if counts[n]]
+    emptied = [quarters[n] for n in winners if not counts[n]]
     count_rows = [(n, quarters[n][0], quarters[n][1], counts[n]) for n in names]
     count_df = rows_frame(
         spark, count_rows, "source_file string, source_year bigint, source_quarter bigint, cleaned_rows bigint")
     stamp_iso = stamp.astimezone(dt.timezone.utc).isoformat()
     new = MF.records_from_counts(count_df, input_dir, lake_dir, stamp_iso)
     records = MF.upsert(read_manifest(spark, manifest_path), new)
-    updated = write_manifest(spark, records, manifest_path)
+    updated = write_manifest(spark, records, journal.manifest_file(run))
+    journal.finish(spark, run, lake_dir, manifest_path, written, emptied)
     return IngestResult(files, counts, sum(counts.values()), stamp_iso, updated,
                         read_manifest(spark, manifest_path))
 
@@ -105,16 +105,8 @@ def ingest_stations(spark: SparkSession, input_file: str, output_file: str) -> i
     return int(obs.get.get("n", 0) or 0)
 
 
-def lake_partitions(spark: SparkSession, lake_dir: str,
-                    only: list[tuple[int, int]] | None = None, where=None) -> DataFrame:
-    """(year, quarter, rows) of the lake, optionally of some quarters only
-    (pruned to their folders) and of rows matching ``where``."""
-    from functools import reduce
+def lake_partitions(spark: SparkSession, lake_dir: str) -> DataFrame:
+    """(year, quarter, rows) of a lake, counted from Parquet footers."""
     from ..sources.lake import read_trip_lake
     lake = read_trip_lake(spark, lake_dir)
-    if only:
-        conds = [(F.col("year") == y) & (F.col("quarter") == q) for y, q in sorted(set(only))]
-        lake = lake.filter(reduce(lambda a, b: a | b, conds))
-    if where is not None:
-        lake = lake.filter(where)
     return lake.groupBy(*S.LAKE_PARTITIONS).agg(F.count(F.lit(1)).alias("rows"))

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 from .. import schemas as S
 from ..operators.models import mart_order, slim_trips
-from . import files
+from . import files, versions
 from .tables import Warehouse
 
 # Extract file name -> warehouse table, in export order.
@@ -52,12 +52,13 @@ SERVING_TABLES = [S.DIM_STATIONS, S.RPT_HOURLY_DEMAND, S.RPT_STATION_ACTIVITY, S
 
 
 def export_serving(spark: SparkSession, wh: Warehouse, out_root: str) -> Warehouse:
-    """The serving copy, replaced as a whole: the 17-column staging
-    projection (same partitioning) plus the dimension and marts unchanged."""
-    staged_root = files.staging_for(out_root)
-    out = Warehouse(spark, staged_root)
+    """The serving copy, replaced as a whole in one atomic step: the
+    17-column staging projection (same partitioning) plus the dimension and
+    marts unchanged, as a new version of the copy's root."""
+    version = versions.fresh(out_root)
+    out = Warehouse(spark, version)
     out.save(slim_trips(wh.table(S.STAGING_TRIPS)), S.STAGING_TRIPS)
     for name in SERVING_TABLES:
         out.save(wh.table(name), name)
-    files.replace_dir(spark, staged_root, out_root)
+    versions.commit(spark, version)
     return Warehouse(spark, out_root)

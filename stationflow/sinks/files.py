@@ -25,6 +25,54 @@ def delete(spark: SparkSession, path: str) -> None:
         fs.delete(hpath, True)
 
 
+def found(spark: SparkSession, path: str) -> bool:
+    hpath, fs = _fs(spark, path)
+    return bool(fs.exists(hpath))
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    hpath, fs = _fs(spark, pattern)
+    return sorted(st.getPath().toString() for st in (fs.globStatus(hpath) or []) if st.isDirectory())
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, whole."""
+    hpath, fs = _fs(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    hpath, fs = _fs(spark, path)
+    stream = fs.create(hpath, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a file to a name that must be free; False if it is taken."""
+    hsource, fs = _fs(spark, source)
+    htarget, _ = _fs(spark, target)
+    return not fs.exists(htarget) and bool(fs.rename(hsource, htarget))
+
+
+def move_over(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another one."""
+    hsource, fs = _fs(spark, source)
+    htarget, _ = _fs(spark, target)
+    if fs.exists(htarget):
+        fs.delete(htarget, True)
+    if not fs.exists(htarget.getParent()):
+        fs.mkdirs(htarget.getParent())
+    if not fs.rename(hsource, htarget):
+        raise RuntimeError(f"could not move {source} to {target}")
+
+
 def single_part_to_file(spark: SparkSession, out_dir: str, target: str) -> None:
     """Move the one data file Spark wrote into ``out_dir`` to ``target``
     (replacing it) and remove ``out_dir``."""

@@ -1,6 +1,9 @@
 """The warehouse: named tables ``schema.table`` stored as Parquet folders
 under one root (B3, B4, A10, A11), optionally registered in the catalog.
 
+Every table is a versioned folder (``sinks.versions``), and so may be the root:
+a reader resolves the pointers each time it opens a table.
+
 ``raw.trips`` is the trip lake itself (read in place, not copied);
 ``staging.trips`` is partitioned by (source_year, source_quarter), so quarter
 filters prune folders.
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..session import exists
-from .files import write_then_replace
+from . import versions
 from ..sources.lake import read_station_lake, read_trip_lake
 
 PARTITIONING = {S.STAGING_TRIPS: S.STAGING_PARTITIONS}
@@ -41,15 +44,16 @@ class Warehouse:
         return cls(spark, root, **kw)
 
     def path(self, name: str) -> str:
+        """The folder of a table, which holds its versions."""
         schema, table = name.split(".")
-        return f"{self.root}/{schema}/{table}"
+        return f"{versions.current(self.spark, self.root) or self.root}/{schema}/{table}"
 
     def exists(self, name: str) -> bool:
         if name == S.RAW_TRIPS and self.trips_lake:
             return exists(self.spark, self.trips_lake)
         if name == S.RAW_STATIONS and self.stations_file:
             return exists(self.spark, self.stations_file)
-        return exists(self.spark, self.path(name))
+        return versions.current(self.spark, self.path(name)) is not None
 
     def table(self, name: str) -> DataFrame:
         """A10: a table by name, read-only."""
@@ -57,9 +61,10 @@ class Warehouse:
             return read_trip_lake(self.spark, self.trips_lake)
         if name == S.RAW_STATIONS and self.stations_file:
             return read_station_lake(self.spark, self.stations_file)
-        if not self.exists(name):
+        data = versions.current(self.spark, self.path(name))
+        if data is None:
             raise FileNotFoundError(f"Warehouse table not found: {name} ({self.path(name)})")
-        df = self.spark.read.parquet(self.path(name))
+        df = self.spark.read.parquet(data)
         if name == S.STAGING_TRIPS:
             return df.select(*[c for c in S.STAGING_COLUMNS if c in df.columns])
         return df
@@ -74,8 +79,8 @@ class Warehouse:
                 self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{self.root}/{schema}'")
 
     def save(self, df: DataFrame, name: str) -> int:
-        """Replace the table with ``df``: written beside the old one and
-        swapped in, so a failed save leaves the old table.
+        """Replace the table with ``df``, written as a new version: one
+        atomic step makes it the table, and a failed save leaves the old one.
         Returns the number of rows written, counted in the write's final
         stage (a task's count is applied once, also when it is retried)."""
         parts = PARTITIONING.get(name, [])
@@ -90,10 +95,10 @@ class Warehouse:
         writer = out.write
         if parts:
             writer = writer.partitionBy(*parts)
-        write_then_replace(self.spark, writer, self.path(name))
+        version = versions.write(self.spark, writer, self.path(name))
         if self.catalog:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            self.spark.catalog.createTable(name, path=self.path(name), source="parquet")
+            self.spark.catalog.createTable(name, path=version, source="parquet")
             if parts:
                 self.spark.sql(f"MSCK REPAIR TABLE {name}")
         return int(obs.get.get("rows", 0) or 0)
