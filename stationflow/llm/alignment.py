@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationflow.llm.tables import Scratch
+from stationflow.llm.tables import Scratch, tidy
 from stationflow.llm.tokenstore import Encoder
 from stationflow.llm.words import text_buffers
 
@@ -273,6 +273,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _align(path_a: str, path_b: str):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(path_a, path_b)
         for batch in batches:
@@ -319,6 +320,7 @@ _LOOKED_UP = ("id bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint
 
 def _look_up(shared):
     """Sums over the broadcast pairs of every document; the pairs not among them stay in the two lists."""
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, n, best = shared.value
         for batch in batches:

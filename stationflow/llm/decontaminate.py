@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stationflow.llm.tables import bounded_batches, tidy
 from stationflow.llm.words import blocks, runs
 
 WORDS = 5
@@ -95,6 +96,7 @@ def contaminated(docs: DataFrame, items: DataFrame, share: int = CONTAINMENT, wo
                  item_text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(doc_id, item_id, n_hit, n_item) for every document that holds at least ``share`` percent of an item."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     wanted = items.select(F.col(item_col).cast("bigint").alias("i"), F.col(item_text_col).alias("t")).where("t is not null")
     size = wanted.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     chunks = max(1, -(-int(size) // chunk_bytes))
@@ -109,6 +111,7 @@ def contaminated(docs: DataFrame, items: DataFrame, share: int = CONTAINMENT, wo
 
 
 def _searcher(shared):
+    @tidy
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shared.value
         for batch in batches:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm.tables import IdFilter, Scratch, components, empty
+from stationflow.llm.tables import IdFilter, Scratch, components, empty, tidy
 from stationflow.llm.words import blocks, mix, runs
 
 WORDS = 5
@@ -106,6 +106,7 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> Iterator[tuple[int, np.
 
 
 def _scan(words: int):
+    @tidy
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(SLOTS, np.int64)
         schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()),
@@ -168,6 +169,7 @@ def _sketch(scanned: DataFrame) -> np.ndarray:
 
 def _keys(shared, boundary: int, share: int, words: int):
     """Per text: list shingles in the global order, and subset keys of a light set."""
+    @tidy
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = shared.value
         slot = np.uint64(SLOTS - 1)
@@ -195,6 +197,7 @@ def _keys(shared, boundary: int, share: int, words: int):
 
 
 def _sets(wanted, words: int):
+    @tidy
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)

@@ -24,6 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stationflow.llm.tables import bounded_batches, give_back, tidy
 from stationflow.llm.words import text_buffers
 
 SEGMENT = 64
@@ -36,6 +37,10 @@ BATCH = 192
 RATE = 0.02
 SEED = 11
 UNKNOWN = "und"
+#: A language counts as known from this part of the way from an even guess to certainty on (0.344 of four languages), and
+#: for any shorter text with a letter, whose mean is over too few bytes to say.
+LEAST_LEAD = 1 / 8
+LEAST_BYTES = 256
 
 #: Segments that are read side by side.
 WIDTH = 2048
@@ -231,6 +236,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 def identify(docs: DataFrame, net: Network | None = None, id_col: str = "doc_id", text_col: str = "text",
              lang_col: str = "lang") -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row; fits a network on ``docs`` if none is given."""
+    bounded_batches(docs.sparkSession)
     net = net or fit(docs, id_col, text_col, lang_col)
     shared = docs.sparkSession.sparkContext.broadcast(net)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), _held_out(F.col(id_col).cast("bigint")).alias("held_out"),
@@ -238,38 +244,47 @@ def identify(docs: DataFrame, net: Network | None = None, id_col: str = "doc_id"
     return rows.mapInArrow(_predictor(shared), "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
+def _predict(net: Network | None, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+    """The best language and its mean probability per text; ``und`` and 0 without a letter."""
+    lettered = pc.fill_null(pc.match_substring_regex(texts.cast(pa.large_string()), r"\p{L}"), False)
+    lettered = lettered.to_numpy(zero_copy_only=False)
+    if net is None or not len(texts):
+        return [UNKNOWN] * len(texts), np.zeros(len(texts))
+    probs = predict(net, texts)
+    names = [net.languages[k] if ok else UNKNOWN for k, ok in zip(probs.argmax(axis=1), lettered)]
+    return names, np.where(lettered, np.clip(probs.max(axis=1), 0, 1), 0.0).round(6)
+
+
 def _predictor(shared):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = shared.value
         for batch in batches:
-            texts = batch.column(2)
-            lettered = pc.fill_null(pc.match_substring_regex(texts.cast(pa.large_string()), r"\p{L}"), False)
-            lettered = lettered.to_numpy(zero_copy_only=False)
-            if net is None or not batch.num_rows:
-                names, score = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
-            else:
-                probs = predict(net, texts)
-                best = probs.argmax(axis=1)
-                names = [net.languages[k] if ok else UNKNOWN for k, ok in zip(best, lettered)]
-                score = np.where(lettered, np.clip(probs.max(axis=1), 0, 1), 0.0).round(6)
+            names, score = _predict(shared.value, batch.column(2))
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(score)],
                                   names=["doc_id", "held_out", "lang_pred", "score"])
     return run
 
 
-def accepted(docs: DataFrame, least_score: float = 0.3, id_col: str = "doc_id", text_col: str = "text",
+def accepted(docs: DataFrame, least_lead: float = LEAST_LEAD, id_col: str = "doc_id", text_col: str = "text",
              lang_col: str = "lang") -> DataFrame:
-    """The rows whose language is known: not ``und``, and the best mean probability at least ``least_score``."""
+    """The rows whose language is known: a letter, and a best mean probability ``least_lead`` of the way from an even
+    guess to certainty, or fewer than ``LEAST_BYTES`` bytes.
+
+    Only the text goes to Python; the rows stay where they are. Rows without a text or a letter go, and all rows if
+    there is no language to learn; rows with a repeated or no id are judged on their own; an empty table stays empty.
+    """
+    bounded_batches(docs.sparkSession)
     net = fit(docs, id_col, text_col, lang_col)
     shared = docs.sparkSession.sparkContext.broadcast(net)
-    schema = docs.schema
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slim = pa.record_batch([pa.nulls(batch.num_rows, pa.int64()), pa.nulls(batch.num_rows, pa.bool_()),
-                                    batch.column(schema.names.index(text_col))], names=["doc_id", "held_out", "t"])
-            for found in _predictor(shared)(iter([slim])):
-                good = pc.and_(pc.not_equal(found.column(2), UNKNOWN), pc.greater_equal(found.column(3), least_score))
-                yield batch.filter(good)
+    even = 1 / len(net.languages) if net else 1.0
+    least = even + least_lead * (1 - even) - 1e-6  # scores are rounded
+
+    @F.arrow_udf("boolean")
+    def known(texts: pa.Array) -> pa.Array:
+        names, scores = _predict(shared.value, texts)
+        short = (pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False) < LEAST_BYTES).tolist()
+        out = pa.array([name != UNKNOWN and (few or score >= least) for name, few, score in zip(names, short, scores)], pa.bool_())
+        give_back()
+        return out
 
-    return docs.mapInArrow(keep, schema)
+    return docs.where(known(F.col(text_col)))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.tables import Scratch
+from stationflow.llm.tables import Scratch, tidy
 from stationflow.llm.words import Block, blocks, runs
 
 WINDOW = 50
@@ -62,6 +62,7 @@ def _digest(words: list[bytes]) -> str:
 
 
 def _scan(window: int, anchor: int):
+    @tidy
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, shas, found = [], [], []
@@ -84,6 +85,7 @@ def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 def _windows(window: int, anchor: int):
     """The windows with a shared anchor, of the rows (doc_id, t, sha, shared)."""
+    @tidy
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shas, rows, at, hashes = batch.column(2).to_pylist(), [], [], []
@@ -115,6 +117,7 @@ def factors(starts: np.ndarray, refs: np.ndarray, window: int = WINDOW) -> list[
 
 def _cut(window: int):
     """Applies the factors to the rows (doc_id, t, sha, at, ref)."""
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shas, out = batch.column(2).to_pylist(), []

@@ -7,9 +7,13 @@ as long as the folder does, which belongs to the session's owner.
 
 from __future__ import annotations
 
+import ctypes
 import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,10 +25,41 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of one Arrow batch between Spark and a Python worker; Spark's own bound of 64 MB counts several times per task.
+ARROW_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session's Python functions by bytes: a row of theirs holds a whole text."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run``, whose worker returns its free memory when a task ends: Spark keeps idle workers for later tasks."""
+    @wraps(run)
+    def within(batches: Batches) -> Batches:
+        yield from run(batches)
+        give_back()
+    return within
+
+
+def give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not glibc
+
+
 class Scratch:
     """Written tables of one operator call, under one fresh shared folder."""
 
     def __init__(self, spark: SparkSession, label: str):
+        bounded_batches(spark)
         self.spark = spark
         self.root = scratch_path(spark, label)
         self._count = 0

@@ -44,12 +44,14 @@ _POWERS: dict[int, np.ndarray] = {}
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, kept for later calls."""
+    """base**0 .. base**(n-1) modulo 2**64; those of a block are kept for later calls, those of a longer text are not."""
     have = _POWERS.get(base)
     if have is None or len(have) < n:
         full = np.full(max(n, BLOCK + 1), base, U)
         full[0] = 1
-        have = _POWERS[base] = np.multiply.accumulate(full)
+        have = np.multiply.accumulate(full)
+        if n <= BLOCK + 1:
+            _POWERS[base] = have
     return have[:n]
 
 
