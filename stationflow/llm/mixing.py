@@ -132,6 +132,43 @@ def mix(docs: DataFrame, weights: dict[str, dict[str, int]], budget_share: tuple
             .select("doc_id", *LEVELS, "n_tokens", "leaf_budget", "full_epochs", copies.alias("copies")))
 
 
+def chosen_rows(docs: DataFrame, weights: dict[str, dict[str, int]], budget_share: tuple[int, int] = (1, 2),
+                max_epochs: int = 3, seed: int = 17) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, lang, source and any others) that ``mix`` takes at least once.
+
+    Rows whose id is theirs alone are met by id. Rows without an id, and rows that share one without all being taken,
+    are met by their place (id, leaf, tokens): as many of a place as were taken, in the order of a hash of the row.
+    Counts per place and hash prefix decide all but one prefix of a place, so a hot place is not ranked in one task.
+    """
+    scratch = Scratch(docs.sparkSession, "mixture")
+    leaf = ["doc_id", *LEVELS, "n_tokens"]
+    chosen = scratch.keep(mix(docs, weights, budget_share, max_epochs, seed).select(
+        *leaf, (F.col("copies") > 0).cast("bigint").alias("taken")), "chosen")
+    ids = (chosen.where("doc_id is not null").groupBy("doc_id")
+           .agg(F.count(F.lit(1)).alias("rows"), F.sum("taken").alias("taken")).where("taken > 0"))
+    whole = ids.where("taken = rows").select(F.col("doc_id").alias("id"))
+    part = ids.where("taken < rows").select(F.col("doc_id").alias("id"))
+    out = docs.join(whole, docs["doc_id"] == whole["id"], "left_semi")
+    rest = docs.where("doc_id is null").unionByName(docs.join(part, docs["doc_id"] == part["id"], "left_semi"))
+    levels = [source_domain("source"), F.coalesce("lang", F.lit(NONE)), F.coalesce("source", F.lit(NONE))]
+    place = F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), *[c.alias(n) for n, c in zip(LEVELS, levels)],
+                     word_count(F.col("text")).alias("n_tokens"))
+    # the row itself is one struct, so that none of its columns can clash
+    rest = scratch.keep(rest.select(place.alias("place"), F.xxhash64(*docs.columns).alias("h"),
+                                    F.struct(*docs.columns).alias("row")), "rest")
+    rest = rest.withColumn("g", F.shiftrightunsigned("h", 52))
+    places = chosen.where("taken > 0").groupBy(F.struct(*leaf).alias("at")).agg(F.count(F.lit(1)).alias("taken"))
+    groups = rest.groupBy("place", "g").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("place").orderBy("g"))
+    groups = groups.withColumn("upto", upto).join(places, F.col("place").eqNullSafe(F.col("at"))).select(
+        F.col("place").alias("p"), F.col("g").alias("pg"), "taken", "upto", (F.col("upto") - F.col("n")).alias("base"))
+    rest = rest.join(groups.where("base < taken"), F.col("place").eqNullSafe(F.col("p")) & (F.col("g") == F.col("pg")))
+    nth = F.row_number().over(Window.partitionBy("place", "g").orderBy("h", F.col("row.text")))
+    at_cut = rest.where("upto > taken").withColumn("nth", nth).where("base + nth <= taken")
+    kept = rest.where("upto <= taken").select("row.*").unionByName(at_cut.select("row.*"))
+    return out.unionByName(kept)
+
+
 def oracle(weights: dict[str, dict[str, int]], budget_share: tuple[int, int], max_epochs: int, seed: int) -> str:
     """The same selection as one DuckDB statement over ``documents``, level by level."""
     def weight(level: str) -> str:
