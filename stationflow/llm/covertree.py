@@ -1,19 +1,24 @@
 """Exact top-k inner products by dual-tree cover-tree search.
 
-Components become the integers floor(scale * x), so scores are exact. Equal vectors are one point that keeps its k + 1
-smallest ids (more can never be needed). Points and queries are indexed together: the same pivots, a bounded hash
-sample of the points, cut both into blocks of bounded size, and every block gets a cover tree (each level halves the
-covering radius; children of a node lie within its radius, apart by half of it).
+Components become the integers floor(scale * x), so scores are exact: sums go through doubles where they cannot pass
+2**53, through whole numbers of any size elsewhere. Equal vectors are one point with the ids that can be needed: the
+k + 1 smallest distinct ones, each as often as it occurs, k times at most. Points and queries are indexed together: the
+same pivots, a bounded hash sample of the points, cut both into blocks of bounded size, and every block gets a tree.
+A node's children are a net of its points: the farthest point so far joins until all lie within half the node's radius
+or the net has 64 points. The bounds need each node's own covering radius only; where the net is full, children may be
+wider than half of it.
 
 A pair of nodes with centres c and d and covering radii r and s holds no score above
 ``c.d + r |d| + s |c| + r s``. The search goes down both trees at once and drops a pair whose bound is below the worst
 kth score of the query node's queries. Between blocks the same bound prunes first: each query block is searched
 against its most promising point block, and only then against the other blocks whose bound reaches its worst kth score.
+The query blocks meet the point blocks' summaries under a salt; pairs that the bound drops are never written.
 
 The queries are a stated set; they are met with the points in blocks. Defined results: null ids and vectors that are
 null, empty or hold a null or non-finite component take no part; vectors are compared with vectors of their own length
-only; ties go to the smaller id; an id that occurs twice counts as two candidates, but a query meets no row of its own
-id; fewer than k candidates give them all; empty tables give an empty result; only the named columns are read.
+only; ties go to the smaller id; a query is a distinct (id, vector): equal rows of it are one query, and it meets no row
+of its own id; another id that occurs twice counts as two candidates; fewer than k candidates give them all; components
+and scores beyond the range of a long are its ends; empty tables give an empty result; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -23,7 +28,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +44,8 @@ PIVOTS = 256
 TOGETHER = 32
 
 _SLACK = 1e-9
+_LONG = (1 << 63) - 1
+_EXACT = float(1 << 53)
 
 
 class Tree:
@@ -60,6 +66,8 @@ class Tree:
         place[self.order] = np.arange(len(points))
         self.centres = self.points[place[np.array(self.centre, np.int64)]] if self.centre else self.points
         self.norms = np.sqrt((self.centres ** 2).sum(axis=1))
+        self.whole = points[self.order]
+        self.reach = float(np.sqrt((self.points ** 2).sum(axis=1)).max()) if len(points) else 0.0
 
     def _build(self, centre: int, start: int, end: int, distance: np.ndarray, leaf: int) -> int:
         """Node over order[start:end]; ``distance``: of those points from the centre."""
@@ -96,36 +104,45 @@ class Tree:
 
 
 def bound(c: np.ndarray, r: float, d: np.ndarray, s: float, cn: float, dn: float) -> float:
-    top = float(c @ d) + r * dn + s * cn + r * s
-    return top + _SLACK * (abs(top) + 1)
+    far = r * dn + s * cn + r * s
+    return float(c @ d) + far + _SLACK * (cn * dn + far + 1)
+
+
+def scores_of(a: np.ndarray, b: np.ndarray, longest: float) -> np.ndarray:
+    """Inner products of whole-numbered rows, exact, cut off at the ends of a long; ``longest``: bound of |a| |b|."""
+    if longest < _EXACT:
+        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
+    exact = a.astype(object) @ b.astype(object).T
+    return np.array([[min(max(x, -_LONG), _LONG) for x in row] for row in exact], np.int64).reshape(len(a), len(b))
 
 
 class Best:
     """The best (score, id) per query of one tree's queries, in the tree's order."""
 
     def __init__(self, n: int, keep: int, floor: np.ndarray | None = None):
-        self.score = np.full((n, keep), -np.inf)
-        self.id = np.full((n, keep), np.iinfo(np.int64).max)
-        self.floor = np.full(n, -np.inf) if floor is None else floor
+        self.score = np.full((n, keep), -_LONG)
+        self.id = np.full((n, keep), _LONG)
+        self.floor = np.full(n, -_LONG) if floor is None else floor
 
-    def worst(self, a: int, b: int) -> float:
+    def worst(self, a: int, b: int) -> int:
         """The least kth score of queries a..b-1 (or what is known of it from elsewhere)."""
-        return float(np.maximum(self.score[a:b, -1], self.floor[a:b]).min())
+        return int(np.maximum(self.score[a:b, -1], self.floor[a:b]).min())
 
     def merge(self, a: int, b: int, scores: np.ndarray, ids: np.ndarray) -> None:
         keep = self.score.shape[1]
         s = np.concatenate([self.score[a:b], scores], axis=1)
-        i = np.concatenate([self.id[a:b], np.broadcast_to(ids, scores.shape)], axis=1)
+        i = np.concatenate([self.id[a:b], ids], axis=1)
         order = np.lexsort((i, -s), axis=1)[:, :keep]
         self.score[a:b] = np.take_along_axis(s, order, axis=1)
         self.id[a:b] = np.take_along_axis(i, order, axis=1)
 
 
-def search(queries: Tree, points: Tree, ids: np.ndarray, best: Best) -> None:
-    """Dual-tree search; ``ids`` (points, m): ids of every point in the tree's order, padded with the largest long."""
+def search(queries: Tree, own: np.ndarray, points: Tree, ids: np.ndarray, best: Best) -> None:
+    """Dual-tree search; ``own``: every query's id, which it does not meet; ``ids`` (points, m): ids of every point in
+    the tree's order, padded with the largest long."""
     if not queries.centre or not points.centre:
         return
-    nothing = np.iinfo(np.int64).max
+    longest = queries.reach * points.reach
 
     def reach(q: int, p: int) -> float:
         return bound(queries.centres[q], queries.radius[q], points.centres[p], points.radius[p],
@@ -140,13 +157,14 @@ def search(queries: Tree, points: Tree, ids: np.ndarray, best: Best) -> None:
         qs, ps = queries.children[q], points.children[p]
         if not qs and not ps:
             c, d = points.span[p]
-            scores = queries.points[a:b] @ points.points[c:d].T
+            scores = scores_of(queries.whole[a:b], points.whole[c:d], longest)
             wanted = np.flatnonzero((scores >= np.maximum(best.score[a:b, -1], best.floor[a:b])[:, None]).any(axis=0))
             if len(wanted):
-                mine = ids[c + wanted]
-                flat = np.repeat(scores[:, wanted], mine.shape[1], axis=1)
-                flat[:, mine.reshape(-1) == nothing] = -np.inf
-                best.merge(a, b, flat, mine.reshape(1, -1))
+                mine = np.broadcast_to(ids[c + wanted].reshape(1, -1), (b - a, len(wanted) * ids.shape[1])).copy()
+                flat = np.repeat(scores[:, wanted], ids.shape[1], axis=1)
+                nobody = (mine == _LONG) | (mine == own[a:b, None])
+                mine[nobody], flat[nobody] = _LONG, -_LONG
+                best.merge(a, b, flat, mine)
             continue
         if qs and (not ps or queries.radius[q] >= points.radius[p]):
             pairs = [(reach(k, p), k, p) for k in qs]
@@ -176,18 +194,19 @@ def _blocks(distinct: DataFrame, pivots: dict[int, np.ndarray], size: int, scrat
     counts = {(r[0], r[1]): r[2] for r in placed.groupBy(F.size("v").alias("n"), "pivot").count().collect()}
     parts = F.expr("map(" + ", ".join(f"'{n}:{p}', {-(-c // size)}" for (n, p), c in counts.items()) + ")")
     name = F.concat_ws(":", F.size("v").cast("string"), F.col("pivot").cast("string"))
-    part = F.pmod(F.xxhash64("v"), F.element_at(parts, name))
+    part = F.pmod(F.xxhash64(*distinct.columns), F.element_at(parts, name))
     keyed = placed.withColumn("block", F.concat_ws(":", name, part.cast("string"))).drop("pivot")
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree = Tree(np.stack(pdf["v"].to_numpy()))
-        extra = None
+        tree = Tree(np.stack(pdf["v"].to_numpy()).astype(np.int64))
         if "ids" in pdf:
             width = max(len(i) for i in pdf["ids"])
-            extra = np.full((len(pdf), width), np.iinfo(np.int64).max)
+            extra = np.full((len(pdf), width), _LONG)
             for k, row in enumerate(tree.order):
                 ids = pdf["ids"].iloc[row]
                 extra[k, : len(ids)] = ids
+        else:
+            extra = pdf["query_id"].to_numpy(np.int64)[tree.order]
         vector = pdf["v"].iloc[int(tree.centre[0])]
         return pd.DataFrame({"block": [pdf["block"].iloc[0]], "dim": [tree.points.shape[1]],
                              "c": [np.asarray(vector, np.int64)], "r": [tree.radius[0]],
@@ -197,25 +216,38 @@ def _blocks(distinct: DataFrame, pivots: dict[int, np.ndarray], size: int, scrat
         build, "block string, dim int, c array<bigint>, r double, tree binary"), label)
 
 
+_FOUND = "query_id bigint, v array<bigint>, vec_id bigint, score bigint"
+
+
 def _meet(k: int):
-    found = pd.DataFrame({"v": pd.Series(dtype=object), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="int64")})
+    none = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "v": pd.Series(dtype=object),
+                         "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="int64")})
 
     def meet(key, points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if points.empty or queries.empty:
-            return found
+            return none
         tree, ids = pickle.loads(points["tree"].iloc[0])
         out = []
         for raw, floor in zip(queries["tree"], queries["floor"]):
-            mine, _ = pickle.loads(raw)
-            best = Best(len(mine.points), k, None if floor is None else np.asarray(floor, np.float64))
-            search(mine, tree, ids, best)
-            rows, places = np.nonzero(best.id != np.iinfo(np.int64).max)
-            out.append(pd.DataFrame({"v": list(mine.points[rows].astype(np.int32)), "vec_id": best.id[rows, places],
-                                     "score": best.score[rows, places].astype(np.int64)}))
-        return pd.concat(out) if out else found
+            mine, own = pickle.loads(raw)
+            best = Best(len(own), k, None if floor is None else np.asarray(floor, np.int64))
+            search(mine, own, tree, ids, best)
+            rows, places = np.nonzero(best.id != _LONG)
+            out.append(pd.DataFrame({"query_id": own[rows], "v": list(mine.whole[rows]), "vec_id": best.id[rows, places],
+                                     "score": best.score[rows, places]}))
+        return pd.concat(out) if out else none
     return meet
 
 
+def _points(rows: DataFrame, k: int) -> DataFrame:
+    """(v, ids) per distinct vector: its k + 1 smallest distinct ids, each as often as it occurs, at most k times."""
+    once = rows.groupBy("v", "vec_id").agg(F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("times"))
+    order = Window.partitionBy("v").orderBy("vec_id")  # planned with a limit per map task
+    least = once.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
+    ids = F.flatten(F.collect_list(F.expr("array_repeat(vec_id, times)")))
+    return least.groupBy("v").agg(F.sort_array(ids).alias("ids"))
+
+
 def top_k(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE, id_col: str = "vec_id",
           vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k best of all other rows for every row for which ``is_query(id)`` holds."""
@@ -225,12 +257,9 @@ def top_k(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE, id_col:
     sound = ~F.exists(x, lambda e: e.isNull() | F.isnan(e.cast("double")) | (F.abs(e.cast("double")) == float("inf")))
     rows = scratch.keep(vectors.where(F.col(id_col).isNotNull() & x.isNotNull() & (F.size(x) > 0) & sound).select(
         F.col(id_col).cast("bigint").alias("vec_id"),
-        F.transform(x, lambda e: F.floor(e.cast("double") * scale).cast("int")).alias("v")), "rows")
-    keep = k + 1
-    order = Window.partitionBy("v").orderBy("vec_id")
-    points = scratch.keep(rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= keep)
-                          .groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "points")
-    wanted = rows.where(is_query(F.col("vec_id"))).select(F.col("vec_id").alias("query_id"), "v")
+        F.transform(x, lambda e: F.floor(e.cast("double") * scale).cast("bigint")).alias("v")), "rows")
+    points = scratch.keep(_points(rows, k), "points")
+    wanted = rows.where(is_query(F.col("vec_id"))).select(F.col("vec_id").alias("query_id"), "v").distinct()
     # a bounded sample of the points, per vector length
     size = points.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1))).collect()
     if not size:
@@ -242,19 +271,22 @@ def top_k(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE, id_col:
         sample = points.where(F.size("v") == d).orderBy(F.xxhash64("v"), "v").limit(count).select("v").collect()
         pivots[int(d)] = np.array([r[0] for r in sample], np.float64)
     index = _blocks(points, pivots, BLOCK, scratch, "index")
-    asked = _blocks(wanted.select("v").distinct(), pivots, QUERY_BLOCK, scratch, "asked")
+    asked = _blocks(wanted, pivots, QUERY_BLOCK, scratch, "asked")
 
     def dot(a, b):
-        return F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0).cast("bigint"), lambda s, e: s + e)
-
-    # block summaries only: the stated queries' blocks against the point blocks
-    left = asked.select(F.col("block").alias("q"), "dim", F.col("c").alias("qc"), F.col("r").alias("qr"))
-    right = index.select(F.col("block").alias("p"), "dim", F.col("c").alias("pc"), F.col("r").alias("pr"))
-    top = (dot(F.col("qc"), F.col("pc")) + F.col("qr") * F.sqrt(dot(F.col("pc"), F.col("pc")))
-           + F.col("pr") * F.sqrt(dot(F.col("qc"), F.col("qc"))) + F.col("qr") * F.col("pr"))
-    pairs = scratch.keep(left.join(right, "dim").select(
-        "q", "p", (top + _SLACK * (F.abs(top) + 1)).alias("top"), dot(F.col("qc"), F.col("pc")).alias("middle")), "pairs")
-    best_block = pairs.groupBy("q").agg(F.max(F.struct("middle", "p")).alias("b")).select("q", F.col("b.p").alias("p"))
+        return F.aggregate(F.zip_with(a, b, lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, e: s + e)
+
+    # block summaries only: the stated queries' blocks against the point blocks, spread over salts
+    salts = max(1, asked.count() // 16)
+    left = asked.select(F.col("block").alias("q"), "dim", F.col("c").alias("qc"), F.col("r").alias("qr"),
+                        F.pmod(F.xxhash64("block"), F.lit(salts)).alias("salt"))
+    right = index.select(F.col("block").alias("p"), "dim", F.col("c").alias("pc"), F.col("r").alias("pr"),
+                         F.explode(F.expr(f"sequence(0L, {salts - 1}L)")).alias("salt"))
+    cn, dn, middle = F.sqrt(dot(F.col("qc"), F.col("qc"))), F.sqrt(dot(F.col("pc"), F.col("pc"))), dot(F.col("qc"), F.col("pc"))
+    far = F.col("qr") * dn + F.col("pr") * cn + F.col("qr") * F.col("pr")
+    pairs = left.join(right, ["dim", "salt"]).select(
+        "q", "p", (middle + far + _SLACK * (cn * dn + far + 1)).alias("top"), middle.alias("middle"))
+    best_block = scratch.keep(pairs.groupBy("q").agg(F.max(F.struct("middle", "p")).alias("b")).select("q", F.col("b.p").alias("p")), "best")
 
     def meet(chosen: DataFrame, queries: DataFrame) -> DataFrame:
         group = F.pmod(F.xxhash64("q"), F.lit(1 << 30)) % F.greatest(F.lit(1), F.ceil(F.col("queries") / TOGETHER))
@@ -264,41 +296,34 @@ def top_k(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE, id_col:
              .join(index.select("block", "tree"), "block"))
         b = tasks.join(queries, "q").select("p", "g", "tree", "floor")
         return (a.groupBy("block", "part").cogroup(b.groupBy("p", "g"))
-                .applyInPandas(_meet(keep), "v array<int>, vec_id bigint, score bigint"))
+                .applyInPandas(_meet(k), _FOUND))
 
-    none = asked.select(F.col("block").alias("q"), "tree", F.lit(None).cast("array<double>").alias("floor"))
+    none = asked.select(F.col("block").alias("q"), "tree", F.lit(None).cast("array<bigint>").alias("floor"))
     first = scratch.keep(meet(best_block, none), "first")
-    ranked = Window.partitionBy("v").orderBy(F.desc("score"), "vec_id")
-    kth = (first.withColumn("n", F.row_number().over(ranked)).where(F.col("n") == keep)
-           .select("v", F.col("score").alias("kth")))
+    ranked = Window.partitionBy("query_id", "v").orderBy(F.desc("score"), "vec_id")
+    kth = (first.withColumn("n", F.row_number().over(ranked)).where(F.col("n") == k)
+           .select("query_id", "v", F.col("score").alias("kth")))
     floors = scratch.keep(_with_floors(asked, kth), "floors")
-    rest = (pairs.join(best_block, ["q", "p"], "left_anti").join(floors.select("q", "least"), "q")
-            .where(F.col("top") >= F.col("least")).select("q", "p"))
+    # each query block's floor goes to the summaries first, so only pairs that reach it leave the join
+    rest = (pairs.join(floors.select("q", "least"), "q").where(F.col("top") >= F.col("least")).select("q", "p")
+            .join(best_block, ["q", "p"], "left_anti"))
     second = meet(rest, floors.select("q", "tree", "floor"))
-    best = (first.unionByName(second).withColumn("n", F.row_number().over(ranked)).where(F.col("n") <= keep)
-            .select("v", "vec_id", "score"))
-    # every query row takes its vector's list without its own id
-    listed = best.groupBy("v").agg(F.collect_list(F.struct(F.negative("score").alias("s"), F.col("vec_id").alias("i"))).alias("found"))
-    mine = wanted.join(listed, "v").select("query_id", F.slice(F.array_sort(F.filter(
-        "found", lambda f: f["i"] != F.col("query_id"))), 1, k).alias("found"))
-    return mine.select("query_id", F.posexplode("found").alias("at", "f")).select(
-        "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("f.i").alias("vec_id"),
-        F.negative(F.col("f.s")).alias("score"))
+    best = first.unionByName(second).withColumn("n", F.row_number().over(ranked)).where(F.col("n") <= k)
+    return best.select("query_id", F.col("n").cast("int").alias("rank"), "vec_id", "score")
 
 
 def _with_floors(asked: DataFrame, kth: DataFrame) -> DataFrame:
     """Query blocks with the kth score known so far per query (in the tree's order) and the least of them."""
-    def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def queries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for block, raw in zip(pdf["block"], pdf["tree"]):
-                tree, _ = pickle.loads(raw)
-                yield pd.DataFrame({"q": block, "at": np.arange(len(tree.points)),
-                                    "v": list(tree.points.astype(np.int32))})
-
-    each = asked.select("block", "tree").mapInPandas(vectors, "q string, at int, v array<int>")
-    low = F.coalesce("kth", F.lit(float("-inf")))
-    known = (each.join(kth, "v", "left").groupBy("q")
-             .agg(F.array_sort(F.collect_list(F.struct("at", low.cast("double").alias("s")))).alias("f"),
+                tree, own = pickle.loads(raw)
+                yield pd.DataFrame({"q": block, "at": np.arange(len(own)), "query_id": own, "v": list(tree.whole)})
+
+    each = asked.select("block", "tree").mapInPandas(queries, "q string, at int, query_id bigint, v array<bigint>")
+    low = F.coalesce("kth", F.lit(-_LONG))
+    known = (each.join(kth, ["query_id", "v"], "left").groupBy("q")
+             .agg(F.array_sort(F.collect_list(F.struct("at", low.alias("s")))).alias("f"),
                   F.min(low.cast("double")).alias("least")))
     return asked.select(F.col("block").alias("q"), "tree").join(known, "q").select(
         "q", "tree", F.col("f.s").alias("floor"), "least")
@@ -313,8 +338,8 @@ WITH v AS (
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
-  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % {every} = 0),
-r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
+  SELECT q.vec_id AS query_id, q.v, c.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM (SELECT DISTINCT vec_id, v FROM v WHERE vec_id % {every} = 0) q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id, v ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= {k}
 """

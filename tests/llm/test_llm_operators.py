@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 import random
 import zlib
 
@@ -173,6 +174,37 @@ def test_top_k_matches_brute_force(spark, k):
         assert found.get(q, {}) == {n + 1: (i, -s) for n, (s, i) in enumerate(scores[:k])}
 
 
+def best_by_force(vectors, k):
+    """(query id, vector) -> best rows of other ids; whole numbers of any size, cut off at the ends of a long."""
+    ends = (1 << 63) - 1
+    rows = [(i, tuple(max(-ends - 1, min(ends, math.floor(256 * x))) for x in v)) for i, v in vectors]
+    return {(q, v): sorted((-max(-ends, min(ends, sum(a * b for a, b in zip(v, w)))), i) for i, w in rows
+                           if i != q and len(w) == len(v))[:k] for q, v in rows if q % 50 == 0}
+
+
+@pytest.mark.parametrize("copies", [1, 3, 6, 40])
+def test_top_k_of_a_query_that_occurs_often(spark, copies):
+    own = [1.0, 2.0, -0.5]
+    vectors = [(50, own)] * copies + [(i, [float(i % 3), 1.0, i / 7]) for i in range(1, 9)]
+    frame = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>")
+    got = sorted((r["rank"], -r["score"], r["vec_id"]) for r in covertree.top_k(frame, lambda i: i % 50 == 0).collect())
+    assert got == [(n + 1, *x) for n, x in enumerate(best_by_force(vectors, 5)[50, (256, 512, -128)])] and len(got) == 5
+
+
+def test_top_k_with_repeated_ids_and_large_components(spark):
+    rng = random.Random(4)
+    vectors = [(rng.choice([0, 50, 100, 3, 4, 5, 6, 7, 8, 9, 10]), [float(rng.randint(-2, 2)) for _ in range(3)]) for _ in range(150)]
+    vectors += [(200 + i, [float(rng.choice([1e7, -1e7, 3e10, 2.5, 1e300, -1e300])) for _ in range(4)]) for i in range(0, 300, 10)]
+    frame = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in covertree.top_k(frame, lambda i: i % 50 == 0).orderBy("query_id").collect():
+        got.setdefault(r["query_id"], []).append((-r["score"], r["vec_id"]))
+    want = {}
+    for (q, _), found in best_by_force(vectors, 5).items():
+        want.setdefault(q, []).extend(found)
+    assert {q: sorted(x) for q, x in got.items()} == {q: sorted(x) for q, x in want.items()}
+
+
 def test_top_k_of_nothing(spark):
     assert covertree.top_k(spark.createDataFrame([], "vec_id bigint, embedding array<float>"), lambda i: i > 0).count() == 0
 
@@ -348,7 +380,8 @@ def test_language_id(spark, empty_docs):
     assert np.mean([got[i]["lang_pred"] == lang for i, lang in held]) >= 0.9
     assert all(got[i]["lang_pred"] == "und" and got[i]["score"] == 0 for i in (500, 501, 502))
     assert got[503]["lang_pred"] == "en" and got[None]["held_out"] is False and 0 <= got[None]["score"] <= 1
-    assert {r["doc_id"] for r in langid.accepted(frame, 0.25).collect()} == {i for i, *_ in data} | {503, None}
+    assert {r["doc_id"] for r in langid.accepted(frame).collect()} == {i for i, *_ in data} | {503, None}
+    assert langid.accepted(frame).columns == frame.columns and langid.accepted(empty_docs).count() == 0
     assert langid.identify(empty_docs).count() == 0
     assert langid.identify(frame.withColumn("lang", F.lit(None).cast("string"))).where("lang_pred <> 'und'").count() == 0
 
@@ -499,7 +532,11 @@ def test_pipeline_stages(spark, rows, tmp_path):
         if name != "sharding":
             assert after.columns == columns
         if name == "language_id":
-            assert gone == {i for i, t in before.items() if not any(c.isalpha() for c in t or "")}
+            scores = {r["doc_id"]: r["score"] for r in langid.identify(now).collect()}
+            least = 0.5 + langid.LEAST_LEAD * 0.5  # two languages
+            assert gone == {i for i, t in before.items() if scores[i] == 0 or (
+                scores[i] < least - 1e-6 and len(t.encode()) >= langid.LEAST_BYTES)}
+            assert gone >= {i for i, t in before.items() if not any(c.isalpha() for c in t or "")}
         elif name == "near_duplicates":
             sets = {i: shingles(t) for i, t in before.items()}
             links = [(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b]
@@ -518,6 +555,32 @@ def test_pipeline_stages(spark, rows, tmp_path):
     assert final == kept
 
 
+@pytest.mark.parametrize("languages, best, stays", [(4, 0.25, False), (4, 0.34, False), (4, 0.35, True), (2, 0.55, False),
+                                                    (2, 0.6, True), (1, 1.0, True)])
+def test_languages_are_accepted_by_their_lead_over_a_guess(spark, monkeypatch, languages, best, stays):
+    net = langid.Network([f"l{k}" for k in range(languages)])
+    net.o[:] = 0
+    if languages > 1:
+        net.b[:] = np.log((1 - best) / (languages - 1))
+        net.b[0] = np.log(best)
+    monkeypatch.setattr(langid, "fit", lambda *a: net)
+    frame = spark.createDataFrame([(1, "some letters " * 40), (2, None), (3, "12 3"), (4, "short"), (None, "é" * 128),
+                                   (5, "é" * 127)], "doc_id bigint, text string").withColumn("lang", F.lit("l0"))
+    assert {r["doc_id"] for r in langid.accepted(frame).collect()} == ({1, 4, 5, None} if stays else {4, 5})
+
+
+def test_mixture_carries_columns_of_any_name(spark):
+    data = [(None if n % 3 else n // 30, "w " * (n % 5 + 1), "en", "src0", n, "c") for n in range(200)]
+    frame = spark.createDataFrame(data, "doc_id bigint, text string, lang string, source string, place bigint, g string")
+    for name in ("__place", "row", "taken"):
+        clashing = frame.withColumnRenamed("place", name)
+        kept = mixing.chosen_rows(clashing, {}, (1, 2), 1)
+        assert kept.columns == clashing.columns and 0 < kept.count() < 200
+        tokens = sum(len(words_of(r["text"])) for r in kept.collect())
+        assert tokens <= sum(n % 5 + 1 for n in range(200)) // 2
+    assert mixing.chosen_rows(frame.limit(0), {}).count() == 0
+
+
 def test_mixture_keeps_the_rows_that_were_chosen(spark):
     import corpus_pipeline as P
 
