@@ -2,11 +2,15 @@
 
 language ID -> near duplicates (n-gram Jaccard join) -> benchmark decontamination -> mixing to target weights ->
 sharding. All stages but the last return the columns of ``documents``; each works on everything its predecessor kept.
+
+Defined results: rows without a text or a letter go in the first stage; rows without an id are never near duplicates or
+contaminated, and are mixed and sharded like others; of rows that share an id, all go or stay by their own text, but
+near duplicates and contaminated documents go by id; an empty table gives empty stages; further columns are carried.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.llm import decontaminate, jaccard, langid, mixing, sharding
@@ -16,14 +20,12 @@ from stationflow.llm.tables import Scratch, read
 #: The mixture takes three quarters of the tokens, each document at most once: a second epoch would bring back copies.
 MIX_SHARE = (3, 4)
 MIX_EPOCHS = 1
-#: Documents are rejected as ``und``, or below this mean probability: no better than a guess among four languages. With
-#: four languages or fewer the largest probability is never below it, so only texts without a letter are rejected.
-LEAST_SCORE = 0.25
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents as ``langid.accepted`` does; with up to four languages, those without a letter only."""
-    return langid.accepted(docs, LEAST_SCORE)
+    """Rejects documents without a letter, and those whose best language is little better than a guess: encoded data,
+    random letters."""
+    return langid.accepted(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,25 +42,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps each leaf's token-prefix of one seeded epoch under the target weights, row by row: with or without an id."""
-    chosen = Scratch(spark, "mixture").keep(
-        mixing.mix(docs, MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
-        .select("doc_id", *mixing.LEVELS, "n_tokens", (F.col("copies") > 0).cast("bigint").alias("taken")), "chosen")
-    ids = (chosen.where("doc_id is not null").groupBy("doc_id")
-           .agg(F.count(F.lit(1)).alias("rows"), F.sum("taken").alias("taken")).where("taken > 0"))
-    whole = ids.where("taken = rows").select(F.col("doc_id").alias("__kept"))
-    out = docs.join(whole, docs["doc_id"] == whole["__kept"], "left_semi")
-    # rows without an id, and those that share one but were not all taken: so many of each place in the order
-    part = ids.where("taken < rows").select(F.col("doc_id").alias("__part"))
-    rest = docs.where("doc_id is null").unionByName(docs.join(part, docs["doc_id"] == part["__part"], "left_semi"))
-    levels = [mixing.source_domain("source"), F.coalesce("lang", F.lit(mixing.NONE)), F.coalesce("source", F.lit(mixing.NONE))]
-    place = F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), *[c.alias(n) for n, c in zip(mixing.LEVELS, levels)],
-                     mixing.word_count(F.col("text")).alias("n_tokens"))
-    places = (chosen.where("taken > 0").groupBy(F.struct("doc_id", *mixing.LEVELS, "n_tokens").alias("__at"))
-              .agg(F.count(F.lit(1)).alias("__taken")))
-    same = Window.partitionBy("__place").orderBy(F.xxhash64(*docs.columns), "text")
-    rest = rest.withColumn("__place", place).withColumn("__nth", F.row_number().over(same))
-    rest = rest.join(places, F.col("__place").eqNullSafe(F.col("__at"))).where("__nth <= __taken")
-    return out.unionByName(rest.select(*docs.columns))
+    return mixing.chosen_rows(docs, MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
