@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import expressions as X
@@ -30,21 +31,36 @@ def staging_dedup_order_columns() -> list[str]:
     return STAGING_DEDUP_ORDER + rest
 
 
-def build_staging_trips(raw: DataFrame) -> DataFrame:
-    """staging.trips: valid rows (C4), first row per trip_id by start time
-    (F1, after the filter), then the typed projection (C3)."""
-    valid = raw.select(*S.RAW_TRIP_COLUMNS).filter(
+def raw_schema() -> T.StructType:
+    """The raw trip columns with their types."""
+    source = {"source_file": T.StringType(), "source_year": T.LongType(), "source_quarter": T.LongType(),
+              "ingested_at": T.TimestampType()}
+    return T.StructType([T.StructField(c, S.TRIP_CSV_TYPES.get(c) or source[c]) for c in S.RAW_TRIP_COLUMNS])
+
+
+def valid_trips(raw: DataFrame) -> DataFrame:
+    """C4: rows with both times and a positive duration."""
+    return raw.select(*S.RAW_TRIP_COLUMNS).filter(
         F.col("start_time").isNotNull()
         & F.col("end_time").isNotNull()
         & (F.col("duration") > 0)
     )
-    first = keep_first(
+
+
+def first_per_trip(valid: DataFrame) -> DataFrame:
+    """the first row per trip_id by start time."""
+    return keep_first(
         valid,
         [STAGING_DEDUP_KEY],
         [F.col(c).asc_nulls_last() for c in STAGING_DEDUP_ORDER],
         STAGING_DEDUP_ORDER,
     )
-    return project_staging(first)
+
+
+def build_staging_trips(raw: DataFrame) -> DataFrame:
+    """staging.trips: valid rows (C4), first row per trip_id by start time
+    (F1, after the filter), then the typed projection (C3)."""
+    return project_staging(first_per_trip(valid_trips(raw)))
 
 
 def project_staging(df: DataFrame) -> DataFrame:

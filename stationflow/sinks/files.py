@@ -35,6 +35,12 @@ def folders(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(st.getPath().toString() for st in (fs.globStatus(hpath) or []) if st.isDirectory())
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes under a folder."""
+    hpath, fs = _fs(spark, path)
+    return int(fs.getContentSummary(hpath).getLength())
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small text file, whole."""
     hpath, fs = _fs(spark, path)

@@ -17,6 +17,7 @@ from ..operators import options as OP
 from ..operators import quality as Q
 from ..operators import stations as ST
 from ..plans.ingest import ingest_trips
+from ..plans import refresh
 from ..plans.pipeline import PipelineConfig, data_health, overview, run_pipeline
 from ..plans.warehouse import build_warehouse
 from ..session import scratch_path
@@ -73,6 +74,79 @@ def q_ingest_time_forms(spark, sf_dir):
     return read_trip_lake(spark, lake).select(*R._LAKE_COLUMNS)
 
 
+REPUBLISHED = (1996, 3)
+_REPUBLISHED_SQL = f"(source_year = {REPUBLISHED[0]} and source_quarter = {REPUBLISHED[1]} and trip_id % 3 <> 0)"
+
+
+@R.register("staging_refresh", O.sql(
+    f"select {O.projection(S.STAGING_TYPES)} from ("
+    + O.survivors("published", M.STAGING_DEDUP_KEY, O._order(M.staging_dedup_order_columns())) + ")",
+    f"published as (select * from raw_trips where not {_REPUBLISHED_SQL})"))
+def q_staging_refresh(spark, sf_dir):
+    """M3, F1: staging after one quarter was published again with a third of its trips, merged into the kept rows."""
+    lake = scratch_path(spark, "lake-trips")
+    raw = A.raw_trips(spark, sf_dir)
+    write_trip_lake(raw, lake)
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    refresh.refresh_staging(wh, lake, bucket_bytes=1 << 20)
+    again = raw.where(f"source_year = {REPUBLISHED[0]} and source_quarter = {REPUBLISHED[1]} and not {_REPUBLISHED_SQL}")
+    write_trip_lake(again, lake)
+    refresh.refresh_staging(wh, lake, [REPUBLISHED])
+    return wh.table(S.STAGING_TRIPS)
+
+
+@R.register("missing_inputs", O.sql("""
+select 'stations' as input, 'FileNotFoundError' as when_missing, (select count(*) from raw_stations) as rows_when_there
+union all select 'trip files', 'FileNotFoundError', (select count(distinct (source_year, source_quarter)) from trip_source)
+union all select 'trip lake', 'FileNotFoundError', (select count(*) from raw_trips)
+union all select 'warehouse table', 'FileNotFoundError', (select count(*) from dim)
+"""))
+def q_missing_inputs(spark, sf_dir):
+    """Every input raises where it is missing and is read where it is there."""
+    from ..sources.lake import read_station_lake
+    from ..sources.trips import list_trip_files
+    root = scratch_path(spark, "inputs")
+    write_trip_lake(A.raw_trips(spark, sf_dir), f"{root}/lake")
+    write_station_lake(A.raw_stations(spark, sf_dir), f"{root}/stations")
+    A.write_trip_csvs(spark, sf_dir, f"{root}/raw")
+    Warehouse(spark, f"{root}/warehouse").save(R.dim(spark, sf_dir), S.DIM_STATIONS)
+    reads = {
+        "trip lake": lambda at: read_trip_lake(spark, f"{at}/lake").count(),
+        "stations": lambda at: read_station_lake(spark, f"{at}/stations").count(),
+        "trip files": lambda at: len(list_trip_files(spark, f"{at}/raw")),
+        "warehouse table": lambda at: Warehouse(spark, f"{at}/warehouse").table(S.DIM_STATIONS).count(),
+    }
+
+    def error(read):
+        try:
+            read(f"{root}/nowhere")
+        except Exception as missing:
+            return type(missing).__name__
+        return "none"
+
+    return rows_frame(spark, [(name, error(read), read(root)) for name, read in reads.items()],
+                      "input string, when_missing string, rows_when_there bigint")
+
+
+CATALOG_TABLES = {S.STAGING_TRIPS: "stg_trips", S.DIM_STATIONS: "dim_stations", S.RPT_HOURLY_DEMAND: "rpt_hourly_demand",
+                  S.RPT_STATION_ACTIVITY: "rpt_station_activity", S.RPT_ROUTE_POPULARITY: "rpt_route_popularity"}
+
+
+@R.register("warehouse_catalog", " union all ".join(
+    f"select '{name.split('.')[0]}' as schema_name, '{name.split('.')[1]}' as table_name, count(*) as row_count "
+    f"from ({R.ORACLE[query]})" for name, query in CATALOG_TABLES.items()))
+def q_warehouse_catalog(spark, sf_dir):
+    """The schemas are created and every table is read through the catalog."""
+    root = scratch_path(spark, "catalog")
+    write_trip_lake(A.raw_trips(spark, sf_dir), f"{root}/lake")
+    write_station_lake(A.raw_stations(spark, sf_dir), f"{root}/stations")
+    build_warehouse(spark, f"{root}/lake", f"{root}/stations", f"{root}/warehouse", catalog=True)
+    schemas = {row[0] for row in spark.sql("SHOW DATABASES").collect()}
+    rows = [(schema, table, spark.table(f"{schema}.{table}").count())
+            for schema, table in (name.split(".") for name in CATALOG_TABLES) if schema in schemas]
+    return rows_frame(spark, rows, "schema_name string, table_name string, row_count bigint")
+
+
 EMPTY_FILE = "metro-trips-2050-q1.csv"
 
 
