@@ -3,7 +3,7 @@
 Rows are ordered by (text hash, size, checksum, id), so equal texts lie side by side. Size-weighted key samples give
 quantile boundaries, overfull ranges are subdivided (``ranges``), and exact range totals turn the order into byte
 offsets: shard s holds the rows that begin in [s, s + 1) * total / shards. A group of equal texts that straddles a
-boundary goes whole to the lower shard if it is at most ``1 / GROUP_SHARE`` of a shard; a larger group is cut at the
+boundary goes whole to the lower shard if it is at most ``1 / group_share`` of a shard; a larger group is cut at the
 boundary, so no group can overfill a shard. Sizes therefore differ by at most one row plus that share.
 
 Defined results: a null text has no bytes (size 1, checksum 0) and forms one group with the empty texts; a null id is
@@ -20,6 +20,7 @@ from stationflow.llm.ranges import global_order
 from stationflow.llm.tables import Scratch
 
 SHARDS = 8
+#: Equal texts up to this part of a shard (1 / 100) stay in one shard; of more of them no shard could stay even.
 GROUP_SHARE = 100
 
 
@@ -35,7 +36,7 @@ def slim(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> DataF
 
 
 def assign(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text",
-           carry: list[str] | None = None) -> DataFrame:
+           carry: list[str] | None = None, group_share: int = GROUP_SHARE) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard (null under this law), carried columns last."""
     carry = carry or []
     scratch = Scratch(docs.sparkSession, "shards")
@@ -50,7 +51,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_c
     astride = (placed.groupBy(*group).agg(F.min("shard").alias("low"), F.max("shard").alias("high"),
                                           F.sum("size").alias("bytes"))
                .where(F.col("low") < F.col("high"))
-               .where(F.col("bytes") <= F.lit(max(1, total // (shards * GROUP_SHARE))))).collect()
+               .where(F.col("bytes") <= F.lit(max(1, total // (shards * group_share))))).collect()
     shard = F.col("shard")
     for g in astride:
         same = (F.col("k.h") == g["h"]) & (F.col("k.n") == g["n"]) & (F.col("k.c") == g["c"])

@@ -1,10 +1,11 @@
 """Token ids on disk: independent zstandard frames, a trailing seek table, per-frame checksums.
 
-File layout (the public seekable-zstd layout): data frames, each with zstandard's own content checksum, then one
-skippable frame with an entry per data frame (compressed size, decompressed size, low 32 bits of the content's XXH64)
-and a footer (number of frames, descriptor, magic). A data frame holds whole documents: their number n, n document ids
-(signed 64-bit), n token counts (32-bit), then all ids (32-bit), little-endian. A reader takes the seek table from the
-file's end and decompresses only the frames that hold the requested documents.
+File layout (the public seekable-zstd layout): data frames, each with zstandard's own content checksum, a skippable
+frame with the first and last document id of every data frame, then the skippable frame of the seek table with an entry
+per data frame (compressed size, decompressed size, low 32 bits of the content's XXH64) and a footer (number of frames,
+descriptor, magic). A data frame holds whole documents: their number n, n document ids (signed 64-bit), n token counts
+(32-bit), then all ids (32-bit), little-endian. A reader takes both tables from the file's end and decompresses only the
+frames that hold the requested documents: one, unless an id that occurs several times spans more.
 
 Documents are range-partitioned by id, so file k holds smaller ids than file k + 1 and files are sorted inside.
 
@@ -186,7 +187,7 @@ class FileWriter:
     """Writes one file frame by frame; only the open frame is in memory."""
 
     def __init__(self, sink):
-        self.sink, self.entries = sink, []
+        self.sink, self.entries, self.spans = sink, [], []
         self.ids: list[int] = []
         self.tokens: list[np.ndarray] = []
         self.held = self.n_docs = self.n_ids = 0
@@ -208,12 +209,15 @@ class FileWriter:
         packed = self.compressor.compress(body)
         self.sink.write(packed)
         self.entries.append(struct.pack("<III", len(packed), len(body), xxhash.xxh64_intdigest(body) & 0xFFFFFFFF))
+        self.spans.append(struct.pack("<qq", self.ids[0], self.ids[-1]))
         self.n_docs += len(self.ids)
         self.n_ids += self.held
         self.ids, self.tokens, self.held = [], [], 0
 
     def finish(self) -> None:
         self.flush()
+        index = b"".join(self.spans)
+        self.sink.write(struct.pack("<II", SKIPPABLE_MAGIC, len(index)) + index)
         table = b"".join(self.entries) + struct.pack("<IBI", len(self.entries), CHECKSUM_FLAG, SEEKABLE_MAGIC)
         self.sink.write(struct.pack("<II", SKIPPABLE_MAGIC, len(table)) + table)
 
@@ -232,6 +236,8 @@ class FileReader:
         self.sizes, self.contents, self.checks = table.T
         self.starts = np.concatenate(([0], np.cumsum(self.sizes.astype(np.int64))))
         self.frames = count
+        source.seek(size - 9 - 12 * count - 8 - 16 * count)
+        self.first, self.last = np.frombuffer(source.read(16 * count), "<i8").reshape(count, 2).T
 
     def frame(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document ids, token counts, token ids) of frame k, checked."""
@@ -319,31 +325,24 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
     return out.withColumn("doc_id", F.when(F.col("doc_id") != F.lit(_NULL_ID), F.col("doc_id")))
 
 
-def lookup(spark: SparkSession, manifest: DataFrame, folder: str, wanted: list[int]) -> dict[int, np.ndarray]:
-    """Ids of some documents; decompresses only the frames of files whose id range holds one of them."""
-    found: dict[int, np.ndarray] = {}
+def lookup(spark: SparkSession, manifest: DataFrame, folder: str, wanted: list[int]) -> dict[int, list[np.ndarray]]:
+    """Ids of some documents, one array per stored row; decompresses only the frames whose ids span one of them."""
+    found: dict[int, list[np.ndarray]] = {}
     fs, root = _filesystem(folder)
     near = manifest.where(F.exists(F.array(*[F.lit(int(w)) for w in wanted]),
                                    lambda w: (w >= F.col("first_id")) & (w <= F.col("last_id"))))
-    for row in near.collect():
+    for row in near.orderBy("file").collect():
         with fs.open_input_file(f"{root}/{row['file']}") as source:
             reader = FileReader(source, source.size())
-            left = [w for w in wanted if row["first_id"] <= w <= row["last_id"]]
-            lo = 0
-            for w in sorted(left):  # ids ascend over frames: bisect on each frame's first id
-                hi = reader.frames - 1
-                a = lo
-                while a < hi:
-                    mid = (a + hi + 1) // 2
-                    if reader.frame(mid)[0][0] <= w:
-                        a = mid
-                    else:
-                        hi = mid - 1
-                lo = a
-                ids, counts, tokens = reader.frame(a)
+            asked = np.array(sorted(set(wanted)), np.int64)
+            for k in range(reader.frames):
+                mine = asked[(asked >= reader.first[k]) & (asked <= reader.last[k])]
+                if not len(mine):
+                    continue
+                ids, counts, tokens = reader.frame(k)
                 ends = np.cumsum(counts.astype(np.int64))
-                for i in np.flatnonzero(ids == w)[:1]:
-                    found[w] = tokens[ends[i] - counts[i]: ends[i]]
+                for i in np.flatnonzero(np.isin(ids, mine)):
+                    found.setdefault(int(ids[i]), []).append(tokens[ends[i] - counts[i]: ends[i]])
     return found
 
 

@@ -230,6 +230,17 @@ def test_sharding_is_even_gapless_and_keeps_groups(docs, rows, empty_docs):
     assert sharding.assign(empty_docs).count() == 0
 
 
+@pytest.mark.parametrize("share, together", [(2, True), (100, False)])
+def test_sharding_keeps_small_groups_together_and_cuts_large_ones(spark, share, together):
+    """Groups of 10 equal texts, a twelfth of a shard: within one part in two of a shard, beyond one in a hundred."""
+    data = [(10 * n + k, f"text {n:03d} " * 5) for n in range(47) for k in range(10)]
+    got = sharding.assign(spark.createDataFrame(data, "doc_id bigint, text string"), shards=4, group_share=share).toPandas()
+    shards_of = got.groupby(got["doc_id"] // 10)["shard"].nunique()
+    assert (shards_of.max() == 1) == together
+    loads = got.groupby("shard")["size"].sum()
+    assert loads.max() - loads.min() <= (2 * 10 if together else 2) * got["size"].max()
+
+
 def test_sharding_cuts_a_hot_group(spark, tmp_path):
     data = [(i, "same text") for i in range(900)] + [(None, None), (2000, ""), (2000, "")]
     frame = spark.createDataFrame(data, "doc_id bigint, text string").withColumn("size", F.lit("clash"))
@@ -417,12 +428,64 @@ def test_token_store_round_trip(spark, docs, rows, empty_docs, tokenizer_path, m
     manifest = tokenstore.write(docs, folder, scratch, tokenizer_path, file_bytes=9000)
     assert {r[0]: tuple(r)[1:] for r in tokenstore.read(manifest, folder).collect()} == want
     found = tokenstore.lookup(spark, manifest, folder, [3, 17, 40, 10_000])
-    assert {i: t.tolist() for i, t in found.items()} == {i: ids[i] for i in (3, 17, 40)}
+    assert {i: [t.tolist() for t in x] for i, x in found.items()} == {i: [ids[i]] for i in (3, 17, 40)}
     assert tokenstore.store(empty_docs, tokenizer_path).count() == 0
     twice = spark.createDataFrame([(None, "x"), (1, None), (1, "y z")], "doc_id bigint, text string")
     assert [tuple(r)[:3] for r in tokenstore.store(twice, tokenizer_path).orderBy("start").collect()] == [(None, 0, 2), (1, 2, 1), (1, 3, 3)]
 
 
+def test_lookup_opens_the_frames_of_the_asked_documents_only(spark, tokenizer_path, monkeypatch):
+    monkeypatch.setattr(tokenstore, "FRAME_IDS", 30)
+    data = [(i, f"document number {i} " * 4) for i in range(60)] + [(25, f"again {k} " * 9) for k in range(12)] + [(None, "none")]
+    scratch = Scratch(spark, "test")
+    folder = scratch.path("files")
+    frame = spark.createDataFrame(data, "doc_id bigint, text string").coalesce(1)
+    manifest = tokenstore.write(frame, folder, scratch, tokenizer_path)
+    opened = []
+    whole = tokenstore.FileReader.frame
+    monkeypatch.setattr(tokenstore.FileReader, "frame", lambda self, k: opened.append(k) or whole(self, k))
+    assert len(tokenstore.lookup(spark, manifest, folder, [7])[7]) == 1 and len(opened) == 1
+    opened.clear()
+    found = tokenstore.lookup(spark, manifest, folder, [25])[25]
+    encoder = tokenstore.Encoder(tokenizer_path).tokenizer
+    want = sorted([*encoder.encode(t, add_special_tokens=False).ids, 2] for i, t in data if i == 25)
+    assert sorted(t.tolist() for t in found) == want and len(opened) < 12
+
+
+def test_very_long_texts(spark, tokenizer_path):
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(80)]
+    long = [rng.choice(["alpha", "beta", "gamma", "delta", "w"]) + str(rng.randrange(900)) for _ in range(330_000)]
+    texts = {1: " ".join(passage + ["tail"]), 2: " ".join(long[:200_000] + passage + long[200_000:]),
+             3: " ".join([*long[:200_000], *passage, *long[200_000:], "one", "more"]), 4: "x" * 2_000_000, 5: "y " * 1_200_000}
+    assert len(texts[2]) > 2_000_000
+    frame = spark.createDataFrame([(i, t, "en") for i, t in texts.items()], "doc_id bigint, text string, lang string")
+    sets = {i: shingles(t) for i, t in texts.items()}
+    got = {r["doc_id"]: r for r in jaccard.join(frame).collect()}
+    assert {i: r["n_shingles"] for i, r in got.items()} == {i: len(x) for i, x in sets.items()}
+    assert {i: r["component_id"] for i, r in got.items()} == {1: 1, 2: 2, 3: 2, 4: 4, 5: 5}
+    cut = {r["doc_id"]: r for r in substrings.parse(frame).collect()}
+    assert {i: r["n_removed"] for i, r in cut.items()} == {1: 0, 2: 80, 3: 330_080, 4: 0, 5: 0}
+    kept = " ".join(long)
+    assert cut[2]["kept_sha256"] == hashlib.sha256(kept.encode()).hexdigest()
+    items = spark.createDataFrame([(7, " ".join(passage[5:60])), (8, "not there at all, my dear friend")], "item_id bigint, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(frame, items).collect()} == {(1, 7), (2, 7), (3, 7)}
+    assert {r["doc_id"]: r["lang_pred"] for r in langid.identify(frame).collect()} == {i: "en" for i in texts}
+    encoder = tokenstore.Encoder(tokenizer_path).tokenizer
+    short = frame.where("doc_id <> 4")
+    sizes = {r["doc_id"]: r["n_tokens"] for r in tokenstore.store(short, tokenizer_path).collect()}
+    assert sizes == {i: len(encoder.encode(t, add_special_tokens=False).ids) + 1 for i, t in texts.items() if i != 4}
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    import corpus_pipeline as P
+
+    spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint") \
+        .write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(0, "some item of a benchmark")], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert P.run(spark, str(tmp_path)).count() == 0
+
+
 def test_damaged_frames_are_found(tmp_path):
     path = tmp_path / "f"
     with open(path, "wb") as sink:
