@@ -113,6 +113,14 @@ def historical_demand(trips: DataFrame, dim: DataFrame, filters: DemandFilters =
     A chosen region keeps the trips that start in it (``in_start_region``).
     The labels and the day type are functions of the group keys and are
     added after the aggregation, keeping the shuffle keys narrow."""
+    return in_hourly_order(_hourly_demand(trips, dim, filters))
+
+
+def in_hourly_order(hourly: DataFrame) -> DataFrame:
+    return hourly.orderBy(*_asc("trip_date", "start_hour", "source_year", "source_quarter"))
+
+
+def _hourly_demand(trips: DataFrame, dim: DataFrame, filters: DemandFilters) -> DataFrame:
     agg = (
         in_start_region(X.where(trips, filters.conditions()), dim, filters.region)
         .groupBy("source_year", "source_quarter", "trip_date", "start_hour")
@@ -125,7 +133,7 @@ def historical_demand(trips: DataFrame, dim: DataFrame, filters: DemandFilters =
         X.hour_label("start_hour").alias("start_hour_label"),
         X.day_type(X.dow0("trip_date")).alias("day_type"),
         "trip_count", "active_station_count", "distinct_bikes_used", "avg_duration_minutes",
-    ).orderBy(*_asc("trip_date", "start_hour", "source_year", "source_quarter"))
+    )
 
 
 def has_rows(df: DataFrame) -> bool:
@@ -171,3 +179,41 @@ def demand_by_quarter_filtered(hourly: DataFrame) -> DataFrame:
     return hourly.groupBy("source_year", "source_quarter", "quarter_label").agg(
         F.sum("trip_count").alias("trip_count")
     ).orderBy(*_asc("source_year", "source_quarter"))
+
+
+# The rollups of one historical-demand view: name -> group keys.
+ROLLUPS = {
+    "daily": ["trip_date"],
+    "by_hour": ["start_hour", "start_hour_label"],
+    "by_day_type": ["day_type"],
+    "by_quarter": ["source_year", "source_quarter", "quarter_label"],
+}
+_ROLLUP_MEASURES = {
+    "daily": ["trip_count", "active_station_count", "distinct_bikes_used"],
+    "by_hour": ["trip_count", "avg_duration_minutes"],
+    "by_day_type": ["trip_count", "avg_duration_minutes"],
+    "by_quarter": ["trip_count"],
+}
+
+
+def demand_rollups(hourly: DataFrame) -> DataFrame:
+    """E9-E12 in one pass over E8: a row per group of every rollup, named by
+    ``rollup``; the keys of the other rollups are null."""
+    keys = [c for columns in ROLLUPS.values() for c in columns]
+    name = F.lit(None).cast("string")
+    for rollup, columns in ROLLUPS.items():
+        name = F.when(F.grouping(columns[0]) == 0, rollup).otherwise(name)
+    return hourly.groupingSets([[F.col(c) for c in columns] for columns in ROLLUPS.values()], *keys).agg(
+        name.alias("rollup"),
+        F.sum("trip_count").alias("trip_count"),
+        F.max("active_station_count").alias("active_station_count"),
+        F.sum("distinct_bikes_used").alias("distinct_bikes_used"),
+        mean_of_rounded("avg_duration_minutes").alias("avg_duration_minutes"),
+    ).select("rollup", *keys, "trip_count", "active_station_count", "distinct_bikes_used", "avg_duration_minutes")
+
+
+def one_rollup(rollups: DataFrame, name: str) -> DataFrame:
+    """One of E9-E12 out of ``demand_rollups``, in its order."""
+    order = [c for c in ROLLUPS[name] if not c.endswith("_label")]
+    return (rollups.where(F.col("rollup") == F.lit(name)).select(*ROLLUPS[name], *_ROLLUP_MEASURES[name])
+            .orderBy(*_asc(*order)))

@@ -1,8 +1,8 @@
 """The dashboard's five views as one object over a warehouse.
 
 Each method returns the DataFrames one view shows, for the chosen filter
-values (the reference's widgets become arguments). Nothing is collected
-here; the caller decides what to show.
+values (widgets become arguments). Nothing is collected here; the caller
+decides what to show.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from ..operators import demand as D
 from ..operators import options as OP
 from ..operators import routes as R
 from ..operators import stations as ST
+from ..session import scratch_path
 from ..sinks.tables import Warehouse
 from .pipeline import data_health, overview
 
@@ -75,18 +76,23 @@ class Dashboard:
         return OP.demand_filter_options(self.trips, self.stations)
 
     def historical_demand(self, filters: D.DemandFilters = D.DemandFilters()) -> dict[str, DataFrame]:
-        """E8 and its rollups E9-E12 (by quarter only for All Quarters)."""
-        hourly = D.historical_demand(self.trips, self.stations, filters)
-        views = {
-            "hourly": hourly,
-            "daily": D.demand_daily(hourly),
-            "by_hour": D.demand_by_hour(hourly),
-            "by_day_type": D.demand_by_day_type(hourly),
-        }
-        if filters.quarter == X.ALL_QUARTERS:
-            views["by_quarter"] = D.demand_by_quarter_filtered(hourly)
+        """E8 and its rollups E9-E12 (by quarter only for All Quarters).
+
+        The trips are read once: E8 is written to the shared folder, and all
+        rollups come from one grouping-sets pass over it."""
+        root = scratch_path(self.spark, "historical-demand")
+        hourly = self._written(D.historical_demand(self.trips, self.stations, filters), f"{root}/hourly")
+        rollups = self._written(D.demand_rollups(hourly), f"{root}/rollups")
+        views = {"hourly": D.in_hourly_order(hourly)}
+        for name in D.ROLLUPS:
+            if name != "by_quarter" or filters.quarter == X.ALL_QUARTERS:
+                views[name] = D.one_rollup(rollups, name)
         return views
 
+    def _written(self, df: DataFrame, path: str) -> DataFrame:
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def station_activity(self, quarter: str = X.ALL_QUARTERS, region: str = X.ALL_REGIONS,
                          station_label: str = X.ALL_STATIONS, top_n: int = 20,
                          include_special: bool = False) -> StationView:

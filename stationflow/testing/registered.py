@@ -295,6 +295,24 @@ def q_demand_by_day_type(spark, sf_dir):
     return D.demand_by_day_type(D.historical_demand(staging(spark, sf_dir), dim(spark, sf_dir)))
 
 
+@register("demand_rollups", O.sql(f"""
+select case when grouping(trip_date) = 0 then 'daily' when grouping(start_hour) = 0 then 'by_hour'
+            when grouping(day_type) = 0 then 'by_day_type' else 'by_quarter' end as rollup,
+       coalesce(cast(trip_date as varchar), start_hour_label, day_type, quarter_label) as label,
+       cast(sum(trip_count) as bigint) as trip_count,
+       max(active_station_count) as active_station_count,
+       cast(sum(distinct_bikes_used) as bigint) as distinct_bikes_used,
+       {_mean_rounded_sql('avg_duration_minutes')} as avg_duration_minutes
+from hourly
+group by grouping sets ((trip_date), (start_hour, start_hour_label), (day_type), (source_year, source_quarter, quarter_label))
+""", "hourly as (" + hourly_sql(HOURLY_TYPES_WHERE) + ")"))
+def q_demand_rollups(spark, sf_dir):
+    """E9-E12 of one view in one pass over E8; each group by its label."""
+    label = F.coalesce(F.col("trip_date").cast("string"), "start_hour_label", "day_type", "quarter_label")
+    return D.demand_rollups(q_demand_hourly_types(spark, sf_dir)).select(
+        "rollup", label.alias("label"), "trip_count", "active_station_count", "distinct_bikes_used", "avg_duration_minutes")
+
+
 @register("demand_by_quarter_filtered", O.sql("""
 select source_year, source_quarter, quarter_label, cast(sum(trip_count) as bigint) as trip_count
 from hourly group by source_year, source_quarter, quarter_label

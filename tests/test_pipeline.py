@@ -8,6 +8,7 @@ from helpers import TRIP_HEADER, write_text
 from test_ingest import row
 from stationflow import schemas as S
 from stationflow.functions import expressions as X
+from stationflow.operators import demand as D
 from stationflow.plans.pipeline import PipelineConfig, data_health, overview, run_pipeline
 from stationflow.sinks.tables import Warehouse
 
@@ -127,6 +128,13 @@ def test_dashboard_views(spark, folder):
     views = dash.historical_demand(DemandFilters(region="DTLA"))
     assert set(views) == {"hourly", "daily", "by_hour", "by_day_type", "by_quarter"}
     assert sum(r["trip_count"] for r in views["daily"].collect()) == 2
+    hourly = D.historical_demand(dash.trips, dash.stations, DemandFilters(region="DTLA"))
+    separate = {"hourly": hourly, "daily": D.demand_daily(hourly), "by_hour": D.demand_by_hour(hourly),
+                "by_day_type": D.demand_by_day_type(hourly), "by_quarter": D.demand_by_quarter_filtered(hourly)}
+    for name, frame in separate.items():
+        assert views[name].columns == frame.columns and views[name].collect() == frame.collect()
+        plan = views[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert "bike_id" not in plan  # the trips are not read again
     st = dash.station_activity(station_label="7th & Flower (3005)")
     assert st.selected.first()["trip_starts"] == 2 and st.daily.count() == 2
     assert [r["region"] for r in st.regions.collect()] == ["DTLA", "Westside"]
