@@ -22,16 +22,17 @@ def export_csv(spark: SparkSession, wh: Warehouse, out_dir: str, single_file: bo
     """One headed, comma-separated extract per mart, rows in the mart's
     order. Each extract is a folder of headed part files written in parallel,
     whose name order is the row order. With ``single_file=True`` it is one
-    file, sorted and written by one task."""
+    file: the rows are sorted and written in parallel without headers, and the
+    parts are then joined behind one header line."""
     written = []
     for file_name, table in CSV_EXPORTS.items():
         df = mart_order(wh.table(table), table)
         target = f"{out_dir.rstrip('/')}/{file_name}.csv"
         staged = files.staging_for(target)
         (
-            (mart_order(wh.table(table).repartition(1), table, within=True) if single_file else df).write
+            df.write
             .mode("overwrite")
-            .option("header", True)
+            .option("header", not single_file)
             .option("escape", '"')
             .option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False)
@@ -41,7 +42,7 @@ def export_csv(spark: SparkSession, wh: Warehouse, out_dir: str, single_file: bo
             .csv(staged)
         )
         if single_file:
-            files.single_part_to_file(spark, staged, target)
+            files.concatenate_parts(spark, staged, target, ",".join(df.columns) + "\n")
         else:
             files.replace_dir(spark, staged, target)
         written.append(target)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import IllegalArgumentException, UnsupportedOperationException
 from pyspark.sql import DataFrameWriter, SparkSession
 
 
@@ -99,6 +100,53 @@ def single_part_to_file(spark: SparkSession, out_dir: str, target: str) -> None:
     _drop_checksum(spark, htarget)
 
 
+def concatenate_parts(spark: SparkSession, out_dir: str, target: str, first: str = "") -> None:
+    """``first`` and then the part files of ``out_dir``, in name order, as one
+    file at ``target`` (replacing it); ``out_dir`` is removed. The parts are
+    joined by the file system where it can do that (HDFS), else copied through
+    a fixed buffer; either way beside ``target``, which is replaced by a rename."""
+    hdir, fs = _fs(spark, out_dir)
+    parts = sorted((st.getPath() for st in fs.listStatus(hdir)
+                    if st.getPath().getName().startswith("part-") and st.getLen() > 0), key=lambda p: p.getName())
+    draft = staging_for(target)
+    hdraft, _ = _fs(spark, draft)
+    htarget, tfs = _fs(spark, target)
+    if htarget.getParent() is not None and not tfs.exists(htarget.getParent()):
+        tfs.mkdirs(htarget.getParent())
+    write_text(spark, draft, first)
+    jvm = spark.sparkContext._jvm
+    if parts and not _joined(spark, fs, hdraft, parts):
+        out = fs.create(hdraft, True)
+        try:
+            out.write(bytearray(first.encode("utf-8")))
+            for part in parts:
+                source = fs.open(part)
+                try:
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
+                finally:
+                    source.close()
+        finally:
+            out.close()
+    if tfs.exists(htarget):
+        tfs.delete(htarget, True)
+    if not fs.rename(hdraft, htarget):
+        raise RuntimeError(f"could not move {draft} to {target}")
+    fs.delete(hdir, True)
+    _drop_checksum(spark, htarget)
+
+
+def _joined(spark: SparkSession, fs, hfirst, parts) -> bool:
+    """The parts appended to the first file by the file system, if it can."""
+    array = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.org.apache.hadoop.fs.Path, len(parts))
+    for i, part in enumerate(parts):
+        array[i] = part
+    try:
+        fs.concat(hfirst, array)
+        return True
+    except (UnsupportedOperationException, IllegalArgumentException):  # not HDFS, or files that it cannot join
+        return False
+
+
 def _drop_checksum(spark: SparkSession, hpath) -> None:
     """The local file system keeps a hidden '.name.crc' beside each file and
     moves it on rename; a published single file is left without it."""

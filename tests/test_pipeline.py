@@ -153,3 +153,31 @@ def test_failed_save_keeps_the_old_table(spark, tmp_path):
         wh.save(broken, "marts.numbers")
     assert wh.table("marts.numbers").count() == 7
     assert [p.name for p in (tmp_path / "wh" / "marts").iterdir()] == ["numbers"]
+
+
+def test_single_extract_is_sorted_in_parallel(spark, folder):
+    from stationflow.sinks.exports import export_csv
+    wh = Warehouse(spark, folder + "/wh")
+    rows = spark.range(5000).selectExpr(
+        "cast(2020 + id % 3 as int) as source_year", "cast(id % 4 + 1 as int) as source_quarter",
+        "cast(id % 700 as string) as station_id", "concat('Stop \"', id, '\", x') as station_name", "'r' as region",
+        "'Active' as station_status", "34.5D as station_lat", "-118.0D as station_lon", "id * 7919 % 5003 as trip_starts",
+        "id as distinct_bikes_used", "1.5D as avg_duration_minutes")
+    for name in (S.RPT_HOURLY_DEMAND, S.RPT_ROUTE_POPULARITY, S.DIM_STATIONS):
+        empty = rows.limit(0).selectExpr("source_year", "source_quarter", "trip_starts as trip_date", "trip_starts as start_hour",
+                                         "trip_starts as trip_count")
+        wh.save(empty, name)
+    wh.save(rows.repartition(7), S.RPT_STATION_ACTIVITY)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        export_csv(spark, wh, folder + "/out", single_file=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    out = folder.replace("file://", "") + "/out"
+    assert sorted(os.listdir(out)) == ["hourly_demand.csv", "route_popularity.csv", "station_activity.csv", "stations.csv"]
+    lines = open(out + "/station_activity.csv").read().splitlines()
+    assert lines[0] == ",".join(S.STATION_ACTIVITY_COLUMNS) and len(lines) == 5001
+    back = spark.read.option("header", True).option("escape", '"').csv(folder + "/out/station_activity.csv").collect()
+    keys = [(int(r["source_year"]), int(r["source_quarter"]), -int(r["trip_starts"])) for r in back]
+    assert keys == sorted(keys) and {r["station_name"] for r in back} == {f'Stop "{i}", x' for i in range(5000)}
+    assert open(out + "/hourly_demand.csv").read() == "source_year,source_quarter,trip_date,start_hour,trip_count\n"
