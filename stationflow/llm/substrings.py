@@ -1,21 +1,25 @@
-"""Substring dedup by a join of word windows against everything that comes before.
+"""Substring dedup by relative Lempel-Ziv parsing against everything that comes before.
 
-The documents' own texts are indexed by windows of ``WINDOW`` words: the index maps a window to the smallest document
-that holds it. A word is removed if a window over it is in a document with a smaller id. The column ``factors`` groups
-consecutive windows that refer to the same document; it is no relative Lempel-Ziv parse: no place in the reference is
-kept and no longest match sought, so factors of different references may overlap, and a factor may join windows from
-different places of its reference. A factor is at least ``WINDOW`` words long and its words are the duplicate span.
+The documents' own texts are the reference. It is indexed by windows of ``WINDOW`` words: the index maps a window to the
+smallest document that holds it and its first place there. A document is parsed from left to right: the first window
+with an entry opens a factor, which goes on as long as the following windows continue at the next place of the same
+reference; the next factor starts at its end. So factors do not overlap, are at least ``WINDOW`` words long, and each
+equals the words at its place (reference, position). Where a reference repeats itself, a factor follows its first place
+only and may be cut shorter than the longest match. Factors are duplicate spans. At a factor's boundaries, windows that
+reach across it are checked too: words of those that the index holds are duplicates as well. Removed are, in all, the
+words of every window that also starts in a document with a smaller id.
 
 Only windows that can match are indexed. The smallest hash of the 20-word runs in a window is the window's anchor;
 equal windows have equal anchors, so a window whose anchor occurs in one document only has no match anywhere. Anchors
 are about one word in sixteen. They are counted first, with partial minimum and maximum per task, so a passage that
-sits in a third of all documents costs one row per task. Documents with equal words are represented by the smallest id:
-the others are one factor, the whole text.
+sits in a third of all documents costs one row per task. A document asks for each of its distinct windows once, however
+often it repeats it. Documents with equal words are represented by the smallest id: the others are one factor, the
+whole text.
 
 Words are compared by 64-bit hashes of the whole window. Defined results: a null or blank text has no words; fewer
 than ``WINDOW`` words are all kept; a row with a null id is kept whole and is no reference; rows that share an id are
-parsed one by one and are no references of each other; empty tables give an empty result; only the two named columns
-are read.
+parsed one by one and are no references of each other (a factor's place is in one of the rows of its reference's id);
+empty tables give an empty result; only the two named columns are read.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ WINDOW = 50
 ANCHOR = 20
 NOTHING = hashlib.sha256(b"").hexdigest()
 
-_FACTORS = "array<struct<start:bigint,n:bigint,ref:bigint>>"
+_FACTORS = "array<struct<start:bigint,n:bigint,ref:bigint,pos:bigint>>"
 
 
 def _anchors(words: np.ndarray, window: int, anchor: int) -> np.ndarray:
@@ -84,11 +88,11 @@ def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 
 def _windows(window: int, anchor: int):
-    """The windows with a shared anchor, of the rows (doc_id, t, sha, shared)."""
+    """The distinct windows with a shared anchor and their places, of the rows (doc_id, t, sha, shared)."""
     @tidy
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shas, rows, at, hashes = batch.column(2).to_pylist(), [], [], []
+            shas, rows, at, sizes, hashes = batch.column(2).to_pylist(), [], [], [], []
             shared = batch.column(3)
             for b in blocks(batch.column(1)):
                 low, whole = _anchors(b.words, window, anchor), runs(b.words, window)
@@ -97,26 +101,45 @@ def _windows(window: int, anchor: int):
                         continue
                     mine = shared[row].values.to_numpy(zero_copy_only=False).view(np.uint64)
                     hit = np.flatnonzero(np.isin(low[i: j - window + 1], mine))
+                    h, which, count = np.unique(whole[i: j - window + 1][hit].view(np.int64), return_inverse=True,
+                                                return_counts=True)
                     rows.append(row)
-                    at.append(hit.astype(np.int32))
-                    hashes.append(whole[i: j - window + 1][hit].view(np.int64))
+                    at.append(hit[np.argsort(which, kind="stable")].astype(np.int32))
+                    sizes.append(count)
+                    hashes.append(h)
             take = pa.array(rows, pa.int64())
-            yield pa.record_batch([batch.column(0).take(take), batch.column(2).take(take), _lists(at, pa.int32()),
+            ends = np.concatenate(([0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *sizes])))).astype(np.int32)
+            flat = pa.array(np.concatenate([np.zeros(0, np.int32), *at]), pa.int32())
+            per_row = np.concatenate(([0], np.cumsum([len(h) for h in hashes]))).astype(np.int32)
+            places = pa.ListArray.from_arrays(pa.array(per_row), pa.ListArray.from_arrays(pa.array(ends), flat))
+            yield pa.record_batch([batch.column(0).take(take), batch.column(2).take(take), places,
                                    _lists(hashes, pa.int64())], names=["doc_id", "sha", "at", "h"])
     return windows
 
 
-def factors(starts: np.ndarray, refs: np.ndarray, window: int = WINDOW) -> list[dict]:
-    """Factors from the matching windows of one document, sorted by start, and their reference documents."""
-    cut = np.flatnonzero((np.diff(starts) != 1) | (np.diff(refs) != 0)) + 1
-    first = np.concatenate(([0], cut))
-    last = np.concatenate((cut, [len(starts)])) - 1
-    return [{"start": int(s), "n": int(e) - int(s) + window, "ref": int(r)}
-            for s, e, r in zip(starts[first], starts[last], refs[first])]
+def factors(starts: np.ndarray, refs: np.ndarray, places: np.ndarray, window: int = WINDOW) -> list[dict]:
+    """The parse of one document from its matching windows, sorted by start: their references and places there."""
+    breaks = (np.diff(starts) != 1) | (np.diff(refs) != 0) | (np.diff(places) != 1)
+    run_end = np.append(np.flatnonzero(breaks), len(starts) - 1)  # last window of each unbroken run
+    out, k = [], 0
+    while k < len(starts):
+        last = int(run_end[np.searchsorted(run_end, k)])
+        n = int(starts[last] - starts[k]) + window
+        out.append({"start": int(starts[k]), "n": n, "ref": int(refs[k]), "pos": int(places[k])})
+        k = int(np.searchsorted(starts, starts[k] + n))
+    return out
+
+
+def boundary_words(starts: np.ndarray, parts: list[dict], window: int = WINDOW) -> list[tuple[int, int]]:
+    """Spans of the matching windows that reach across the end or the start of a factor."""
+    edges = np.array([e for f in parts for e in (f["start"], f["start"] + f["n"])], np.int64)
+    after = np.searchsorted(edges, starts, side="right")
+    across = (after < len(edges)) & (edges[np.minimum(after, len(edges) - 1)] < starts + window)
+    return [(int(p), int(p) + window) for p in starts[across]]
 
 
 def _cut(window: int):
-    """Applies the factors to the rows (doc_id, t, sha, at, ref)."""
+    """Parses the rows (doc_id, t, sha, at, ref, pos) and removes their duplicate spans."""
     @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,18 +149,21 @@ def _cut(window: int):
                     words = _words_of(b, row)
                     if _digest(words) != shas[row]:
                         continue
-                    at = batch.column(3)[row].values.to_numpy(zero_copy_only=False)
-                    refs = batch.column(4)[row].values.to_numpy(zero_copy_only=False)
+                    lists = batch.column(3)[row].values
+                    times = lists.value_lengths().to_numpy(zero_copy_only=False)
+                    at = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                    refs, places = (np.repeat(batch.column(c)[row].values.to_numpy(zero_copy_only=False), times) for c in (4, 5))
                     order = np.argsort(at)
-                    parts = factors(at[order], refs[order], window)
+                    at = at[order]
+                    parts = factors(at, refs[order], places[order], window)
                     keep = np.ones(len(words), bool)
-                    for f in parts:
-                        keep[f["start"]: f["start"] + f["n"]] = False
+                    for a, e in [(f["start"], f["start"] + f["n"]) for f in parts] + boundary_words(at, parts, window):
+                        keep[a:e] = False
                     kept = [words[k] for k in np.flatnonzero(keep)]
                     out.append((row, len(words) - len(kept), _digest(kept), parts))
             rows, removed, kept_sha, parts = zip(*out) if out else ((), (), (), ())
             take = pa.array(rows, pa.int64())
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("n", pa.int64()), ("ref", pa.int64())]))
+            kind = pa.list_(pa.struct([("start", pa.int64()), ("n", pa.int64()), ("ref", pa.int64()), ("pos", pa.int64())]))
             yield pa.record_batch([batch.column(0).take(take), batch.column(2).take(take), pa.array(removed, pa.int64()),
                                    pa.array(kept_sha, pa.string()), pa.array(parts, kind)],
                                   names=["doc_id", "sha", "n_removed", "kept_sha256", "factors"])
@@ -146,7 +172,7 @@ def _cut(window: int):
 
 def parse(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256, factors (start word, words, reference document) of every row."""
+    """doc_id, n_words, n_removed, kept_sha256, factors (start word, words, reference and place there) of every row."""
     scratch = Scratch(docs.sparkSession, "substrings")
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("t"))
     scanned = scratch.keep(texts.mapInArrow(
@@ -161,17 +187,20 @@ def parse(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: s
                           .agg(F.collect_set("anchor").alias("shared")), "shared")
     found = scratch.keep(
         texts.join(shared, "doc_id").select("doc_id", "t", "sha", "shared")
-        .mapInArrow(_windows(window, anchor), "doc_id bigint, sha string, at array<int>, h array<bigint>"), "windows")
+        .mapInArrow(_windows(window, anchor), "doc_id bigint, sha string, at array<array<int>>, h array<bigint>"), "windows")
     scratch.drop(shared)
     each = found.select("doc_id", "sha", F.inline(F.arrays_zip("at", "h")))
-    index = (each.groupBy("h").agg(F.min("doc_id").alias("ref"), F.max("doc_id").alias("high"))
-             .where("ref < high").select("h", "ref"))
+    # one row per window and document that holds it, so a window that fills a document is still one row of it
+    least = F.min(F.struct("doc_id", F.element_at("at", 1).cast("bigint").alias("pos")))
+    index = (each.groupBy("h").agg(least.alias("first"), F.max("doc_id").alias("high"))
+             .where("first.doc_id < high").select("h", F.col("first.doc_id").alias("ref"), "first.pos"))
     matches = (each.join(index, "h").where("doc_id > ref").groupBy("doc_id", "sha")
-               .agg(F.collect_set(F.struct("at", "ref")).alias("m")))
-    matches = scratch.keep(matches.select("doc_id", "sha", F.col("m.at").alias("at"), F.col("m.ref").alias("ref")), "matches")
+               .agg(F.collect_set(F.struct("at", "ref", "pos")).alias("m")))
+    matches = scratch.keep(matches.select("doc_id", "sha", F.col("m.at").alias("at"), F.col("m.ref").alias("ref"),
+                                          F.col("m.pos").alias("pos")), "matches")
     scratch.drop(found)
     done = scratch.keep(
-        texts.join(matches, "doc_id").select("doc_id", "t", "sha", "at", "ref")
+        texts.join(matches, "doc_id").select("doc_id", "t", "sha", "at", "ref", "pos")
         .mapInArrow(_cut(window), f"doc_id bigint, sha string, n_removed bigint, kept_sha256 string, factors {_FACTORS}")
         .dropDuplicates(["doc_id", "sha"]), "cut")
     whole = marked.where("doc_id > rep").select("doc_id", "sha", "rep").distinct()
@@ -183,7 +212,7 @@ def parse(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: s
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("bigint").alias("n_removed"),
         F.when(copy, F.lit(NOTHING)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
         F.when(copy, F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("n_words").alias("n"),
-                                      F.col("rep").alias("ref"))))
+                                      F.col("rep").alias("ref"), F.lit(0).cast("bigint").alias("pos"))))
         .otherwise(F.coalesce("factors", F.expr(f"cast(array() as {_FACTORS})"))).alias("factors"))
 
 

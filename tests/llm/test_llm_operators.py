@@ -142,13 +142,39 @@ def test_substring_dedup_matches_brute_force(docs, rows, empty_docs):
         want[doc_id] = (len(w), len(w) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest())
     found = substrings.parse(docs).collect()
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in found} == want
-    for r in found:
-        covered = {p for f in r["factors"] for p in range(f["start"], f["start"] + f["n"])}
-        assert len(covered) == r["n_removed"]
-        assert all(f["n"] >= 50 and f["ref"] < r["doc_id"] for f in r["factors"])
+    check_factors(found, {r[0]: words_of(r[1]) for r in rows})
     assert substrings.parse(empty_docs).count() == 0
 
 
+def check_factors(found, words):
+    """Factors do not overlap, are long enough, and equal the words at their place in an earlier document."""
+    for r in found:
+        end = 0
+        for f in r["factors"]:
+            assert f["start"] >= end and f["n"] >= 50 and f["ref"] < r["doc_id"]
+            end = f["start"] + f["n"]
+            assert words[r["doc_id"]][f["start"]: end] == words[f["ref"]][f["pos"]: f["pos"] + f["n"]]
+        assert sum(f["n"] for f in r["factors"]) <= r["n_removed"] and (not r["n_removed"] or r["factors"])
+
+
+def test_substring_parse_into_factors_of_several_references(spark):
+    rng = random.Random(21)
+    new = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    a, b, loop = new(200), new(200), ["la"] * 120
+    texts = {1: a, 2: b + a[100:180], 3: new(10) + a[:150] + b[20:120] + new(5), 4: a[90:] + a[:110], 5: loop + new(3),
+             6: new(2) + loop + a[:60] + loop, 7: b[:130] + a[:49] + b[130:], 8: a[:60] + a[40:100]}
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in substrings.parse(frame).collect()}
+    check_factors(found.values(), {i: words_of(" ".join(w)) for i, w in texts.items()})
+    parts = {i: [(f["start"], f["n"], f["ref"], f["pos"]) for f in r["factors"]] for i, r in found.items()}
+    assert parts[1] == [] and parts[2] == [(200, 80, 1, 100)]
+    assert parts[3] == [(10, 150, 1, 0), (160, 100, 2, 20)] and found[3]["n_removed"] == 250
+    assert parts[4] == [(0, 110, 1, 90), (110, 110, 1, 0)]
+    assert parts[6][0] == (2, 50, 5, 0) and found[6]["n_removed"] == 300
+    assert parts[7] == [(0, 130, 2, 0), (179, 70, 2, 130)]
+    assert parts[8] == [(0, 60, 1, 0), (60, 60, 1, 40)]
+
+
 def test_substring_null_ids_are_kept(spark):
     text = " ".join(f"q{i}" for i in range(70))
     got = substrings.parse(spark.createDataFrame([(None, text), (None, text), (4, text), (4, text), (5, text)],
