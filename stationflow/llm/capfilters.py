@@ -199,41 +199,56 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray, least: np.ndarray) -> np.ndarra
         root = new
 
 
+def _links(v: np.ndarray, weight: np.ndarray, before: np.ndarray, sizes: np.ndarray, first: np.ndarray,
+           second: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (of rows of ``first`` and of ``second``) with the cosine that pass no common earlier filter; ``before``:
+    the earlier filters of all rows, ``sizes`` of them per row."""
+    linked = v[first] @ v[second].T >= cosine
+    if second is first:
+        linked &= ~np.tri(len(first), dtype=bool)  # each pair once
+    a, b = np.nonzero(linked)
+    if len(a):
+        # pairs that meet in an earlier filter are counted there
+        earlier, which, often = np.unique(before, return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(v)), sizes)
+        done = np.zeros(len(a), bool)
+        usable = np.flatnonzero(often > 1)
+        for at in range(0, len(usable), 512):
+            place = np.full(len(earlier), -1)
+            place[usable[at: at + 512]] = np.arange(len(usable[at: at + 512]))
+            passes = np.zeros((len(v), min(512, len(usable) - at)), np.float32)
+            mine = place[which] >= 0
+            passes[row[mine], place[which[mine]]] = 1
+            together = passes[first] @ passes[second].T > 0
+            done |= together[a, b]
+        a, b = a[~done], b[~done]
+    return first[a], second[b]
+
+
 def _compare(cosine: float):
-    """Links between two tiles of one filter (or inside one), counted at the smallest filter that both vectors pass."""
+    """Links inside the filters of a pack, or between two tiles of one filter, each counted at the smallest filter that
+    both vectors pass: per vector and filter with links, their weight and the smallest point met."""
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        same = pdf["i"].iloc[0] == pdf["j"].iloc[0]
+        pdf = pdf.sort_values(["label", "filter"], kind="stable")
         v = _unit(np.stack(pdf["v"].to_numpy()).astype(np.float64))
-        point, weight = pdf["point"].to_numpy(np.int64), pdf["weight"].to_numpy(np.int64)
-        first = np.flatnonzero(pdf["tile"].to_numpy() == pdf["i"].iloc[0])
-        second = first if same else np.flatnonzero(pdf["tile"].to_numpy() == pdf["j"].iloc[0])
-        linked = v[first] @ v[second].T >= cosine
-        if same:
-            linked &= ~np.tri(len(first), dtype=bool)  # each pair once
-        a, b = np.nonzero(linked)
-        if len(a):
-            # pairs that meet in an earlier filter are counted there
-            sizes = pdf["before"].map(len).to_numpy()
-            earlier, which = np.unique(np.concatenate(pdf["before"].to_numpy()).astype(np.int64), return_inverse=True)
-            row = np.repeat(np.arange(len(pdf)), sizes)
-            often = np.bincount(which, minlength=len(earlier))
-            done = np.zeros(len(a), bool)
-            usable = np.flatnonzero(often > 1)
-            for at in range(0, len(usable), 512):
-                place = np.full(len(earlier), -1)
-                place[usable[at: at + 512]] = np.arange(len(usable[at: at + 512]))
-                passes = np.zeros((len(pdf), 512), np.float32)
-                mine = place[which] >= 0
-                passes[row[mine], place[which[mine]]] = 1
-                together = passes[first] @ passes[second].T > 0
-                done |= together[a, b]
-            a, b = first[a[~done]], second[b[~done]]
-        else:
-            a = b = np.zeros(0, np.int64)
-        n = np.bincount(a, weight[b], len(pdf)) + np.bincount(b, weight[a], len(pdf))
-        root = _roots(len(pdf), a, b, point)
-        met = np.flatnonzero(n > 0)
-        return pd.DataFrame({"point": point[met], "n": n[met].astype(np.int64), "root": root[met]})
+        point, weight, name = (pdf[c].to_numpy(np.int64) for c in ("point", "weight", "filter"))
+        tile, i, j = (pdf[c].to_numpy() for c in ("tile", "i", "j"))
+        sizes = pdf["before"].map(len).to_numpy()
+        before = np.concatenate(pdf["before"].to_numpy()).astype(np.int64)
+        upto = np.concatenate(([0], np.cumsum(sizes)))
+        label = pd.factorize(pdf["label"])[0]
+        starts = np.concatenate(([0], np.flatnonzero((np.diff(name) != 0) | (np.diff(label) != 0)) + 1, [len(pdf)]))
+        out = []
+        for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            first = np.flatnonzero(tile[s:e] == i[s])
+            second = first if i[s] == j[s] else np.flatnonzero(tile[s:e] == j[s])
+            a, b = _links(v[s:e], weight[s:e], before[upto[s]: upto[e]], sizes[s:e], first, second, cosine)
+            if len(a):
+                n = np.bincount(a, weight[s:e][b], e - s) + np.bincount(b, weight[s:e][a], e - s)
+                met = np.flatnonzero(n > 0)
+                root = _roots(e - s, a, b, point[s:e])
+                out.append(pd.DataFrame({"point": point[s:e][met], "n": n[met].astype(np.int64), "root": root[met]}))
+        return pd.concat(out) if out else pd.DataFrame({c: pd.Series(dtype="int64") for c in ("point", "n", "root")})
     return compare
 
 
@@ -271,10 +286,14 @@ def near_copies(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_i
     spread = passed.join(count, filters).withColumn("tiles", F.ceil(F.col("members") / tile).cast("int"))
     spread = spread.withColumn("tile", F.pmod(F.xxhash64("point"), F.col("tiles")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    # filters of one tile share a task's call, about a tile's rows together; a pair of tiles has a call of its own
+    packs = max(1, passed.count() // tile)
+    pack = F.when(F.col("tiles") > 1, F.lit(-1) - F.col("filter")).otherwise(F.pmod(F.xxhash64(*filters), F.lit(packs)))
     spread = spread.withColumn("other", other).select(
-        *filters, "point", "before", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
+        *filters, "point", "before", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"),
+        pack.alias("pack"), F.when(F.col("tiles") > 1, F.col("label")).alias("own"))
     with_vectors = spread.join(points.select("point", "v", "weight"), "point")
-    met = scratch.keep(with_vectors.groupBy(*filters, "i", "j").applyInPandas(
+    met = scratch.keep(with_vectors.groupBy("dim", "pack", "own", "i", "j").applyInPandas(
         _compare(cosine), "point bigint, n bigint, root bigint"), "met")
     edges = met.where("point <> root").select(F.col("point").alias("a"), F.col("root").alias("b")).distinct()
     grouped = scratch.keep(components(edges, scratch), "grouped")

@@ -15,7 +15,7 @@ Long conversations go through the auction in blocks of ``BLOCK`` rows, last bloc
 start are the costs of leaving the block before it. Work is then in proportion to the rows.
 
 On Spark, rows are dealt by conversation and sorted in two streams. The first hands on a row's role initial, fault flags
-and text hash only and holds about ten bytes per row of the open conversation; the second carries the texts, row by row.
+and text hash only and holds some twenty bytes per row of the open conversation; the second carries the texts, row by row.
 One conversation is one stream, however long: its digest is a hash of its rows in order.
 
 Defined results: a row's null role, text, turn or conversation stands for one space where a text is wanted; rows without
