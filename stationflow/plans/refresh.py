@@ -132,7 +132,7 @@ def refresh_staging(wh: Warehouse, lake_dir: str, quarters: Sequence[Quarter] |
         if quarter not in there:
             files.delete(wh.spark, _folder(wh, quarter))
     with bucketed_rows(wh, buckets) as rows:
-        return wh.save(first_rows(rows), S.STAGING_TRIPS, rebalance=False)
+        return wh.save(first_rows(rows), S.STAGING_TRIPS)
 
 
 def rebuild(wh: Warehouse, lake_dir: str, bucket_bytes: int = BUCKET_BYTES) -> int:
