@@ -92,3 +92,38 @@ def test_quarter_files_are_made_from_the_table_columns(spark, folder):
     assert "metro-trips-2026-q1.csv" in names and "metro-trips-2026-q2.csv" in names
     first = spark.read.option("header", True).csv(folder + "/csv/metro-trips-2026-q1.csv")
     assert [r["trip_id"] for r in first.collect()] == [str(k * 10 + 2 - k % 2) for k in range(0, 12, 3)]
+
+
+def line_items(spark, folder, days):
+    """lineitem and orders of 24 rows over these ship dates, some rows twice."""
+    lines = [(k // 2, 7 - k % 7, k % 3, 1 + k % 2, 5.0 + k, 1.5, "F" if k % 2 else "O", days[k % len(days)]) for k in range(24)]
+    (spark.createDataFrame(lines + lines[:5], "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                           "l_quantity double, l_extendedprice double, l_linestatus string, l_shipdate timestamp_ntz")
+     .repartition(3).write.parquet(folder + "/lineitem.parquet"))
+    (spark.createDataFrame([(k, k, f"{1 + k % 3}-P") for k in range(12)], "o_orderkey bigint, o_custkey bigint, o_orderpriority string")
+     .write.parquet(folder + "/orders.parquet"))
+
+
+def test_quarters_dealt_as_parquet_give_the_same_files(spark, folder):
+    line_items(spark, folder, [dt.datetime(2026, 1, 5), dt.datetime(2026, 4, 6), None, dt.datetime(2025, 4, 6)])
+    forms = {1: "M/d/yyyy h:mm a", 2: "yyyy-MM-dd'T'HH:mm:ss.SSS"}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    one = A.write_trip_csvs(spark, folder, folder + "/one", forms)
+    dealt = A.write_trip_csvs(spark, folder, folder + "/dealt", forms, one_plan_bytes=0)
+    assert [p.rsplit("/", 1)[-1] for p in one] == [p.rsplit("/", 1)[-1] for p in dealt] and len(one) == 4
+    for a, b in zip(one, dealt):
+        with open(a.replace("file://", "")) as f, open(b.replace("file://", "")) as g:
+            assert f.read() == g.read()
+    assert not [n for n in os.listdir(folder.replace("file://", "")) if "__staging" in n]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_first_in_file_shuffles_no_file_names(spark, folder):
+    import __spark_entry__
+    line_items(spark, folder, [dt.datetime(2026, 1, 5), dt.datetime(2026, 4, 6)])
+    df = __spark_entry__.queries()["dedup_first_in_file"](spark, folder)
+    (columns,) = shuffled_columns(df)
+    assert not {"__file_name", "__file_path", "source_file"} & set(columns)
+    rows = df.select("source_file", "trip_id", "year", "quarter").collect()
+    assert len(rows) == 24 and {r[0]: (r[2], r[3]) for r in rows} == {
+        "metro-trips-2026-q1.csv": (2026, 1), "metro-trips-2026-q2.csv": (2026, 2)}
