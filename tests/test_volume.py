@@ -118,6 +118,18 @@ def test_quarters_dealt_as_parquet_give_the_same_files(spark, folder):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
+def test_the_lake_is_written_in_the_order_of_the_dedup(spark, tmp_path):
+    for quarter in (1, 2):
+        lines = [TRIP_HEADER] + [row(str(i % 20)) for i in range(60)]
+        (tmp_path / f"metro-trips-2026-q{quarter}.csv").write_text("\n".join(lines) + "\n")
+    paths = [f"file://{tmp_path}/metro-trips-2026-q{q}.csv" for q in (1, 2)]
+    df = TR.cleaned_trips(spark, paths, dt.datetime(2026, 6, 14, tzinfo=dt.timezone.utc)).sortWithinPartitions(*S.LAKE_PARTITIONS)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Final Plan")[-1]
+    assert final.count("Sort [") == 2, final  # before and behind the dedup's exchange, none for the write
+    assert df.count() == 40
+
+
 def test_first_in_file_shuffles_no_file_names(spark, folder):
     import __spark_entry__
     line_items(spark, folder, [dt.datetime(2026, 1, 5), dt.datetime(2026, 4, 6)])
