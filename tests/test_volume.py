@@ -104,6 +104,24 @@ def line_items(spark, folder, days):
      .write.parquet(folder + "/orders.parquet"))
 
 
+def shuffle_files() -> int:
+    """Shuffle data files that the session's local folders hold."""
+    from pyspark.sql import SparkSession
+    jvm = SparkSession.active().sparkContext._jvm
+    folders = jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return sum(n.startswith("shuffle_") and n.endswith(".data")
+               for folder in folders for _, _, names in os.walk(folder) for n in names)
+
+
+def wait_for(condition) -> bool:
+    import time
+    for _ in range(50):
+        if condition():
+            return True
+        time.sleep(0.1)
+    return False
+
+
 def test_quarters_dealt_as_parquet_give_the_same_files(spark, folder):
     line_items(spark, folder, [dt.datetime(2026, 1, 5), dt.datetime(2026, 4, 6), None, dt.datetime(2025, 4, 6)])
     forms = {1: "M/d/yyyy h:mm a", 2: "yyyy-MM-dd'T'HH:mm:ss.SSS"}
@@ -139,3 +157,51 @@ def test_first_in_file_shuffles_no_file_names(spark, folder):
     rows = df.select("source_file", "trip_id", "year", "quarter").collect()
     assert len(rows) == 24 and {r[0]: (r[2], r[3]) for r in rows} == {
         "metro-trips-2026-q1.csv": (2026, 1), "metro-trips-2026-q2.csv": (2026, 2)}
+
+
+def lake_of(spark, folder):
+    """A small lake and a station list without rows, of the pipeline's shape."""
+    line_items(spark, folder, [dt.datetime(2026, 1, 5), dt.datetime(2026, 4, 6)])
+    A.write_trip_csvs(spark, folder, folder + "/raw")
+    result = ingest_trips(spark, folder + "/raw", folder + "/lake", folder + "/m.json")
+    spark.createDataFrame([], "station_id bigint, station_name string, go_live_date timestamp_ntz, region string, status string, "
+                          "latitude double, longitude double").write.parquet(folder + "/stations.parquet")
+    return result
+
+
+def test_a_step_leaves_no_shuffle_files(spark, folder):
+    import gc
+    from stationflow.plans.warehouse import build_warehouse
+    from stationflow.session import SHUFFLE_CLEANUP
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    wait_for(lambda: shuffle_files() == 0)
+    held, setting = shuffle_files(), spark.conf.get(SHUFFLE_CLEANUP, "false")
+    assert lake_of(spark, folder).total_rows == 24
+    build_warehouse(spark, folder + "/lake", folder + "/stations.parquet", folder + "/wh")
+    assert wait_for(lambda: shuffle_files() <= held), (shuffle_files(), held)
+    assert spark.conf.get(SHUFFLE_CLEANUP, "false") == setting
+
+
+def test_marts_of_a_large_staging_table_are_built_one_by_one(spark, folder, monkeypatch):
+    import threading
+    from stationflow.plans import warehouse as W
+    lake_of(spark, folder)
+    at_once, most, lock, save = set(), {}, threading.Lock(), Warehouse.save
+
+    def watched(self, df, name):
+        with lock:
+            at_once.add(name)
+            most[name] = len(at_once)
+        try:
+            return save(self, df, name)
+        finally:
+            with lock:
+                at_once.discard(name)
+
+    monkeypatch.setattr(Warehouse, "save", watched)
+    monkeypatch.setattr(W, "SIDE_BY_SIDE_BYTES", 0)
+    wh, _ = W.build_warehouse(spark, folder + "/lake", folder + "/stations.parquet", folder + "/wh")
+    marts = [S.RPT_HOURLY_DEMAND, S.RPT_STATION_ACTIVITY, S.RPT_ROUTE_POPULARITY]
+    assert [most[name] for name in marts] == [1, 1, 1]
+    assert wh.table(S.STAGING_TRIPS).count() == 24
