@@ -205,3 +205,17 @@ def test_marts_of_a_large_staging_table_are_built_one_by_one(spark, folder, monk
     marts = [S.RPT_HOURLY_DEMAND, S.RPT_STATION_ACTIVITY, S.RPT_ROUTE_POPULARITY]
     assert [most[name] for name in marts] == [1, 1, 1]
     assert wh.table(S.STAGING_TRIPS).count() == 24
+
+
+def test_the_checks_of_a_run_keep_no_shuffle_files(spark, folder, monkeypatch):
+    from stationflow.plans import pipeline as P
+    from stationflow.session import SHUFFLE_CLEANUP
+    lake_of(spark, folder)
+    with open(folder.replace("file://", "") + "/stations.csv", "w") as f:
+        f.write(",".join(A.STATION_CSV_HEADER) + "\n1,One,1/5/2026,DTLA,Active,34.0,-118.0\n")
+    seen, checks = [], P.assert_checks
+    monkeypatch.setattr(P, "assert_checks", lambda df: seen.append(spark.conf.get(SHUFFLE_CLEANUP, "false")) or checks(df))
+    cfg = P.PipelineConfig(folder + "/raw", folder + "/stations.csv", folder + "/lake2", folder + "/stations2.parquet",
+                           folder + "/m2.json", folder + "/wh2")
+    result = P.run_pipeline(spark, cfg)
+    assert seen == ["true"] and dict(result.counts)[S.STAGING_TRIPS] == 24
